@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from chronomart.functions.parsing import to_int
+
 
 def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -12,7 +14,7 @@ def _col(c: str | Column) -> Column:
 
 def field_as_int(records: str | Column, field: str = "id") -> Column:
     """One integer per record of an array of structs; values that are no integer give null."""
-    return F.transform(_col(records), lambda r: r[field].try_cast("int"))
+    return F.transform(_col(records), lambda r: to_int(r[field]))
 
 
 def join_ids(ids: str | Column, separator: str = ",") -> Column:

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chronomart.functions.hashing import stable_key
-
 
 def share_of_total(df: DataFrame, parent: Sequence[str], label: Sequence[str]) -> DataFrame:
     """Rows per (parent, label), rows per parent, and their ratio.
@@ -30,27 +30,42 @@ def collect_in_parts(
     name: str,
     distinct: bool,
     max_items: int = 1000,
-    spread_by: str | Column | None = None,
+    spread_by: Column | None = None,
+    counts: DataFrame | None = None,
+    count_name: str = "quantidade",
 ) -> DataFrame:
-    """All values of each key as sorted arrays of about ``max_items`` each.
+    """All values of each key as sorted arrays of about ``max_items`` each, with the key's count.
 
     An ordinary key gives one row (``parte`` 0 of ``partes`` 1), as a plain collect would. A key
-    with more rows gives several, its values spread by hash of ``spread_by`` (the value itself by
-    default), so no single array, group or task has to hold a key that owns a third of the data
-    and no value is left out. Equal values land in the same part when spread by value, which
-    makes ``distinct`` exact.
+    with more rows gives several, its values spread by hash (or by ``spread_by``, a number), so no
+    single array, group or task has to hold a key that owns a third of the data and no value is
+    left out. ``distinct`` needs equal values to fall in the same part, so there ``spread_by`` may
+    depend on the value only.
+
+    ``counts`` replaces the row counts per key, ``(keys..., count_name)``, when the caller has
+    them already; they may exceed the number of rows in ``df``.
     """
-    spread = stable_key(spread_by if spread_by is not None else value)
-    sizes = df.groupBy(*keys).agg(
-        F.ceil(F.count("*") / F.lit(max_items)).cast("bigint").alias("partes")
+    if counts is None:
+        counts = df.groupBy(*keys).agg(F.count("*").alias(count_name))
+    sizes = counts.withColumn(
+        "partes", F.ceil(F.col(count_name) / F.lit(max_items)).cast("bigint")
     )
+    spread = F.xxhash64(value) if spread_by is None else spread_by
+    # A left join can build a hash table of the sizes only. Spark's size estimate of exploded rows
+    # is far too low, and an inner join might broadcast them.
+    same_key = reduce(and_, [F.col(f"r.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys])
     placed = (
         df.withColumn("_spread", spread)
-        .join(sizes, list(keys))
+        .alias("r")
+        .join(sizes.alias("s"), same_key, "left")
+        .select("r.*", f"s.{count_name}", "s.partes")
         .withColumn("parte", F.pmod(F.col("_spread"), F.col("partes")))
     )
     # Grouping by (keys, parte) would accept the join's partitioning by keys and with it the hot
     # key's task. An explicit exchange spreads the parts and lets the skewed join be split.
-    by = [*keys, "parte", "partes"]
     collect = F.collect_set(value) if distinct else F.collect_list(value)
-    return placed.repartition(*keys, "parte").groupBy(*by).agg(F.sort_array(collect).alias(name))
+    return (
+        placed.repartition(*keys, "parte")
+        .groupBy(*keys, count_name, "parte", "partes")
+        .agg(F.sort_array(collect).alias(name))
+    )

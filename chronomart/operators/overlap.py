@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from chronomart.session import materialise
+
 MASK_BITS = 62
 
 
@@ -30,12 +32,15 @@ def overlap_edges(
     * The remaining members are paired in blocks of about ``block_rows`` groups, each pair of
       blocks under its own join key, so one member's pairs spread over many tasks.
 
-    Names are looked up after the pairs were counted and cut to ``k``.
+    The distinct (member, group) rows are written once to the shared folder, since degrees, group
+    sizes and both sides of the pairing read them. Names are looked up after the pairs were
+    counted and cut to ``k``.
     """
-    pairs_of = (
+    pairs_of = materialise(
         mart.where(F.col(member).isNotNull() & F.col(group).isNotNull())
         .select(F.col(member).alias("_m"), F.col(group).alias("_g"))
-        .distinct()
+        .distinct(),
+        "pairs",
     )
     degrees = pairs_of.groupBy("_m").agg(F.count("*").alias("_d"))
     busy = min(max(min_common - 1, 0), MASK_BITS)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chronomart.functions.text import CATEGORIES, LETTERS, STOPWORDS, categories, keywords
@@ -26,66 +26,73 @@ def with_categories(
     return df.withColumn("categorias", categories(words, rules))
 
 
+def _one_per_row(df: DataFrame, items: Column, name: str, *columns: Column) -> DataFrame:
+    """Explode an array of non-null items. For a plain explode Spark first filters on the array's
+    size, which would compute the keywords a second time; the outer form has no such filter."""
+    return df.select(F.explode_outer(items).alias(name), *columns).where(F.col(name).isNotNull())
+
+
 def term_frequency(tagged: DataFrame, words: str = "palavras_chave") -> DataFrame:
     """Occurrences of each keyword over all titles. Counts combine before the shuffle."""
     return (
-        tagged.select(F.explode(words).alias("tema"))
+        _one_per_row(tagged, F.col(words), "tema")
         .groupBy("tema")
         .agg(F.count("*").alias("frequencia"))
     )
 
 
-def term_examples(
-    tagged: DataFrame,
-    example: str = "titulo",
-    words: str = "palavras_chave",
-    max_items: int = 1000,
-) -> DataFrame:
-    """Each keyword with the distinct titles (or, for long texts, ids) it appears in, in parts
-    as :func:`collect_in_parts` makes them."""
-    pairs = tagged.select(
-        F.explode(F.array_distinct(words)).alias("tema"), F.col(example).alias("_example")
-    )
-    return collect_in_parts(
-        pairs, ["tema"], "_example", "exemplos_frentes", distinct=True, max_items=max_items
-    )
-
-
 def top_terms(
     tagged: DataFrame,
     example: str = "titulo",
     words: str = "palavras_chave",
     max_items: int = 1000,
+    spread_by: Column | None = None,
 ) -> DataFrame:
-    """Keyword, frequency and example titles, the most frequent first."""
+    """Keyword, frequency and the distinct titles (or, for long texts, ids) it appears in, the
+    most frequent first. Titles come in parts as :func:`collect_in_parts` makes them."""
+    pairs = _one_per_row(
+        tagged, F.array_distinct(words), "tema", F.col(example).alias("_example")
+    )
     return (
-        term_frequency(tagged, words)
-        .join(term_examples(tagged, example, words, max_items), "tema")
+        collect_in_parts(
+            pairs,
+            ["tema"],
+            "_example",
+            "exemplos_frentes",
+            distinct=True,
+            max_items=max_items,
+            spread_by=spread_by,
+            counts=term_frequency(tagged, words),
+            count_name="frequencia",
+        )
         .select("tema", "frequencia", "parte", "partes", "exemplos_frentes")
         .orderBy(F.col("frequencia").desc(), "tema", "parte")
     )
 
 
 def category_distribution(
-    tagged: DataFrame, key: str = "id", example: str = "titulo", max_items: int = 1000
+    tagged: DataFrame,
+    key: str = "id",
+    example: str = "titulo",
+    max_items: int = 1000,
+    spread_by: Column | None = None,
 ) -> DataFrame:
     """Rows and titles per category, the largest first. Titles repeat as often as they occur, so
     they are spread over the parts by the row's key."""
-    rows = tagged.select(
-        F.explode("categorias").alias("categoria"), F.col(key), F.col(example).alias("_example")
-    )
-    counts = rows.groupBy("categoria").agg(F.count("*").alias("num_frentes"))
-    lists = collect_in_parts(
-        rows,
-        ["categoria"],
-        "_example",
-        "exemplos",
-        distinct=False,
-        max_items=max_items,
-        spread_by=key,
+    rows = _one_per_row(
+        tagged, F.col("categorias"), "categoria", F.col(key), F.col(example).alias("_example")
     )
     return (
-        counts.join(lists, "categoria")
+        collect_in_parts(
+            rows,
+            ["categoria"],
+            "_example",
+            "exemplos",
+            distinct=False,
+            max_items=max_items,
+            spread_by=F.xxhash64(key) if spread_by is None else spread_by,
+            count_name="num_frentes",
+        )
         .select("categoria", "num_frentes", "parte", "partes", "exemplos")
         .orderBy(F.col("num_frentes").desc(), "categoria", "parte")
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Sized by the cluster, not by this library: shuffle partitions only set the upper
 # bound, adaptive execution merges small ones and splits skewed ones at run time.
@@ -17,6 +17,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.parquet.compression.codec": "snappy",
+    # Joins whose build partitions turn out small are hashed instead of sorted.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     # A load writes at most three kinds of rows; open writers for all of them save the sort.
     "spark.sql.maxConcurrentOutputFileWriters": "4",
 }
@@ -58,3 +60,16 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder; nothing else writes there."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def materialise(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written once as Parquet in the shared folder and read back.
+
+    For a result that several branches of a plan use: they would each compute it again. Unlike a
+    cache it survives the loss of executors, and unlike a checkpoint it is columnar and has a
+    known size, by which joins with it are chosen.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

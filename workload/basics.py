@@ -301,39 +301,38 @@ def agg_sum_squares(spark, sf):
     )
 
 
-_SPREAD = "('0x' || substr(md5(CAST({} AS VARCHAR)), 1, 15))::BIGINT"
-
-
 @query(
     "agg_collect_set",
-    f"""WITH r AS (SELECT l_suppkey, l_partkey AS v FROM lineitem),
-        n AS (SELECT l_suppkey, CAST(ceil(count(*) / 200.0) AS BIGINT) AS partes FROM r GROUP BY 1)
-        SELECT l_suppkey, {_SPREAD.format("v")} % partes AS parte, partes,
-               string_agg(DISTINCT CAST(v AS VARCHAR), ',' ORDER BY CAST(v AS VARCHAR)) AS pecas
-        FROM r JOIN n USING (l_suppkey) GROUP BY 1, 2, 3""",
+    """WITH r AS (SELECT l_suppkey, l_partkey AS v FROM lineitem),
+        n AS (SELECT l_suppkey, count(*) AS quantidade, CAST(ceil(count(*) / 200.0) AS BIGINT) AS partes
+              FROM r GROUP BY 1)
+        SELECT l_suppkey, quantidade, v % partes AS parte, partes,
+               array_to_string(list_sort(list_distinct(list(v))), ',') AS pecas
+        FROM r JOIN n USING (l_suppkey) GROUP BY 1, 2, 3, 4""",
 )
 def agg_collect_set(spark, sf):
-    parts = table(spark, sf, "lineitem").select(
-        "l_suppkey", F.col("l_partkey").cast("string").alias("v")
+    parts = table(spark, sf, "lineitem").select("l_suppkey", "l_partkey")
+    sets = aggregates.collect_in_parts(
+        parts, ["l_suppkey"], "l_partkey", "pecas", True, max_items=200, spread_by=F.col("l_partkey")
     )
-    sets = aggregates.collect_in_parts(parts, ["l_suppkey"], "v", "pecas", True, max_items=200)
     return sets.withColumn("pecas", F.array_join("pecas", ","))
 
 
 @query(
     "agg_collect_list",
-    f"""WITH r AS (SELECT l_returnflag, l_shipdate::DATE::VARCHAR AS v, l_orderkey FROM lineitem),
-        n AS (SELECT l_returnflag, CAST(ceil(count(*) / 500.0) AS BIGINT) AS partes FROM r GROUP BY 1)
-        SELECT l_returnflag, {_SPREAD.format("l_orderkey")} % partes AS parte, partes,
+    """WITH r AS (SELECT l_returnflag, l_shipdate::DATE::VARCHAR AS v, l_orderkey FROM lineitem),
+        n AS (SELECT l_returnflag, count(*) AS quantidade, CAST(ceil(count(*) / 500.0) AS BIGINT) AS partes
+              FROM r GROUP BY 1)
+        SELECT l_returnflag, quantidade, l_orderkey % partes AS parte, partes,
                string_agg(v, ',' ORDER BY v) AS dias
-        FROM r JOIN n USING (l_returnflag) GROUP BY 1, 2, 3""",
+        FROM r JOIN n USING (l_returnflag) GROUP BY 1, 2, 3, 4""",
 )
 def agg_collect_list(spark, sf):
     days = table(spark, sf, "lineitem").select(
         "l_returnflag", F.col("l_shipdate").cast("date").cast("string").alias("v"), "l_orderkey"
     )
     lists = aggregates.collect_in_parts(
-        days, ["l_returnflag"], "v", "dias", False, max_items=500, spread_by="l_orderkey"
+        days, ["l_returnflag"], "v", "dias", False, max_items=500, spread_by=F.col("l_orderkey")
     )
     return lists.withColumn("dias", F.array_join("dias", ","))
 

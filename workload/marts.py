@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from chronomart.operators import membership, overlap
 from chronomart.plans.store import TableStore
-from chronomart.session import scratch_path
+from chronomart.session import materialise, scratch_path
 from workload import roles, titles
 from workload.registry import query
 
@@ -71,7 +71,7 @@ def mart_groups_per_term(spark, sf):
         ORDER BY membros_comum DESC, frente_1_id, frente_2_id LIMIT 50""",
 )
 def gra_overlap(spark, sf):
-    return overlap.overlap_edges(mart(spark, sf))
+    return overlap.overlap_edges(materialise(mart(spark, sf), "mart"))
 
 
 _TAGGED = f"""{roles.membership_ctes("l_partkey")},

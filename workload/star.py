@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from chronomart.operators import cleaning, history, star
+from chronomart.session import materialise
 from workload import roles
 from workload.registry import query, table
 
@@ -98,8 +99,9 @@ def dim_calendar_data(spark, sf):
 
 
 def star_schema(spark, sf):
-    events = typed_events(spark, sf)
-    organs = star.dim_organ(roles.organ_history(spark, sf))
+    """Fact and dimensions. Events and organs feed several of them and are written once."""
+    events = materialise(typed_events(spark, sf), "events")
+    organs = materialise(star.dim_organ(roles.organ_history(spark, sf)), "organs")
     types = star.dim_event_type(events)
     days = star.calendar(star.event_bounds(events))
     return star.event_fact(events, organs, types, days), organs, types, days

@@ -37,8 +37,6 @@ def categories_sql(words: str) -> str:
 TAGGED_PARTS = f"""SELECT id, titulo, palavras, {categories_sql("palavras")} AS categorias
     FROM (SELECT p_partkey AS id, p_name AS titulo, {words_sql("p_name")} AS palavras FROM part)"""
 
-_KEY = "('0x' || substr(md5(CAST({} AS VARCHAR)), 1, 15))::BIGINT"
-
 
 def documents(spark, sf):
     docs = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("titulo"))
@@ -65,15 +63,17 @@ def txt_keywords(spark, sf):
     f"""WITH k AS (SELECT doc_id, unnest({words_sql('text')}) AS tema FROM documents),
         f AS (SELECT tema, count(*) AS frequencia FROM k GROUP BY tema),
         d AS (SELECT DISTINCT tema, doc_id FROM k),
-        n AS (SELECT tema, CAST(ceil(count(*) / 100.0) AS BIGINT) AS partes FROM d GROUP BY tema)
-        SELECT tema, frequencia, {_KEY.format("doc_id")} % partes AS parte, partes,
+        n AS (SELECT *, CAST(ceil(frequencia / 100.0) AS BIGINT) AS partes FROM f)
+        SELECT tema, frequencia, doc_id % partes AS parte, partes,
                string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY doc_id) AS exemplos_frentes
-        FROM d JOIN n USING (tema) JOIN f USING (tema) GROUP BY 1, 2, 3, 4""",
+        FROM d JOIN n USING (tema) GROUP BY 1, 2, 3, 4""",
 )
 def txt_term_frequency(spark, sf):
     """Terms of all documents with the ids of the documents that use them: texts are long, so the
     id stands for the title."""
-    top = titles.top_terms(documents(spark, sf), example="id", max_items=100)
+    top = titles.top_terms(
+        documents(spark, sf), example="id", max_items=100, spread_by=F.col("_example")
+    )
     return top.withColumn("exemplos_frentes", F.array_join("exemplos_frentes", ","))
 
 
@@ -92,10 +92,12 @@ def txt_categories(spark, sf):
     f"""WITH k AS (SELECT id, titulo, unnest(categorias) AS categoria FROM ({TAGGED_PARTS})),
         n AS (SELECT categoria, count(*) AS num_frentes,
                      CAST(ceil(count(*) / 100.0) AS BIGINT) AS partes FROM k GROUP BY categoria)
-        SELECT categoria, num_frentes, {_KEY.format("id")} % partes AS parte, partes,
+        SELECT categoria, num_frentes, id % partes AS parte, partes,
                string_agg(titulo, ';' ORDER BY titulo) AS exemplos
         FROM k JOIN n USING (categoria) GROUP BY 1, 2, 3, 4""",
 )
 def txt_category_distribution(spark, sf):
-    spread = titles.category_distribution(tagged_parts(spark, sf), max_items=100)
+    spread = titles.category_distribution(
+        tagged_parts(spark, sf), max_items=100, spread_by=F.col("id")
+    )
     return spread.withColumn("exemplos", F.array_join("exemplos", ";"))
