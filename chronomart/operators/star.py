@@ -103,34 +103,32 @@ def on_day(events: DataFrame, days: DataFrame, moment: str | Column = "dataHoraI
     return events.join(days, m.cast("date") == days["data"])
 
 
-def event_fact(
-    events: DataFrame, organs: DataFrame, types: DataFrame, days: DataFrame
-) -> DataFrame:
+def event_fact(events: DataFrame, organs: DataFrame, bounds: DataFrame) -> DataFrame:
     """One row per event and organ of its id list, with the keys of organ, type and day.
 
-    The dimensions are joined by their small key columns; which of them are broadcast is left
-    to their measured size.
+    Type and day keys are functions of the event's own values (:func:`dim_event_type` names the
+    type by :func:`stable_key`, :func:`calendar` numbers days from the first), so neither
+    dimension is joined: few types or days would make few, hot join keys. Only the organ list is,
+    as a semi join, which may split a hot organ's events. ``bounds`` is the calendar's one-row
+    relation; events outside it, without a type, or of unknown organs are left out, as inner
+    joins with the dimensions would.
     """
-    exploded = events.withColumn("_orgao", F.explode(split_ids("id_orgaos"))).withColumn(
-        "orgao_id", F.col("_orgao").try_cast("bigint")
-    )
-    return (
-        on_day(
-            exploded.join(organs.select(F.col("orgao_id").cast("bigint")), "orgao_id").join(
-                types, F.col("descricaoTipo") == F.col("tipo_evento")
-            ),
-            days.select("data_id", "data"),
-        )
-        .select(
-            "data_id",
-            "orgao_id",
-            "tipo_evento_id",
-            "descricao",
-            "dataHoraInicio",
-            "dataHoraFim",
-            "situacao",
-            F.col("id_evento").alias("evento_id"),
-        )
+    first, last = bounds.select("inicio").scalar(), bounds.select("fim").scalar()
+    day = F.col("dataHoraInicio").cast("date")
+    placed = events.where(day.between(first, last) & F.col("descricaoTipo").isNotNull())
+    exploded = placed.select(
+        F.datediff(day, first).cast("bigint").alias("data_id"),
+        F.explode(split_ids("id_orgaos")).alias("orgao_id"),
+        stable_key("descricaoTipo").alias("tipo_evento_id"),
+        "descricao",
+        "dataHoraInicio",
+        "dataHoraFim",
+        "situacao",
+        F.col("id_evento").alias("evento_id"),
+    ).withColumn("orgao_id", F.col("orgao_id").try_cast("bigint"))
+    known = organs.select(F.col("orgao_id").cast("bigint"))
+    return exploded.join(known, "orgao_id", "left_semi").select(
+        "data_id", *[c for c in exploded.columns if c != "data_id"]
     )
 
 

@@ -19,7 +19,10 @@ def member_events(spark, sf):
 
 def typed_events(spark, sf):
     """Member events with their times parsed."""
-    return cleaning.clean_events(member_events(spark, sf))
+    cleaned = cleaning.clean_member_events(roles.raw_member_events(spark, sf))
+    return cleaning.clean_events(cleaned).select(
+        "id_evento", "descricao", "descricaoTipo", "situacao", "dataHoraInicio", "dataHoraFim", "id_orgaos"
+    )
 
 
 _TYPED = f"""(SELECT * REPLACE (CAST("dataHoraInicio" AS TIMESTAMP) AS "dataHoraInicio",
@@ -103,8 +106,8 @@ def star_schema(spark, sf):
     events = materialise(typed_events(spark, sf), "events")
     organs = materialise(star.dim_organ(roles.organ_history(spark, sf)), "organs")
     types = star.dim_event_type(events)
-    days = star.calendar(star.event_bounds(events))
-    return star.event_fact(events, organs, types, days), organs, types, days
+    bounds = star.event_bounds(events)
+    return star.event_fact(events, organs, bounds), organs, types, star.calendar(bounds)
 
 
 _FACT = f"""{_DIM_ORGAN},
