@@ -25,7 +25,8 @@ def new_rows(
 
     Known rows are recognised by ``keys`` (null matching null), of which the target is read and
     shuffled alone. Without keys a hash over the batch's columns stands in, which has to read
-    those columns of the target but shuffles only the hash.
+    those columns of the target but shuffles only the hash. Either is made distinct first, in the
+    partitioning the join uses anyway, so a value repeated all over the target stays one row.
     """
     if keys:
         mark = F.struct(*[F.col(k) for k in keys])
@@ -39,7 +40,7 @@ def new_rows(
             ).alias("_known")
         )
     marked = dedupe_by_key(batch.withColumn("_known", mark), ["_known"])
-    return marked.join(known, "_known", "left_anti").drop("_known")
+    return marked.join(known.distinct(), "_known", "left_anti").drop("_known")
 
 
 def append_new(

@@ -26,18 +26,20 @@ def accepted_pages(pages: DataFrame, by: Sequence[str] = ("source",)) -> DataFra
 
     Only ``(source, page)`` of stopping pages reaches the aggregate, which combines before
     its shuffle; a source holding a large share of all pages is joined as a skewed stream
-    side and may be split.
+    side and may be split. Without ``by`` all pages are of one source.
     """
-    stops_here = ~_delivered() | ~has_next("links")
-    stops = pages.where(stops_here).groupBy(*by).agg(F.min("page").alias("_stop"))
+    stops_here = pages.where(~_delivered() | ~has_next("links"))
+    if by:
+        stops = stops_here.groupBy(*by).agg(F.min("page").alias("_stop"))
+        marked = pages.join(stops, list(by), "left")
+    else:
+        marked = pages.withColumn("_stop", stops_here.agg(F.min("page")).scalar())
     return (
-        pages.join(stops, list(by), "left")
-        .where(
+        marked.where(
             F.col("_stop").isNull()
             | (F.col("page") < F.col("_stop"))
             | ((F.col("page") == F.col("_stop")) & _delivered())
-        )
-        .drop("_stop")
+        ).drop("_stop")
     )
 
 

@@ -10,8 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Fixed value: a leading "uri" names a link column, which is called "url" from here on.
-LINK_RULE = (r"^uri(?=$|[A-Z_.])", "url")
+# Fixed value: "uri" at the start of a name, or of a part of it, marks a link column, which is
+# called "url" from here on.
+LINK_RULE = (r"(^|[._])uri(?=$|[A-Z_.])", r"\1url")
 # Fixed value: path separators of flattened records.
 DOT_RULE = (r"\.", "_")
 
