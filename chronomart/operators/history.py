@@ -147,7 +147,9 @@ def snapshot_changes(
         has_old, version("old", F.when(closing, F.lit(CLOSE)).otherwise(F.lit(KEEP)), ends=True)
     )
     after = F.when(has_new & (~has_old | changed), version("new", F.lit(INSERT)))
-    return both.select(F.inline(F.array_compact(F.array(before, after))))
+    # A version that does not exist is a null element; as a filter this stays generated code, which
+    # removing nulls from the array would not.
+    return both.select(F.inline(F.array(before, after))).where(F.col("_change").isNotNull())
 
 
 def apply_scd2(
