@@ -2,12 +2,68 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+from functools import reduce
+from operator import add
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chronomart.session import materialise
 
-MASK_BITS = 62
+WORD = 62  # bits used of a long
+MAX_WORDS = 4
+MAX_K_BOUND = 200
+
+
+def _positions(pairs: DataFrame, key: str, count: int) -> Column:
+    """1 to ``count`` for the ``count`` values of ``key`` that occur most often, 0 for others.
+    The list is a scalar subquery of that many values."""
+    most = (
+        pairs.groupBy(key)
+        .agg(F.count("*").alias("_n"))
+        .orderBy(F.col("_n").desc(), key)
+        .limit(count)
+        .agg(F.sort_array(F.collect_list(key)).alias("_most"))
+        .scalar()
+    )
+    return F.coalesce(F.array_position(most, F.col(key)), F.lit(0))
+
+
+def _masks(position: str, words: int) -> list[Column]:
+    """Aggregates that gather the positions of a group's rows as bits of ``words`` numbers."""
+    return [
+        F.bit_or(
+            F.expr(
+                f"IF({position} BETWEEN {w * WORD + 1} AND {(w + 1) * WORD}, "
+                f"shiftleft(1L, CAST({position} AS INT) - {w * WORD + 1}), 0L)"
+            )
+        ).alias(f"_mask{w}")
+        for w in range(words)
+    ]
+
+
+def weight_of_kth_edge(pairs: DataFrame, k: int) -> int:
+    """A weight that at least ``k`` edges reach, from the edges between the largest groups alone.
+
+    As many of the largest groups are taken as it needs for ``k`` edges (11 groups for 50). Each
+    member's groups among them are bits of one number, and an edge's weight is the count of
+    numbers with both bits. 0 if there are too few groups to tell.
+    """
+    m = math.ceil((1 + math.sqrt(1 + 8 * k)) / 2)
+    if k > MAX_K_BOUND:
+        return 0
+    members = (
+        pairs.withColumn("_at", _positions(pairs, "_g", m))
+        .where("_at > 0")
+        .groupBy("_m")
+        .agg(*_masks("_at", 1))
+    )
+    both = [(1 << i) | (1 << j) for i in range(m) for j in range(i)]
+    weights = members.agg(
+        F.array(*[F.count_if(F.col("_mask0").bitwiseAND(F.lit(b)) == b) for b in both]).alias("w")
+    ).first()["w"]
+    return sorted(weights, reverse=True)[k - 1]
 
 
 def overlap_edges(
@@ -24,11 +80,13 @@ def overlap_edges(
     Every member in ``d`` groups would give ``d * (d - 1) / 2`` pairs, so the busiest members are
     kept out of the pairing without changing the result:
 
-    * Two groups with ``min_common`` members in common share at least one that is not among the
-      ``min_common - 1`` busiest members overall. Those few (a count fixed by the parameter, not
-      by the data) form no pairs. Each group notes which of them it has in the bits of a number,
-      and the common bits are added to the pair's count.
-    * Groups with fewer than ``min_common`` members cannot qualify and leave before pairing.
+    * For the ``k`` strongest edges the least weight of interest, ``need``, rises from
+      ``min_common`` to what the ``k``-th edge between the largest groups weighs already.
+    * Two groups with ``need`` members in common share at least one that is not among the
+      ``need - 1`` busiest members overall. Those (at most a few hundred, whatever the data) form
+      no pairs. Each group notes which of them it has as bits, and the common bits are added to
+      the pair's count.
+    * Groups with fewer than ``need`` members cannot qualify and leave before pairing.
     * The remaining members are paired in blocks of about ``block_rows`` groups, each pair of
       blocks under its own join key, so one member's pairs spread over many tasks.
 
@@ -36,85 +94,71 @@ def overlap_edges(
     sizes and both sides of the pairing read them. Names are looked up after the pairs were
     counted and cut to ``k``.
     """
-    pairs_of = materialise(
+    pairs = materialise(
         mart.where(F.col(member).isNotNull() & F.col(group).isNotNull())
         .select(F.col(member).alias("_m"), F.col(group).alias("_g"))
         .distinct(),
         "pairs",
     )
-    degrees = pairs_of.groupBy("_m").agg(F.count("*").alias("_d"))
-    busy = min(max(min_common - 1, 0), MASK_BITS)
-
-    if busy:
-        busiest = (
-            degrees.orderBy(F.col("_d").desc(), "_m")
-            .limit(busy)
-            .agg(F.sort_array(F.collect_list("_m")).alias("_b"))
-            .scalar()
-        )
-        ranked = pairs_of.withColumn("_bit", F.coalesce(F.array_position(busiest, F.col("_m")), F.lit(0)))
-    else:
-        ranked = pairs_of.withColumn("_bit", F.lit(0).cast("bigint"))
+    need = min_common if k is None else max(min_common, weight_of_kth_edge(pairs, k))
+    busy = min(need - 1, WORD * MAX_WORDS)
+    words = math.ceil(busy / WORD)
 
-    flag = F.expr("IF(_bit > 0, shiftleft(1L, CAST(_bit AS INT) - 1), 0L)")
+    ranked = pairs.withColumn("_at", _positions(pairs, "_m", busy) if busy else F.lit(0))
     groups = (
         ranked.groupBy("_g")
-        .agg(F.count("*").alias("_size"), F.bit_or(flag).alias("_mask"))
-        .where(F.col("_size") >= min_common)
-        .select("_g", "_mask")
+        .agg(F.count("*").alias("_size"), *_masks("_at", words))
+        .where(F.col("_size") >= need)
+        .drop("_size")
     )
-
-    crowded = degrees.where(F.col("_d") > block_rows).select(
-        "_m", F.ceil(F.col("_d") / F.lit(block_rows)).cast("int").alias("_blocks")
+    crowded = (
+        pairs.groupBy("_m")
+        .agg(F.count("*").alias("_d"))
+        .where(F.col("_d") > block_rows)
+        .select("_m", F.ceil(F.col("_d") / F.lit(block_rows)).cast("int").alias("_blocks"))
     )
     rows = (
-        ranked.where("_bit = 0")
+        ranked.where("_at = 0")
         .join(groups, "_g")
         .join(crowded, "_m", "left")
         .withColumn("_blocks", F.coalesce("_blocks", F.lit(1)))
-        .withColumn("_at", F.pmod(F.xxhash64("_g"), F.col("_blocks")).cast("int"))
+        .withColumn("_block", F.pmod(F.xxhash64("_g"), F.col("_blocks")).cast("int"))
     )
+
+    def side(n: int, i: Column, j: Column) -> DataFrame:
+        masks = [F.col(f"_mask{w}").alias(f"_mask{w}_{n}") for w in range(words)]
+        return rows.select("_m", F.col("_g").alias(f"_g{n}"), *masks, i.alias("_i"), j.alias("_j"))
+
     # A row meets the rows of its own block and of every other block exactly once.
-    first = rows.select(
-        "_m",
-        F.col("_at").alias("_i"),
-        F.explode(F.sequence(F.col("_at"), F.col("_blocks") - 1)).alias("_j"),
-        F.col("_g").alias("_g1"),
-        F.col("_mask").alias("_mask1"),
-    )
-    second = rows.select(
-        "_m",
-        F.explode(F.sequence(F.lit(0), F.col("_at"))).alias("_i"),
-        F.col("_at").alias("_j"),
-        F.col("_g").alias("_g2"),
-        F.col("_mask").alias("_mask2"),
-    )
+    block = F.col("_block")
+    first = side(1, block, F.explode(F.sequence(block, F.col("_blocks") - 1)))
+    second = side(2, F.explode(F.sequence(F.lit(0), block)), block)
     met = first.join(second, ["_m", "_i", "_j"]).where(
         (F.col("_i") < F.col("_j")) | (F.col("_g1") < F.col("_g2"))
     )
+    weight = reduce(
+        add,
+        [
+            F.max(F.bit_count(F.col(f"_mask{w}_1").bitwiseAND(F.col(f"_mask{w}_2"))))
+            for w in range(words)
+        ],
+        F.count("*"),
+    )
     edges = (
         met.groupBy(
-            F.least("_g1", "_g2").alias("frente_1_id"),
-            F.greatest("_g1", "_g2").alias("frente_2_id"),
+            F.least("_g1", "_g2").alias("frente_1_id"), F.greatest("_g1", "_g2").alias("frente_2_id")
         )
-        .agg(
-            (
-                F.count("*") + F.max(F.bit_count(F.col("_mask1").bitwiseAND(F.col("_mask2"))))
-            ).alias("membros_comum")
-        )
-        .where(F.col("membros_comum") >= min_common)
+        .agg(weight.alias("membros_comum"))
+        .where(F.col("membros_comum") >= need)
     )
+    strongest = [F.col("membros_comum").desc(), "frente_1_id", "frente_2_id"]
     if k is not None:
-        edges = edges.orderBy(
-            F.col("membros_comum").desc(), "frente_1_id", "frente_2_id"
-        ).limit(k)
+        edges = edges.orderBy(*strongest).limit(k)
 
     names = mart.groupBy(F.col(group).alias("_id")).agg(F.min(group_name).alias("_name"))
-    named = (
+    return (
         edges.join(names.toDF("frente_1_id", "frente_1_nome"), "frente_1_id", "left")
         .join(names.toDF("frente_2_id", "frente_2_nome"), "frente_2_id", "left")
-        .select(
-            "frente_1_id", "frente_1_nome", "frente_2_id", "frente_2_nome", "membros_comum"
-        )
+        .select("frente_1_id", "frente_1_nome", "frente_2_id", "frente_2_nome", "membros_comum")
+        .orderBy(*strongest)
     )
-    return named.orderBy(F.col("membros_comum").desc(), "frente_1_id", "frente_2_id")

@@ -102,6 +102,11 @@ class TableStore:
             return rows.where(F.col("_change").isin(KEEP, INSERT)).drop("_change")
         return self._scan(state, state["current"])
 
+    def register(self, *names: str) -> None:
+        """Make tables available to SQL under their names, as they are after their last load."""
+        for name in names:
+            self.read(name).createOrReplaceTempView(name)
+
     def load_history(self, name: str, last: int = 5) -> DataFrame:
         """The last loads of a table, newest first."""
         return (

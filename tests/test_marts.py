@@ -51,10 +51,33 @@ def test_overlap(spark, hot, min_common, block_rows):
     assert [tuple(r) for r in found.collect()] == expected and expected
 
 
-def test_overlap_top_k(spark):
-    pairs = random_pairs(5, 4)
-    found = overlap.overlap_edges(mart_of(spark, pairs), k=10)
-    assert [tuple(r) for r in found.collect()] == brute_overlap(pairs, 5, 10)
+@pytest.mark.parametrize("hot,k,block_rows", [(4, 10, 2000), (6, 3, 4), (0, 50, 2000), (6, 900, 5)])
+def test_overlap_top_k(spark, hot, k, block_rows):
+    pairs = random_pairs(5, hot)
+    found = overlap.overlap_edges(mart_of(spark, pairs), k=k, block_rows=block_rows)
+    assert [tuple(r) for r in found.collect()] == brute_overlap(pairs, 5, k)
+
+
+def test_overlap_with_more_busy_members_than_bits(spark):
+    """Large groups: the least weight of interest is far above one word of bits, and above all."""
+    rng = random.Random(3)
+    pairs = [(g, m) for g in range(14) for m in range(400) if rng.random() < 0.93 - g / 50]
+    pairs += [(g, rng.randrange(1000)) for g in range(20, 60) for _ in range(30)]
+    for k in (1, 6, 40):
+        mart = mart_of(spark, pairs)
+        found = overlap.overlap_edges(mart, k=k)
+        expected = brute_overlap(pairs, 5, k)
+        assert [tuple(r) for r in found.collect()] == expected and expected[0][4] > overlap.WORD * 4
+
+
+def test_bound_is_reached_by_k_edges(spark):
+    pairs = random_pairs(5, 6)
+    df = spark.createDataFrame(sorted({(m, g) for g, m in pairs}), "_m int, _g int")
+    weights = [e[4] for e in brute_overlap(pairs, 0, None)]
+    for k in (1, 5, 50):
+        assert 0 < overlap.weight_of_kth_edge(df, k) <= weights[k - 1]
+    assert overlap.weight_of_kth_edge(df, 5000) == 0
+    assert overlap.weight_of_kth_edge(df.where("_g = 1"), 5) == 0
 
 
 def test_overlap_when_nothing_qualifies(spark):

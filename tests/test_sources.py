@@ -157,3 +157,17 @@ def test_bronze_writes_nothing_for_an_empty_result(spark):
     assert tables.write_bronze(spark.range(3), path)
     assert not tables.write_bronze(spark.range(0), path)
     assert tables.scan_parquet(spark, path).count() == 3
+
+
+def test_catalog_tables(spark):
+    tables.ensure_schema(spark, "source_test")
+    tables.ensure_schema(spark, "source_test")
+    try:
+        path = scratch_path(spark, "table")
+        tables.save_table(spark.range(3), "source_test.t", path)
+        tables.save_table(spark.range(2), "source_test.t", path, mode="append")
+        assert tables.scan_table(spark, "source_test.t").count() == 5
+        tables.save_table(spark.range(1).selectExpr("'x' AS name"), "source_test.t", path)
+        assert tables.scan_table(spark, "source_test.t").columns == ["name"]
+    finally:
+        spark.sql("DROP DATABASE source_test CASCADE")

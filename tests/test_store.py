@@ -93,6 +93,27 @@ def test_a_load_that_changes_nothing_is_not_logged(spark, store):
     assert store.load_history("t").count() == 1
 
 
+def test_sql_over_registered_tables(spark, store):
+    for day, value in [("2024-01-01", "x"), ("2024-02-01", "y")]:
+        store.load_scd2("entities", stamped(spark, day, (1, value), (2, "z")), ["id"], day)
+    store.register("entities")
+
+    def sql(text):
+        return [tuple(r) for r in spark.sql(text).collect()]
+
+    assert sql("SELECT id, a FROM entities WHERE is_current = true ORDER BY id") == [(1, "y"), (2, "z")]
+    assert sql("SELECT a FROM entities WHERE id = 1 ORDER BY data_inicio DESC") == [("y",), ("x",)]
+    assert sql(
+        "SELECT a FROM entities WHERE id = 1 AND data_inicio <= '2024-01-15' "
+        "AND (data_fim IS NULL OR data_fim > '2024-01-15')"
+    ) == [("x",)]
+    assert sql("SELECT id, COUNT(*) AS n FROM entities GROUP BY id HAVING COUNT(*) > 1") == [(1, 2)]
+    assert sql(
+        "SELECT a, DATEDIFF(COALESCE(data_fim, DATE '2024-02-11'), data_inicio) AS days FROM entities "
+        "WHERE id IN (SELECT id FROM entities GROUP BY id HAVING COUNT(*) > 1) ORDER BY data_inicio"
+    ) == [("x", 31), ("y", 10)]
+
+
 def test_files_of_closed_versions_are_not_rewritten(spark, store):
     for i, value in enumerate("abc"):
         day = dt.date(2024, 1 + i, 1)
