@@ -25,6 +25,18 @@ def row_hash(columns: Sequence[str | Column], mode: str = "mark_nulls") -> Colum
     return F.md5(F.concat_ws("|", *parts))
 
 
+def content_hash(columns: Sequence[str]) -> Column:
+    """MD5 of a row's non-null values with their names, whatever the order of the columns.
+
+    Null fields take no part, so a row keeps its hash when its table gains a column.
+    """
+    exact = {
+        "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+        "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+    }
+    return F.md5(F.to_json(F.struct(*[F.col(f"`{c}`") for c in sorted(columns)]), exact))
+
+
 def stable_key(column: str | Column) -> Column:
     """A 60-bit key that depends on the value alone.
 

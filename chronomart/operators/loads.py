@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronomart.functions.hashing import row_hash
+from chronomart.functions.hashing import content_hash
 from chronomart.operators.rows import dedupe_by_key
 
 
@@ -23,23 +23,19 @@ def new_rows(
 ) -> DataFrame:
     """Rows of the batch that the target does not hold yet, each once.
 
-    Known rows are recognised by ``keys`` (null matching null), of which the target is read and
-    shuffled alone. Without keys a hash over the batch's columns stands in, which has to read
-    those columns of the target but shuffles only the hash. Either is made distinct first, in the
-    partitioning the join uses anyway, so a value repeated all over the target stays one row.
+    Known rows are recognised by ``keys`` (null matching null) or, without keys, by a hash of
+    their content, read from a ``_hash`` column where a side has one. Only the keys or the hash
+    of the target take part, made distinct first in the partitioning the join uses anyway, so a
+    value repeated all over the target stays one row.
     """
-    if keys:
-        mark = F.struct(*[F.col(k) for k in keys])
-        known = target.select(mark.alias("_known"))
-    else:
-        mark = row_hash(batch.columns)
-        have = {c.lower() for c in target.columns}
-        known = target.select(
-            row_hash(
-                [F.col(c) if c.lower() in have else F.lit(None) for c in batch.columns]
-            ).alias("_known")
-        )
-    marked = dedupe_by_key(batch.withColumn("_known", mark), ["_known"])
+
+    def mark(df: DataFrame) -> Column:
+        if keys:
+            return F.struct(*[F.col(k) for k in keys])
+        return F.col("_hash") if "_hash" in df.columns else content_hash(df.columns)
+
+    known = target.select(mark(target).alias("_known"))
+    marked = dedupe_by_key(batch.withColumn("_known", mark(batch)), ["_known"])
     return marked.join(known.distinct(), "_known", "left_anti").drop("_known")
 
 

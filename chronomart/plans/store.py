@@ -24,8 +24,10 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from chronomart.functions.hashing import content_hash
 from chronomart.operators.history import CLOSE, INSERT, KEEP, first_load, snapshot_changes
 from chronomart.operators.loads import new_rows
+from chronomart.operators.rows import dedupe_by_key
 
 LOG_SCHEMA = (
     "table string, version int, as_of date, loaded_at timestamp, operation string, "
@@ -189,11 +191,17 @@ class TableStore:
         keys: Sequence[str] | None = None,
         only_new: bool = True,
     ) -> dict[str, int]:
-        """Add the batch, or with ``only_new`` the part of it the table does not hold yet."""
+        """Add the batch, or with ``only_new`` the rows the table does not hold yet, each once.
+
+        Without keys the rows keep a content hash in ``_hash``, so that the next load reads that
+        one column of the table and not all of them.
+        """
         state = self._latest(name)
+        if not keys:
+            batch = batch.withColumn("_hash", content_hash(batch.columns))
         if state is None:
-            added = batch.withColumn("_change", F.lit(INSERT))
-            return self._publish(name, added, "first", as_of, None)
+            added = dedupe_by_key(batch, keys or ["_hash"]) if only_new else batch
+            return self._publish(name, added.withColumn("_change", F.lit(INSERT)), "first", as_of, None)
         target = self._scan(state, state["current"])
         rows = new_rows(target, batch, keys) if only_new else batch
         # Columns known to one side only are null on the other, now and in later reads.

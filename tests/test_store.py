@@ -5,7 +5,9 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from chronomart.functions.hashing import content_hash
 from chronomart.operators.history import stamp
+from chronomart.operators.loads import new_rows
 from chronomart.plans.store import TableStore
 from chronomart.session import scratch_path, shared_dir
 
@@ -133,20 +135,40 @@ def test_folders_of_a_failed_load_are_ignored_and_replaced(spark, store):
 
 
 def test_appends(spark, store):
-    store.load_append("t", df(spark, (1, "x")), "2024-01-01")
+    assert store.load_append("t", df(spark, (1, "x"), (1, "x")), "2024-01-01")["insert"] == 1
     assert store.load_append("t", df(spark, (1, "x"), (2, "y")), "2024-01-02")["insert"] == 1
     assert store.load_append("t", df(spark, (1, "x")), "2024-01-03")["insert"] == 0
     assert store.load_append("t", df(spark, (1, "x")), "2024-01-04", only_new=False)["insert"] == 1
     assert sorted(r.id for r in store.read("t").collect()) == [1, 1, 2]
 
 
+def test_append_without_keys_reads_one_column(spark, store):
+    store.load_append("t", df(spark, (1, "x")), "2024-01-01")
+    known = store.read("t")
+    batch = df(spark, (2, "y")).withColumn("_hash", F.lit("h"))
+    plan = new_rows(known, batch)._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan parquet [_hash" in plan
+
+
+def test_content_hash(spark):
+    t = "2024-01-01 00:00:00.00000"
+    rows = df(spark, (1, t + "1"), (1, t + "2")).withColumn("ts", F.col("a").cast("timestamp")).drop("a")
+    assert rows.select(content_hash(["id", "ts"])).distinct().count() == 2
+    wider = rows.select(F.lit(None).cast("int").alias("b"), "ts", "id")
+    assert (
+        rows.select(content_hash(rows.columns)).collect() == wider.select(content_hash(wider.columns)).collect()
+    )
+
+
 def test_append_with_new_and_missing_columns(spark, store):
     store.load_append("t", df(spark, (1, "x")), "2024-01-01")
     wider = df(spark, (2, "y", 5), schema="id int, a string, c int")
     store.load_append("t", wider, "2024-01-02")
     store.load_append("t", df(spark, (3,), schema="id int"), "2024-01-03")
-    found = sorted(tuple(r) for r in store.read("t").collect())
+    found = sorted(tuple(r) for r in store.read("t").select("id", "a", "c").collect())
     assert found == [(1, "x", None), (2, "y", 5), (3, None, None)]
+    # A row is known again after the table has gained a column.
+    assert store.load_append("t", df(spark, (1, "x")), "2024-01-04")["insert"] == 0
 
 
 def test_overwrite_replaces_rows_and_schema(spark, store):
