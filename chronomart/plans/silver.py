@@ -22,6 +22,7 @@ from chronomart.plans.entities import (
 from chronomart.plans.store import TableStore
 from chronomart.sources import envelopes, pages
 from chronomart.sources.records import drop_void, flatten_structs
+from chronomart.sources.tables import write_bronze
 
 
 def read_files(
@@ -50,6 +51,12 @@ def read_pages(entity: Entity, page_table: DataFrame, parents: DataFrame | None
     raise ValueError(f"{entity.name} arrives as {entity.arrives}")
 
 
+def land(entity: Entity, raw: DataFrame, folder: str) -> bool:
+    """Keep a snapshot as it came, flattened, in a Parquet folder of the entity's own, replacing
+    the one before; an empty snapshot writes nothing. :func:`run_load` takes either form."""
+    return write_bronze(drop_void(flatten_structs(raw)), f"{folder.rstrip('/')}/{entity.name}")
+
+
 def cleaned(entity: Entity, raw: DataFrame) -> DataFrame:
     return entity.clean(drop_void(flatten_structs(raw)))
 

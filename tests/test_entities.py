@@ -155,6 +155,16 @@ def test_typed_columns(store):
     assert store.read("deputados_orgaos").where("nome_deputado = 'Ana'").count() == 1
 
 
+def test_landed_records_load_like_raw_ones(spark, store):
+    entity = ENTITIES["proposicoes"]
+    raw = silver.read_files(spark, entity, str(store.files / "proposicoes"), DAY)
+    folder = scratch_path(spark, "bronze")
+    assert silver.land(entity, raw, folder) and not silver.land(entity, raw.limit(0), folder)
+    landed = spark.read.parquet(f"{folder}/proposicoes")
+    assert "ultimoStatus_data" in landed.columns
+    assert silver.run_load(store, entity, landed, DAY) == {"insert": 0, "close": 0, "keep": 1}
+
+
 def test_second_load_keeps_history_and_facts_once(spark, store):
     entity = ENTITIES["deputados"]
     changed = [member(7, "Ana", "Z"), member(8, "Bia", "Y"), member(9, "Caio", "X")]
