@@ -1,7 +1,7 @@
 """Versioned Parquet tables: every load adds files and one log row, nothing is rewritten in place.
 
 A load writes ``<root>/<table>/v=<n>/_change=<insert|keep|close>/`` and then appends a row to
-``<root>/_load_log`` that names the folders which now make up the table. Readers follow the log,
+``<root>/_load_log/table=<table>`` that names the folders which now make up the table. Readers follow the log,
 so a table may be read while its next version is written, and a load that dies half-way leaves
 folders no log row points to (the next attempt overwrites them).
 
@@ -30,7 +30,7 @@ from chronomart.operators.loads import new_rows
 from chronomart.operators.rows import dedupe_by_key
 
 LOG_SCHEMA = (
-    "table string, version int, as_of date, loaded_at timestamp, operation string, "
+    "version int, as_of date, loaded_at timestamp, operation string, "
     "rows_inserted bigint, rows_closed bigint, rows_kept bigint, "
     "current array<string>, closed array<string>, schema string"
 )
@@ -43,26 +43,25 @@ class TableStore:
         self.spark = spark
         self.root = root.rstrip("/")
         self.database = database
-        self._log = f"{self.root}/_load_log"
 
     # Reading ----------------------------------------------------------------------------
 
-    def log(self) -> DataFrame:
+    def _log_of(self, name: str) -> str:
+        # A folder per table, so that loads of different tables may commit at the same time.
+        return f"{self.root}/_load_log/table={name}"
+
+    def _entries(self, name: str) -> DataFrame:
+        """The table's log, newest load first."""
         try:
-            return self.spark.read.schema(LOG_SCHEMA).json(self._log)
+            log = self.spark.read.schema(LOG_SCHEMA).json(self._log_of(name))
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], LOG_SCHEMA)
+            log = self.spark.createDataFrame([], LOG_SCHEMA)
+        return log.orderBy(F.col("version").desc())
 
     def _latest(self, name: str) -> Row | None:
-        return (
-            self.log()
-            .where(F.col("table") == name)
-            .orderBy(F.col("version").desc())
-            .limit(1)
-            .first()
-        )
+        return self._entries(name).limit(1).first()
 
     def exists(self, name: str) -> bool:
         return self._latest(name) is not None
@@ -111,16 +110,9 @@ class TableStore:
 
     def load_history(self, name: str, last: int = 5) -> DataFrame:
         """The last loads of a table, newest first."""
-        return (
-            self.log()
-            .where(F.col("table") == name)
-            .orderBy(F.col("version").desc())
-            .limit(last)
-            .select(
-                "version", "loaded_at", "as_of", "operation",
-                "rows_inserted", "rows_closed", "rows_kept",
-            )
-        )
+        return self._entries(name).limit(last).select(
+            "version", "loaded_at", "as_of", "operation", "rows_inserted", "rows_closed", "rows_kept"
+        )
 
     # Writing ----------------------------------------------------------------------------
 
@@ -169,11 +161,12 @@ class TableStore:
         if keep_current:
             here = [*state["current"], *here]
         entry = (
-            name, version, dt.date.fromisoformat(str(as_of)),
-            dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), operation,
+            version, dt.date.fromisoformat(str(as_of)),
+            dt.datetime.now(dt.timezone.utc), operation,
             counts[INSERT], counts[CLOSE], counts[KEEP], here, closed, data.json(),
         )
-        self.spark.createDataFrame([entry], LOG_SCHEMA).coalesce(1).write.mode("append").json(self._log)
+        logged = self.spark.createDataFrame([entry], LOG_SCHEMA).coalesce(1)
+        logged.write.mode("append").json(self._log_of(name))
         if state is not None:
             self._unregister(name, state["version"])
         return counts
