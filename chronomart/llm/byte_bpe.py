@@ -3,10 +3,11 @@
 The merges are compiled into a transducer over bytes. It rests on a property of BPE: a sequence of
 tokens is the encoding of its bytes exactly if every two neighbours are, so the last token of each
 prefix follows from the last tokens of shorter prefixes. While reading a piece the transducer keeps
-the ends that a later token may still start from, and emits every token all of them agree on. What
-it must remember is the last token emitted and the bytes read since, never more than a few token
-lengths (the bounded lookahead); that pair is the state. States and arcs are made when a text first
-needs them (lazy determinisation) and dropped together when there are too many, which bounds memory.
+the ends that a later token may still start from, and emits every token all of them agree on. Whatever
+follows passes through the end of what was emitted, so the rest is encoded as if it began there: the state is
+the bytes read since, never more than a few token lengths (the bounded lookahead). States and arcs are
+made when a text first needs them (lazy determinisation) and dropped together when there are too many,
+which bounds memory.
 
 Rows: a null text is read as empty and gives no ids; other columns are not carried. Repeated rows
 give repeated results. A piece, however long, is read byte by byte, so there is no limit on texts.
@@ -15,6 +16,7 @@ give repeated results. A piece, however long, is read byte by byte, so there is
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -27,6 +29,10 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType
 from chronomart.llm.batches import small_batches
 
 START = -1
+NEVER = 1 << 60
+#: Marks that never belong to the word before them; the empty string is none.
+MARKS = tuple(".,;:!?")
+RUN_OF_SPACES = re.compile(r"\s\s")
 
 
 class Ranks:
@@ -37,120 +43,151 @@ class Ranks:
             self.ids = {base64.b64decode(t): int(r) for t, r in map(bytes.split, lines)}
         self.tokens = {i: t for t, i in self.ids.items()}
 
-    def merge(self, piece: bytes) -> list[int]:
-        """Merge the neighbours of lowest rank, leftmost first, until none can be merged."""
-        parts = [piece[i : i + 1] for i in range(len(piece))]
-        while len(parts) > 1:
-            ranks = [self.ids.get(a + b, len(self.ids) * 2) for a, b in zip(parts, parts[1:])]
-            best = min(ranks)
-            if best >= len(self.ids) * 2:
+    def parts(self, piece: bytes) -> list[bytes]:
+        return [piece[i : i + 1] for i in range(len(piece))]
+
+    def rank(self, left: bytes, right: bytes) -> int:
+        """When two neighbours are merged; NEVER if they are not."""
+        return self.ids.get(left + right, NEVER)
+
+    def merge(self, piece: bytes, until: int = 1) -> list[bytes]:
+        """Merge the neighbours of lowest rank, leftmost first, until none can be merged or ``until`` are left."""
+        parts = self.parts(piece)
+        ranks = [self.rank(a, b) for a, b in zip(parts, parts[1:])]
+        while len(parts) > until:
+            best = min(ranks, default=NEVER)
+            if best == NEVER:
                 break
             at = ranks.index(best)
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return [self.ids[p] for p in parts]
-
-
-class State:
-    """``arcs``: byte to (state, tokens emitted); ``rest``: tokens when the piece ends here."""
+            del ranks[at]
+            if at:
+                ranks[at - 1] = self.rank(parts[at - 1], parts[at])
+            if at < len(ranks):
+                ranks[at] = self.rank(parts[at], parts[at + 1])
+        return parts
 
-    __slots__ = ("arcs", "before", "pending", "rest")
 
-    def __init__(self, before: int, pending: bytes):
-        self.before, self.pending = before, pending
-        self.arcs: dict[int, tuple[State, tuple[int, ...]]] = {}
-        self.rest: tuple[int, ...] | None = None
+class Transducer:
+    """States are numbered; ``arcs`` leads from 256 * state + byte to (256 * the next state, tokens emitted).
 
+    Of each state are known the bytes not yet emitted, the token that ends at each of their ends, and the ends
+    at which a token longer than what follows may begin. Whole numbers and tuples keep the tables
+    small and out of the garbage collector's way.
+    """
 
-class Transducer:
     def __init__(self, ranks: Ranks, max_states: int = 200_000):
         self.ranks, self.max_states = ranks, max_states
-        self.longest = max(map(len, ranks.ids))
         self.prefixes = {t[:n] for t in ranks.ids for n in range(1, len(t))}
         self._forget()
 
     def _forget(self) -> None:
-        self.states: dict[tuple[int, bytes], State] = {}
         self.joins: dict[tuple[int, int], bool] = {}
-        self.start = self._state(START, b"")
-
-    def _state(self, before: int, pending: bytes) -> State:
-        state = self.states.get((before, pending))
-        if state is None:
-            state = self.states[before, pending] = State(before, pending)
-        return state
+        self.made: dict[bytes, tuple[int, bytes, bytes]] = {}
+        self.states: list[tuple[bytes, tuple[int, ...], tuple[int, ...]]] = [(b"", (START,), (0,))]
+        self.numbers: dict[bytes, int] = {b"": 0}
+        self.arcs: dict[int, tuple[int, tuple[int, ...]]] = {}
+        self.rests: dict[int, tuple[int, ...]] = {}
+
+    def _made(self, token: bytes) -> tuple[int, bytes, bytes]:
+        """When merging makes a token, and of which halves: (-1, ...) for one that is there from the start,
+        (NEVER, ...) for one that merging its bytes does not give."""
+        known = self.made.get(token)
+        if known is None:
+            halves = self.ranks.merge(token, until=2)
+            known = -1, token, token
+            if len(halves) > 1:
+                left, right = halves[0], halves[-1]
+                rank = self.ranks.rank(left, right) if len(halves) == 2 else NEVER
+                known = rank, left, right
+            self.made[token] = known
+        return known
 
     def _fits(self, left: int, right: int) -> bool:
-        """Whether ``right`` stays a token of its own when it follows ``left``."""
+        """Whether ``right`` stays a token of its own when it follows ``left``.
+
+        Backwards in time: the later made of the two is taken apart, which leaves the halves that met at the seam
+        before; had they been merged earlier than it was made (at equal rank the left one is first), the
+        seam would not have stayed.
+        """
         known = self.joins.get((left, right))
         if known is None:
-            token = self.ranks.tokens[right]
-            if left == START:
-                known = self.ranks.merge(token) == [right]
-            else:
-                known = self._fits(START, right) and self.ranks.merge(
-                    self.ranks.tokens[left] + token
-                ) == [left, right]
+            b = self.ranks.tokens[right]
+            known = self._made(b)[0] != NEVER
+            if known and left != START:
+                a, limit = self.ranks.tokens[left], NEVER
+                while known := self.ranks.rank(a, b) >= limit:
+                    (made_a, _, tail), (made_b, head, _) = self._made(a), self._made(b)
+                    if made_a == made_b == -1:
+                        break
+                    if made_a > made_b:
+                        a, limit = tail, made_a
+                    else:
+                        b, limit = head, made_b + 1
             self.joins[left, right] = known
         return known
 
-    def _ends(self, before: int, pending: bytes) -> list[int]:
-        """For each end in ``pending`` the token that ends there, None where none does."""
-        last: list[int | None] = [before]
-        for end in range(1, len(pending) + 1):
-            found = None
-            for begin in range(max(0, end - self.longest), end):
-                left = last[begin]
-                token = self.ranks.ids.get(pending[begin:end])
-                if token is not None and left is not None and self._fits(left, token):
-                    found = token
-                    break
-            last.append(found)
-        return last
-
-    def _path(self, last: list, end: int) -> list[int]:
-        """The ends passed on the way to ``end``, from 0 on."""
-        path = [end]
+    def _before(self, last: list[int], end: int) -> int:
+        return end - len(self.ranks.tokens[last[end]])
+
+    def _path(self, last: list[int], end: int) -> tuple[int, ...]:
+        """The tokens on the way to ``end``."""
+        path = []
         while end:
-            end -= len(self.ranks.tokens[last[end]])
-            path.append(end)
-        return path[::-1]
-
-    def _read(self, state: State, byte: int) -> tuple[State, tuple[int, ...]]:
-        pending = state.pending + bytes((byte,))
-        last = self._ends(state.before, pending)
-        open_ends = [
-            i
-            for i in range(len(pending) + 1)
-            if last[i] is not None and (i == len(pending) or pending[i:] in self.prefixes)
-        ]
-        paths = [self._path(last, i) for i in open_ends]
-        common = set(paths[0]).intersection(*paths[1:])
-        agreed = max(common)
-        emitted = tuple(last[i] for i in next(p for p in paths if agreed in p) if 0 < i <= agreed)
-        arc = self._state(emitted[-1] if emitted else state.before, pending[agreed:]), emitted
-        state.arcs[byte] = arc
+            path.append(last[end])
+            end = self._before(last, end)
+        return tuple(path[::-1])
+
+    def _read(self, place: int) -> tuple[int, tuple[int, ...]]:
+        """The arc for 256 * state + byte."""
+        before, ends, opens = self.states[place >> 8]
+        pending = before + bytes((place & 255,))
+        tokens = ((begin, self.ranks.ids.get(pending[begin:])) for begin in opens)
+        last = (*ends, next(t for b, t in tokens if t is not None and self._fits(ends[b], t)))
+        opens = (*(b for b in opens if pending[b:] in self.prefixes), len(pending))
+        # The end that the ways to all open ends pass: step back from the furthest until one is left.
+        ways = set(opens)
+        while len(ways) > 1:
+            furthest = max(ways)
+            ways.remove(furthest)
+            ways.add(self._before(last, furthest))
+        agreed = ways.pop()
+        number = self.numbers.setdefault(pending[agreed:], len(self.states))
+        if number == len(self.states):
+            self.states.append(
+                (pending[agreed:], (START, *last[agreed + 1 :]), tuple(b - agreed for b in opens))
+            )
+        self.arcs[place] = arc = number << 8, self._path(last, agreed)
         return arc
 
-    def _finish(self, state: State) -> tuple[int, ...]:
-        last = self._ends(state.before, state.pending)
-        state.rest = tuple(last[i] for i in self._path(last, len(state.pending)) if i)
-        return state.rest
+    def _rest(self, state: int) -> tuple[int, ...]:
+        """The tokens still to come when the piece ends here."""
+        rest = self.rests.get(state)
+        if rest is None:
+            pending, last, _ = self.states[state >> 8]
+            rest = self.rests[state] = self._path(last, len(pending))
+        return rest
 
     def stream(self, piece: Iterable[int]) -> Iterator[int]:
         """Ids of one piece as soon as they are certain."""
-        state = self.start
+        state = 0
         for byte in piece:
-            arc = state.arcs.get(byte) or self._read(state, byte)
-            state = arc[0]
-            yield from arc[1]
-        yield from self._finish(state) if state.rest is None else state.rest
+            state, emitted = self.arcs.get(state | byte) or self._read(state | byte)
+            yield from emitted
+        yield from self._rest(state)
+
+    def encode(self, piece: bytes) -> list[int]:
+        """The ids of one piece."""
         if len(self.states) > self.max_states:
             self._forget()
-
-    def encode(self, piece: bytes) -> tuple[int, ...]:
-        # Only a whole piece may be a token that merging does not reach.
-        whole = self.ranks.ids.get(piece)
-        return (whole,) if whole is not None else tuple(self.stream(piece))
+        ids: list[int] = []
+        state, arcs = 0, self.arcs
+        for byte in piece:
+            state, emitted = arcs.get(state | byte) or self._read(state | byte)
+            if emitted:
+                ids += emitted
+        ids += self._rest(state)
+        return ids
 
 
 class Utf8State:
@@ -214,28 +251,70 @@ def _transducer(path: str) -> Transducer:
     return Transducer(_ranks(path))
 
 
-def encode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text",
-           max_pieces: int = 200_000) -> DataFrame:
+class Encoder:
+    """Ids of whole texts; remembers those of up to ``max_parts`` parts between single spaces.
+
+    ``spaced`` says that the pattern takes a space and the letters after it as one match and a mark at the end of
+    a word as another, so what lies between single spaces can be encoded by itself.
+    """
+
+    def __init__(self, path: str, pattern: str, spaced: bool, max_parts: int = 300_000):
+        self.transducer = _transducer(path)
+        self.pieces = regex.compile(pattern)
+        self.spaced, self.max_parts = spaced, max_parts
+        self.known: dict[str, tuple[int, ...]] = {}
+
+    def piece(self, text: str) -> list[int]:
+        data = text.encode()
+        # Only a whole piece may be a token that merging does not reach.
+        whole = self.transducer.ranks.ids.get(data)
+        return self.transducer.encode(data) if whole is None else [whole]
+
+    def part(self, text: str) -> list[int]:
+        """Ids of a text that begins and ends where matches of the pattern do."""
+        return [i for piece in self.pieces.findall(text) for i in self.piece(piece)]
+
+    def word(self, text: str) -> list[int]:
+        """Ids of what stands between two single spaces, with the first of them."""
+        if text.isalpha():
+            return self.piece(" " + text)
+        if text[-1:] in MARKS and text[:-1].isalpha():
+            return self.piece(" " + text[:-1]) + self.piece(text[-1])
+        return self.part(" " + text)
+
+    def ids(self, text: str) -> list[int]:
+        if not self.spaced or RUN_OF_SPACES.search(text):
+            return self.part(text)
+        first, *rest = text.split(" ")
+        ids, known = self.part(first), self.known
+        for part in rest:
+            found = known.get(part)
+            if found is None:
+                if len(known) >= self.max_parts:
+                    known.clear()
+                found = known[part] = tuple(self.word(part))
+            ids += found
+        return ids
+
+
+@lru_cache(maxsize=2)
+def _encoder(path: str, pattern: str, spaced: bool) -> Encoder:
+    return Encoder(path, pattern, spaced)
+
+
+def encode(
+    docs: DataFrame, path: str, pattern: str, spaced: bool = False, key: str = "doc_id", text: str = "text"
+) -> DataFrame:
     """``(key, ids array<int>)`` of every text.
 
     ``path`` is the rank file, to be found under the same name on every executor; each match of
-    ``pattern`` is encoded by itself. ``max_pieces`` bounds the pieces whose ids a task remembers.
+    ``pattern`` is encoded by itself. For ``spaced`` see ``Encoder``.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        transducer, pieces, known = _transducer(path), regex.compile(pattern), {}
+        encoder = _encoder(path, pattern, spaced)
         for batch in small_batches(batches):
-            rows = []
-            for value in batch.column(1).to_pylist():
-                row: list[int] = []
-                for piece in pieces.findall(value or ""):
-                    found = known.get(piece)
-                    if found is None:
-                        if len(known) >= max_pieces:
-                            known.clear()
-                        found = known[piece] = transducer.encode(piece.encode())
-                    row.extend(found)
-                rows.append(pa.array(row, pa.int32()))
+            rows = [pa.array(encoder.ids(v or ""), pa.int32()) for v in batch.column(1).to_pylist()]
             yield _lists(batch.column(0), rows)
 
     schema = docs.select(F.col(key)).schema.add("ids", ArrayType(IntegerType()))
