@@ -22,9 +22,11 @@ SYMBOLS = "[#*$%&|<>]"
 WINDOW = 8
 MIN_WORDS = 50
 MIN_CHARS = 200
-#: Limits of the Jensen-Shannon distance, a square root between 0 and 1.
+#: Limits of the Jensen-Shannon distance, a square root between 0 and 1. A short text misses most common words by
+#: chance alone, so its word limit is wider by WORD_NOISE over the root of its length.
 MAX_CLASS_DISTANCE = 0.25
-MAX_WORD_DISTANCE = 0.45
+MAX_WORD_DISTANCE = 0.2
+WORD_NOISE = 1.6
 
 # Common words of the languages.
 COMMON_WORDS = {
@@ -193,7 +195,8 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     df = js_distance(df, "classes", "ref_classes", "class_distance")
     df = js_distance(df, "common", "ref_common", "word_distance")
     far = (F.col("n_chars") >= MIN_CHARS) & (F.col("class_distance") > MAX_CLASS_DISTANCE)
-    far |= (F.col("n_words") >= MIN_WORDS) & (F.col("word_distance") > MAX_WORD_DISTANCE)
+    limit = MAX_WORD_DISTANCE + WORD_NOISE / F.sqrt("n_words")
+    far |= (F.col("n_words") >= MIN_WORDS) & (F.col("word_distance") > limit)
     return df.withColumn("kept", ~F.col("base_failed") & ~F.coalesce(far, F.lit(False))).drop(
         "ref_classes", "ref_common"
     )

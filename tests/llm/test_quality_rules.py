@@ -59,7 +59,8 @@ def brute(rows):
         b, (classes, common) = base(text), histograms(text, lang)
         far_c, far_w = (distance(x, y) for x, y in zip((classes, common), sums.get(lang, (None, None))))
         far = far_c is not None and len(text or "") >= rules.MIN_CHARS and far_c > rules.MAX_CLASS_DISTANCE
-        far |= far_w is not None and b[0] >= rules.MIN_WORDS and far_w > rules.MAX_WORD_DISTANCE
+        if far_w is not None and b[0] >= rules.MIN_WORDS:
+            far |= far_w > rules.MAX_WORD_DISTANCE + rules.WORD_NOISE / math.sqrt(b[0])
         out.append((*b, not b[-1] and not far, far_c, far_w))
     return out
 
@@ -96,3 +97,14 @@ def test_kept_documents_have_their_own_columns(spark):
     assert kept.columns == docs.columns
     assert 0 < kept.count() < docs.count() and kept.where("n_words <> 5 or kept <> 6").count() == 0
     assert rules.kept_documents(docs.limit(0)).count() == 0
+
+
+def test_labelled_documents(spark):
+    """Documents labelled good stay; of those labelled bad, long enough and past the base rules, half go."""
+    sf = "/root/testdata/sf0.01"
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    rows = [r for r in QUERIES["op8_quality_rules"](spark, sf).collect() if r.doc_id in labels]
+    good = [r for r in rows if labels[r.doc_id] == 1 and not r.base_failed]
+    bad = [r for r in rows if labels[r.doc_id] == 0 and not r.base_failed and r.n_words >= rules.MIN_WORDS]
+    assert all(r.kept for r in good)
+    assert sum(not r.kept for r in bad) >= 0.4 * len(bad)
