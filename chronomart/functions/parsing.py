@@ -36,8 +36,9 @@ def parse_timestamp(c: str | Column, pattern: str | None = ISO_SECONDS) -> Colum
     return F.try_to_timestamp(_col(c), F.lit(pattern))
 
 
-def to_money(c: str | Column) -> Column:
-    return _col(c).cast("decimal(18,2)")
+def to_money(c: str | Column, strict: bool = False) -> Column:
+    """Amount from text or number, null when it is none; with ``strict`` that fails the query."""
+    return _col(c).cast("decimal(18,2)") if strict else _col(c).try_cast("decimal(18,2)")
 
 
 def to_int(c: str | Column) -> Column:

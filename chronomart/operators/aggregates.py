@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -30,42 +30,45 @@ def collect_in_parts(
     name: str,
     distinct: bool,
     max_items: int = 1000,
-    spread_by: Column | None = None,
-    counts: DataFrame | None = None,
     count_name: str = "quantidade",
 ) -> DataFrame:
-    """All values of each key as sorted arrays of about ``max_items`` each, with the key's count.
+    """All values of each key as sorted arrays, one row per key and part, with the key's row count.
 
-    An ordinary key gives one row (``parte`` 0 of ``partes`` 1), as a plain collect would. A key
-    with more rows gives several, its values spread by hash (or by ``spread_by``, a number), so no
-    single array, group or task has to hold a key that owns a third of the data and no value is
-    left out. ``distinct`` needs equal values to fall in the same part, so there ``spread_by`` may
-    depend on the value only.
+    The grain is (key, part) for every key; ``partes`` is what the key's values, the different ones
+    with ``distinct``, need at ``max_items`` each. Different values are spread over the parts by hash,
+    so an array is about that long and never a multiple of it; equal values of a list are dealt out to
+    all parts evenly. Null is no value but counts as a row: a key without values gives one empty array.
 
-    ``counts`` replaces the row counts per key, ``(keys..., count_name)``, when the caller has
-    them already; they may exceed the number of rows in ``df``.
+    Rows are counted per key and value first, combined before the shuffle, so a value repeated any
+    number of times travels as one row, and no array, group or task holds a whole hot key.
     """
-    if counts is None:
-        counts = df.groupBy(*keys).agg(F.count("*").alias(count_name))
-    sizes = counts.withColumn(
-        "partes", F.ceil(F.col(count_name) / F.lit(max_items)).cast("bigint")
+    held = df.groupBy(*keys, value).agg(F.count("*").alias("_n"))
+    items = F.count(value) if distinct else F.sum(F.when(F.col(value).isNotNull(), F.col("_n")))
+    sizes = held.groupBy(*keys).agg(
+        F.sum("_n").alias(count_name),
+        F.greatest(F.lit(1), F.ceil(F.coalesce(items, F.lit(0)) / F.lit(max_items))).cast("bigint").alias("partes"),
     )
-    spread = F.xxhash64(value) if spread_by is None else spread_by
-    # A left join can build a hash table of the sizes only. Spark's size estimate of exploded rows
-    # is far too low, and an inner join might broadcast them.
     same_key = reduce(and_, [F.col(f"r.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys])
-    placed = (
-        df.withColumn("_spread", spread)
-        .alias("r")
-        .join(sizes.alias("s"), same_key, "left")
-        .select("r.*", f"s.{count_name}", "s.partes")
-        .withColumn("parte", F.pmod(F.col("_spread"), F.col("partes")))
+    # A left join can build a hash table of the sizes only, never of the values.
+    sized = held.alias("r").join(sizes.alias("s"), same_key, "left").select("r.*", f"s.{count_name}", "s.partes")
+    start = F.coalesce(F.xxhash64(value), F.lit(0))
+    if distinct:
+        placed = sized.withColumn("parte", F.pmod(start, F.col("partes"))).withColumn("_copies", F.lit(1))
+    else:
+        turns = F.sequence(F.lit(0).cast("bigint"), F.least("_n", "partes") - 1)
+        each = F.floor(F.col("_n") / F.col("partes")) + (F.col("_turn") < F.col("_n") % F.col("partes")).cast("int")
+        placed = (
+            sized.withColumn("_turn", F.explode(turns))
+            .withColumn("parte", F.pmod(F.pmod(start, F.col("partes")) + F.col("_turn"), F.col("partes")))
+            .withColumn("_copies", each.cast("int"))
+        )
+    copies = F.when(F.col(value).isNull(), F.array().cast(f"array<{df.schema[value].dataType.simpleString()}>")).otherwise(
+        F.array_repeat(value, F.col("_copies"))
     )
     # Grouping by (keys, parte) would accept the join's partitioning by keys and with it the hot
     # key's task. An explicit exchange spreads the parts and lets the skewed join be split.
-    collect = F.collect_set(value) if distinct else F.collect_list(value)
     return (
         placed.repartition(*keys, "parte")
         .groupBy(*keys, count_name, "parte", "partes")
-        .agg(F.sort_array(collect).alias(name))
+        .agg(F.sort_array(F.flatten(F.collect_list(copies))).alias(name))
     )

@@ -95,7 +95,7 @@ def snapshot_changes(
     keys: Sequence[str],
     as_of: dt.date | str | Column,
     close_missing: bool = False,
-    null_safe: bool = False,
+    null_safe: bool = True,
 ) -> DataFrame:
     """What a snapshot does to the current rows: each result row carries ``_change``.
 
@@ -103,9 +103,14 @@ def snapshot_changes(
     (or, with ``close_missing``, whose key is absent from it); ``insert``: snapshot row with a
     new key or a changed hash. Repeated snapshot keys are reduced to one row first.
 
-    One full outer join on the keys does it, so each side is shuffled once. With ``null_safe``
-    the keys are joined as one struct: structs with null fields compare equal, and the struct
-    also serves the removal of repeated keys, which therefore needs no shuffle of its own.
+    One full outer join on the keys does it, so each side is shuffled once. The keys are joined as
+    one struct: structs with null fields compare equal, so a key that is partly null has one current
+    row like any other, and the struct also serves the removal of repeated keys, which therefore needs
+    no shuffle of its own. ``null_safe=False`` is the literal merge, in which a null key matches
+    nothing and is inserted again by every snapshot.
+
+    A snapshot older than an open version that it would close is refused when the plan runs: the
+    version would end before it began.
     """
     old, new = _aligned(current, stamped)
     columns = old.columns
@@ -137,7 +142,9 @@ def snapshot_changes(
         for c in columns:
             value = F.col(f"{side}.{c}")
             if ends and c == "data_fim":
-                value = F.when(closing, _day(as_of)).otherwise(value)
+                late = F.col(f"{side}.data_inicio") > _day(as_of)
+                refuse = F.raise_error(F.lit("the snapshot is older than the version it closes")).cast("date")
+                value = F.when(closing & late, refuse).when(closing, _day(as_of)).otherwise(value)
             elif ends and c == "is_current":
                 value = F.when(closing, F.lit(False)).otherwise(value)
             fields.append(value.alias(c))
@@ -158,10 +165,14 @@ def apply_scd2(
     keys: Sequence[str],
     as_of: dt.date | str | Column,
     close_missing: bool = False,
-    null_safe: bool = False,
+    null_safe: bool = True,
 ) -> DataFrame:
     """The table with history after a snapshot. Closed versions pass through unshuffled, and
-    applying the same snapshot again changes nothing."""
+    applying the same snapshot again changes nothing.
+
+    The result reads ``target`` twice, once for the open and once for the closed versions. Write it
+    before the next snapshot is applied: chained plans would double with every one.
+    """
     changes = snapshot_changes(
         target.where(F.col("is_current")), stamped, keys, as_of, close_missing, null_safe
     )

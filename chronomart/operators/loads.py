@@ -21,22 +21,35 @@ def append_all(target: DataFrame, batch: DataFrame, evolve: bool = True) -> Data
 def new_rows(
     target: DataFrame, batch: DataFrame, keys: Sequence[str] | None = None
 ) -> DataFrame:
-    """Rows of the batch that the target does not hold yet, each once.
+    """Rows of the batch that the target does not hold yet.
 
-    Known rows are recognised by ``keys`` (null matching null) or, without keys, by a hash of
-    their content, read from a ``_hash`` column where a side has one. Only the keys or the hash
-    of the target take part, made distinct first in the partitioning the join uses anyway, so a
-    value repeated all over the target stays one row.
+    With ``keys`` (null matching null) a key is known or added once. Without keys equal rows are
+    facts of their own: of each row, recognised by a hash of its whole content (read from a ``_hash``
+    column where a side has one), as many copies are added as the batch has more than the target.
+    Only the keys or the hash of the target take part, made distinct or counted before the shuffle,
+    so a value repeated all over the target stays one row.
     """
+    if keys:
+        known = target.select(F.struct(*keys).alias("_known")).distinct()
+        marked = dedupe_by_key(batch.withColumn("_known", F.struct(*keys)), ["_known"])
+        return marked.join(known, "_known", "left_anti").drop("_known")
 
     def mark(df: DataFrame) -> Column:
-        if keys:
-            return F.struct(*[F.col(k) for k in keys])
         return F.col("_hash") if "_hash" in df.columns else content_hash(df.columns)
 
-    known = target.select(mark(target).alias("_known"))
-    marked = dedupe_by_key(batch.withColumn("_known", mark(batch)), ["_known"])
-    return marked.join(known.distinct(), "_known", "left_anti").drop("_known")
+    held = target.select(mark(target).alias("_known")).groupBy("_known").agg(F.count("*").alias("_held"))
+    come = (
+        batch.select(mark(batch).alias("_known"), F.struct("*").alias("_row"))
+        .groupBy("_known")
+        .agg(F.first("_row").alias("_row"), F.count("*").alias("_come"))
+    )
+    more = F.col("_come") - F.coalesce("_held", F.lit(0))
+    return (
+        come.join(held, "_known", "left")
+        .where(more > 0)
+        .select("_row", F.explode(F.sequence(F.lit(1).cast("bigint"), more)))
+        .select("_row.*")
+    )
 
 
 def append_new(

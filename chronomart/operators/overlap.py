@@ -133,7 +133,8 @@ def overlap_edges(
     block = F.col("_block")
     first = side(1, block, F.explode(F.sequence(block, F.col("_blocks") - 1)))
     second = side(2, F.explode(F.sequence(F.lit(0), block)), block)
-    met = first.join(second, ["_m", "_i", "_j"]).where(
+    # Spark cannot tell how many rows an explode makes and might broadcast them.
+    met = first.hint("merge").join(second.hint("merge"), ["_m", "_i", "_j"]).where(
         (F.col("_i") < F.col("_j")) | (F.col("_g1") < F.col("_g2"))
     )
     weight = reduce(
@@ -155,7 +156,13 @@ def overlap_edges(
     if k is not None:
         edges = edges.orderBy(*strongest).limit(k)
 
-    names = mart.groupBy(F.col(group).alias("_id")).agg(F.min(group_name).alias("_name"))
+    named = edges.select(F.explode(F.array("frente_1_id", "frente_2_id")).alias("_id")).distinct()
+    names = (
+        mart.select(F.col(group).alias("_id"), F.col(group_name).alias("_name"))
+        .join(named, "_id", "left_semi")
+        .groupBy("_id")
+        .agg(F.min("_name").alias("_name"))
+    )
     return (
         edges.join(names.toDF("frente_1_id", "frente_1_nome"), "frente_1_id", "left")
         .join(names.toDF("frente_2_id", "frente_2_nome"), "frente_2_id", "left")

@@ -42,17 +42,12 @@ def term_frequency(tagged: DataFrame, words: str = "palavras_chave") -> DataFram
 
 
 def top_terms(
-    tagged: DataFrame,
-    example: str = "titulo",
-    words: str = "palavras_chave",
-    max_items: int = 1000,
-    spread_by: Column | None = None,
+    tagged: DataFrame, example: str = "titulo", words: str = "palavras_chave", max_items: int = 1000
 ) -> DataFrame:
     """Keyword, frequency and the distinct titles (or, for long texts, ids) it appears in, the
-    most frequent first. Titles come in parts as :func:`collect_in_parts` makes them."""
-    pairs = _one_per_row(
-        tagged, F.array_distinct(words), "tema", F.col(example).alias("_example")
-    )
+    most frequent first. Titles come in parts as :func:`collect_in_parts` makes them. One pass over
+    the texts gives both: occurrences per keyword and title."""
+    pairs = _one_per_row(tagged, F.col(words), "tema", F.col(example).alias("_example"))
     return (
         collect_in_parts(
             pairs,
@@ -61,8 +56,6 @@ def top_terms(
             "exemplos_frentes",
             distinct=True,
             max_items=max_items,
-            spread_by=spread_by,
-            counts=term_frequency(tagged, words),
             count_name="frequencia",
         )
         .select("tema", "frequencia", "parte", "partes", "exemplos_frentes")
@@ -70,18 +63,9 @@ def top_terms(
     )
 
 
-def category_distribution(
-    tagged: DataFrame,
-    key: str = "id",
-    example: str = "titulo",
-    max_items: int = 1000,
-    spread_by: Column | None = None,
-) -> DataFrame:
-    """Rows and titles per category, the largest first. Titles repeat as often as they occur, so
-    they are spread over the parts by the row's key."""
-    rows = _one_per_row(
-        tagged, F.col("categorias"), "categoria", F.col(key), F.col(example).alias("_example")
-    )
+def category_distribution(tagged: DataFrame, example: str = "titulo", max_items: int = 1000) -> DataFrame:
+    """Rows and titles per category, the largest first. Titles repeat as often as they occur."""
+    rows = _one_per_row(tagged, F.col("categorias"), "categoria", F.col(example).alias("_example"))
     return (
         collect_in_parts(
             rows,
@@ -90,7 +74,6 @@ def category_distribution(
             "exemplos",
             distinct=False,
             max_items=max_items,
-            spread_by=F.xxhash64(key) if spread_by is None else spread_by,
             count_name="num_frentes",
         )
         .select("categoria", "num_frentes", "parte", "partes", "exemplos")

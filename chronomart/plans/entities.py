@@ -29,7 +29,7 @@ class Entity:
     clean: Callable[[DataFrame], DataFrame] = cleaning.clean_links
     keys: Sequence[str] = ()
     tracked: Sequence[str] = ()
-    null_safe: bool = False
+    null_safe: bool = True
 
 
 def _record(**fields: str | T.DataType) -> T.StructType:
@@ -77,7 +77,6 @@ ENTITIES = {
                     siglaUf="string", tituloDeputado="string"),
             clean=cleaning.clean_group_members,
             keys=["id", "iddeputado"], tracked=["id", "iddeputado", "tituloDeputado"],
-            null_safe=True,
         ),
         Entity(
             "blocos", SINGLE, SCD2,

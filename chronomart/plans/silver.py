@@ -29,13 +29,13 @@ def read_files(
     spark: SparkSession, entity: Entity, path: str, as_of: dt.date, multi_line: bool = True
 ) -> DataFrame:
     """Raw records of an entity that arrives as files: all of them, or those of the last eight
-    years."""
+    years. Fields that the entity does not declare are kept in ``_extra``."""
     if entity.arrives == YEARLY:
         return envelopes.read_year_window(
-            spark, path, entity.record, as_of.year, multi_line=multi_line
+            spark, path, entity.record, as_of.year, multi_line=multi_line, whole=True
         )
     if entity.arrives == FILES:
-        return envelopes.read_envelopes(spark, path, entity.record, multi_line=multi_line)
+        return envelopes.read_envelopes(spark, path, entity.record, multi_line=multi_line, whole=True)
     raise ValueError(f"{entity.name} arrives as {entity.arrives}")
 
 

@@ -7,10 +7,6 @@ folders no log row points to (the next attempt overwrites them).
 
 What a load has to write differs by kind: an append writes the new rows only; a history load
 writes current and newly closed rows, while versions closed by earlier loads keep their files.
-
-Given a ``database``, history loads also register their files there as a table bucketed by key. The
-next load then joins the current rows as they lie, and only the snapshot is shuffled. Buckets follow
-``spark.sql.shuffle.partitions``, which makes the snapshot's one shuffle fit them.
 """
 
 from __future__ import annotations
@@ -39,10 +35,9 @@ LOG_SCHEMA = (
 class TableStore:
     """Tables under one folder that all executors can reach. One writer per table at a time."""
 
-    def __init__(self, spark: SparkSession, root: str, database: str | None = None):
+    def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.database = database
 
     # Reading ----------------------------------------------------------------------------
 
@@ -88,21 +83,6 @@ class TableStore:
         state = self._state(name)
         return self._scan(state, state["current"])
 
-    def _bucketed(self, name: str, version: int) -> str:
-        return f"{self.database}.{name}__v{version:06d}"
-
-    def _unregister(self, name: str, version: int) -> None:
-        """Forget a bucketed registration; the files are external and stay."""
-        if self.database:
-            self.spark.sql(f"DROP TABLE IF EXISTS {self._bucketed(name, version)}")
-
-    def _current_for_load(self, name: str, state: Row) -> DataFrame:
-        """Current rows, through the bucketed registration of the last load if there is one."""
-        if self.database and self.spark.catalog.tableExists(self._bucketed(name, state["version"])):
-            rows = self.spark.table(self._bucketed(name, state["version"]))
-            return rows.where(F.col("_change").isin(KEEP, INSERT)).drop("_change")
-        return self._scan(state, state["current"])
-
     def register(self, *names: str) -> None:
         """Make tables available to SQL under their names, as they are after their last load."""
         for name in names:
@@ -124,7 +104,6 @@ class TableStore:
         as_of: dt.date | str,
         state: Row | None,
         keep_current: bool = False,
-        bucket_by: Sequence[str] = (),
     ) -> dict[str, int]:
         """Write rows that carry ``_change``, count what was written and log the version.
 
@@ -133,14 +112,7 @@ class TableStore:
         """
         version = 1 if state is None else state["version"] + 1
         folder = f"{name}/v={version:06d}"
-        writer = rows.write.mode("overwrite").partitionBy("_change")
-        if self.database and bucket_by:
-            buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-            writer.bucketBy(buckets, *bucket_by).option("path", f"{self.root}/{folder}").format(
-                "parquet"
-            ).saveAsTable(self._bucketed(name, version))
-        else:
-            writer.parquet(f"{self.root}/{folder}")
+        rows.write.mode("overwrite").partitionBy("_change").parquet(f"{self.root}/{folder}")
         data = T.StructType([f for f in rows.schema.fields if f.name != "_change"])
         written = (
             self.spark.read.schema(T.StructType([*data.fields, T.StructField("_change", T.StringType())]))
@@ -151,7 +123,6 @@ class TableStore:
         )
         counts = {INSERT: 0, CLOSE: 0, KEEP: 0, **{r["_change"]: r["count"] for r in written}}
         if operation in ("scd2", "append") and counts[INSERT] + counts[CLOSE] == 0:
-            self._unregister(name, version)
             return counts
 
         here = [f"{folder}/_change={c}" for c in (KEEP, INSERT) if counts[c]]
@@ -167,8 +138,6 @@ class TableStore:
         )
         logged = self.spark.createDataFrame([entry], LOG_SCHEMA).coalesce(1)
         logged.write.mode("append").json(self._log_of(name))
-        if state is not None:
-            self._unregister(name, state["version"])
         return counts
 
     def overwrite(self, name: str, df: DataFrame, as_of: dt.date | str) -> dict[str, int]:
@@ -184,7 +153,8 @@ class TableStore:
         keys: Sequence[str] | None = None,
         only_new: bool = True,
     ) -> dict[str, int]:
-        """Add the batch, or with ``only_new`` the rows the table does not hold yet, each once.
+        """Add the batch, or with ``only_new`` the rows the table does not hold yet: with keys each
+        once, without keys as many copies as the batch has more than the table.
 
         Without keys the rows keep a content hash in ``_hash``, so that the next load reads that
         one column of the table and not all of them.
@@ -193,7 +163,7 @@ class TableStore:
         if not keys:
             batch = batch.withColumn("_hash", content_hash(batch.columns))
         if state is None:
-            added = dedupe_by_key(batch, keys or ["_hash"]) if only_new else batch
+            added = dedupe_by_key(batch, keys) if only_new and keys else batch
             return self._publish(name, added.withColumn("_change", F.lit(INSERT)), "first", as_of, None)
         target = self._scan(state, state["current"])
         rows = new_rows(target, batch, keys) if only_new else batch
@@ -210,15 +180,13 @@ class TableStore:
         keys: Sequence[str],
         as_of: dt.date | str,
         close_missing: bool = False,
-        null_safe: bool = False,
+        null_safe: bool = True,
     ) -> dict[str, int]:
         """First load or incremental load of a table with history."""
         state = self._latest(name)
-        # Null-safe keys are joined as a struct, by which files cannot be bucketed.
-        bucket_by = () if null_safe else keys
         if state is None:
             rows = first_load(stamped, keys).withColumn("_change", F.lit(INSERT))
-            return self._publish(name, rows, "first", as_of, None, bucket_by=bucket_by)
-        current = self._current_for_load(name, state)
+            return self._publish(name, rows, "first", as_of, None)
+        current = self._scan(state, state["current"])
         changes = snapshot_changes(current, stamped, keys, as_of, close_missing, null_safe)
-        return self._publish(name, changes, "scd2", as_of, state, bucket_by=bucket_by)
+        return self._publish(name, changes, "scd2", as_of, state)

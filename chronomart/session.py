@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -57,13 +59,34 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_scratch[app]
 
 
+_written: list[str] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder; nothing else writes there."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Removes on leaving what was written to scratch paths within. Results that read from there must
+    have been written or collected before."""
+    start = len(_written)
+    try:
+        yield
+    finally:
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for name in _written[start:]:
+            path = jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(conf).delete(path, True)
+        del _written[start:]
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written once as Parquet in the shared folder and read back.
+    """``df`` written once as Parquet in the shared folder and read back. Runs a job at once; the files
+    stay until a surrounding :func:`scratch_scope` ends.
 
     For a result that several branches of a plan use: they would each compute it again. Unlike a
     cache it survives the loss of executors, and unlike a checkpoint it is columnar and has a

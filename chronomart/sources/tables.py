@@ -28,8 +28,6 @@ def write_bronze(df: DataFrame, path: str) -> bool:
 def save_table(df: DataFrame, name: str, path: str | None = None, mode: str = "overwrite") -> None:
     """Write a catalog table; ``path`` makes it external, outside the warehouse folder."""
     writer = df.write.mode(mode).format("parquet")
-    if mode == "overwrite":
-        writer = writer.option("overwriteSchema", "true")
     if path:
         writer = writer.option("path", path)
     writer.saveAsTable(name)

@@ -2,6 +2,8 @@
 
 Loads are functions of the table and a batch, so Structured Streaming adds only the bookkeeping of
 files. A batch that is repeated after a failure finds its rows loaded already and changes nothing.
+A table that every load replaces is given the whole folder, not the new files alone; families whose records
+come per parent have no parent in a file and are refused.
 """
 
 from __future__ import annotations
@@ -9,12 +11,11 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from chronomart.plans.entities import ENTITIES
+from chronomart.plans.entities import CHILD, ENTITIES, OVERWRITE
 from chronomart.plans.silver import run_load
 from chronomart.plans.store import TableStore
-from chronomart.sources.envelopes import envelope_schema
+from chronomart.sources.envelopes import ANY_ENVELOPE, read_envelopes, whole_records
 
 
 def load_arrivals(
@@ -28,15 +29,21 @@ def load_arrivals(
 ) -> None:
     """Load every envelope file not seen before under this ``checkpoint``, then return."""
     entity = ENTITIES[entity_name]
+    if entity.arrives == CHILD:
+        raise ValueError(f"{entity.name} arrives as {entity.arrives}, which files do not tell")
 
     def load(batch: DataFrame, _epoch: int) -> None:
-        run_load(store, entity, batch, as_of)
+        if entity.strategy == OVERWRITE:
+            rows = read_envelopes(spark, drop_folder, entity.record, multi_line, whole=True)
+        else:
+            rows = whole_records(batch, entity.record)
+        run_load(store, entity, rows, as_of)
 
     (
-        spark.readStream.schema(envelope_schema(entity.record))
+        spark.readStream.schema(ANY_ENVELOPE)
         .option("multiLine", str(multi_line).lower())
+        .option("pathGlobFilter", "*.json")
         .json(drop_folder)
-        .select(F.inline("dados"))
         .writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

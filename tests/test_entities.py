@@ -233,3 +233,39 @@ def test_arriving_files_are_loaded_once(spark, store, tmp_path):
     load_arrivals(spark, other, "frentes_parlamentares", str(inbox), LATER, state)
     found = {(r.situacao, r.is_current) for r in other.read("frentes_parlamentares").collect()}
     assert found == {("Ativa", False), ("Encerrada", True)}
+
+
+def test_undeclared_fields_and_equal_facts_are_kept(spark, tmp_path):
+    """Three expenses, of which two differ only in a field that is not declared and one is repeated."""
+    facts = [
+        {"nomeParlamentar": "Ana", "valorLiquido": "5.00", "idDocumento": 1, "mes": {"n": 3}},
+        {"nomeParlamentar": "Ana", "valorLiquido": "5.00", "idDocumento": 2},
+        {"nomeParlamentar": "Ana", "valorLiquido": "5.00", "idDocumento": 2},
+        {"nomeParlamentar": "Bia", "valorLiquido": "", "valorGlosa": "junk"},
+    ]
+    (tmp_path / "d-2024.json").write_text(json.dumps({"dados": facts}, indent=1))
+    other = TableStore(spark, scratch_path(spark, "facts"))
+    for day in (DAY, LATER):
+        raw = silver.read_files(spark, ENTITIES["despesas"], str(tmp_path), day)
+        silver.run_load(other, "despesas", raw, day)
+    found = sorted(((r.nomeParlamentar, str(r.valorLiquido), json.loads(r._extra) if r._extra else None) for r in
+                    other.read("despesas").collect()), key=str)
+    assert found == [
+        ("Ana", "5.00", {"idDocumento": 1, "mes": {"n": 3}}),
+        ("Ana", "5.00", {"idDocumento": 2}),
+        ("Ana", "5.00", {"idDocumento": 2}),
+        ("Bia", "None", None),
+    ]
+
+
+def test_arriving_files_of_a_replaced_table_and_of_children(spark, tmp_path):
+    inbox, state = tmp_path / "inbox", str(tmp_path / "state")
+    inbox.mkdir()
+    other = TableStore(spark, scratch_path(spark, "arrivals"))
+    for term in (56, 57):
+        record = {"id": term, "uri": "u", "dataInicio": f"20{term - 37}-02-01", "dataFim": None}
+        (inbox / f"{term}.json").write_text(json.dumps({"dados": [record]}))
+        load_arrivals(spark, other, "legislaturas", str(inbox), DAY, state)
+    assert sorted(r.id for r in other.read("legislaturas").collect()) == [56, 57]
+    with pytest.raises(ValueError):
+        load_arrivals(spark, other, "deputados_eventos", str(inbox), DAY, state)

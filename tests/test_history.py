@@ -182,3 +182,21 @@ def test_latest_by_on_an_empty_table_gives_no_rows(spark):
     terms = spark.createDataFrame([], "id int, start date")
     df = spark.range(3).where(F.col("id") == rows.latest_by(terms, "id", "start"))
     assert df.isEmpty()
+
+
+def test_null_keys_have_one_current_row(spark):
+    table = None
+    for i, value in enumerate("xxy"):
+        stamped = history.stamp(spark.createDataFrame([(None, value), (1, value)], "id int, a string"), ["a"], day(i))
+        table = history.first_load(stamped, ["id"]) if table is None else history.apply_scd2(table, stamped, ["id"], day(i))
+    assert sorted(str(r.id) for r in table.where("is_current").collect()) == ["1", "None"]
+    assert table.count() == 4
+
+
+def test_a_snapshot_older_than_what_it_closes_is_refused(spark):
+    rows = lambda v, d: history.stamp(spark.createDataFrame([(1, v)], "id int, a string"), ["a"], d)
+    late = history.apply_scd2(rows("x", "2024-05-01"), rows("y", "2024-02-01"), ["id"], "2024-02-01")
+    with pytest.raises(Exception, match="older than the version it closes"):
+        late.collect()
+    same = history.apply_scd2(rows("x", "2024-05-01"), rows("x", "2024-02-01"), ["id"], "2024-02-01")
+    assert same.count() == 1

@@ -88,6 +88,17 @@ def test_pages_stop_as_a_reader_would(spark):
     assert sorted(tuple(r) for r in pages.collect_pages(df).collect()) == walk(ROWS)
 
 
+def test_gaps_and_repeats(spark):
+    rows = [
+        page("a", 1, [1]), page("a", 3, [99]), page("a", 4, [99]),
+        page("b", 2, [99]), page("b", 3, [99]),
+        page("c", 1, [2]), page("c", 1, [2]), page("c", 2, [3], LAST), page("c", 2, [3], LAST),
+        page("d", 0, [99]), page("d", 1, [4], LAST),
+    ]
+    df = spark.createDataFrame(rows, PAGE)
+    assert sorted(tuple(r) for r in pages.collect_pages(df).collect()) == [("a", 1), ("c", 2), ("c", 3), ("d", 4)]
+
+
 def test_pages_of_a_single_source(spark):
     rows = [r for r in ROWS if r[0] == "a"]
     df = spark.createDataFrame(rows, PAGE).drop("source")

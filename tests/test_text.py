@@ -76,10 +76,7 @@ def test_hot_key_is_split_and_stays_whole(spark):
         (F.col("id") % 1500).cast("string").alias("v"),
     )
     for distinct in (True, False):
-        found = aggregates.collect_in_parts(
-            df, ["k"], "v", "vs", distinct, max_items=100,
-            spread_by=None if distinct else F.xxhash64(F.rand(7)),
-        )
+        found = aggregates.collect_in_parts(df, ["k"], "v", "vs", distinct, max_items=100)
         parts = parts_of(found, "k")
         assert len(parts["hot"]) > 10 and len(parts["k7"]) == 1
         hot = sorted(v for r in parts["hot"] for v in r.vs)
@@ -89,6 +86,19 @@ def test_hot_key_is_split_and_stays_whole(spark):
         assert parts["hot"][0].quantidade == 2000
 
 
+def test_repeated_values_hold_the_bound_too(spark):
+    """One value 15,000 times among others, and few values in very many rows."""
+    df = spark.range(15_300).select(
+        F.lit("k").alias("k"), F.when(F.col("id") < 15_000, F.lit("same")).otherwise(F.col("id").cast("string")).alias("v")
+    )
+    lists = aggregates.collect_in_parts(df, ["k"], "v", "vs", False).collect()
+    assert len(lists) == 16 and {r.partes for r in lists} == {16}
+    assert max(len(r.vs) for r in lists) <= 1100 and sum(len(r.vs) for r in lists) == 15_300
+    few = spark.range(50_000).select(F.lit("k").alias("k"), (F.col("id") % 30).alias("v"))
+    found = aggregates.collect_in_parts(few, ["k"], "v", "vs", True).collect()
+    assert [(r.quantidade, r.partes, r.vs) for r in found] == [(50_000, 1, list(range(30)))]
+
+
 def test_null_key_keeps_its_values(spark):
     df = spark.createDataFrame([(None, "a"), (None, "b"), ("k", "c")], "k string, v string")
     found = aggregates.collect_in_parts(df, ["k"], "v", "vs", True)

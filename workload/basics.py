@@ -303,38 +303,31 @@ def agg_sum_squares(spark, sf):
 
 @query(
     "agg_collect_set",
-    """WITH r AS (SELECT l_suppkey, l_partkey AS v FROM lineitem),
-        n AS (SELECT l_suppkey, count(*) AS quantidade, CAST(ceil(count(*) / 200.0) AS BIGINT) AS partes
-              FROM r GROUP BY 1)
-        SELECT l_suppkey, quantidade, v % partes AS parte, partes,
-               array_to_string(list_sort(list_distinct(list(v))), ',') AS pecas
-        FROM r JOIN n USING (l_suppkey) GROUP BY 1, 2, 3, 4""",
+    """WITH n AS (SELECT l_suppkey, count(*) AS quantidade,
+                         CAST(ceil(count(DISTINCT l_partkey) / 1000.0) AS BIGINT) AS partes
+                  FROM lineitem GROUP BY 1)
+        SELECT DISTINCT l_suppkey, quantidade, partes, l_partkey AS peca FROM lineitem JOIN n USING (l_suppkey)""",
 )
 def agg_collect_set(spark, sf):
+    """The gathered values, taken apart again: their place in the parts is by hash."""
     parts = table(spark, sf, "lineitem").select("l_suppkey", "l_partkey")
-    sets = aggregates.collect_in_parts(
-        parts, ["l_suppkey"], "l_partkey", "pecas", True, max_items=200, spread_by=F.col("l_partkey")
-    )
-    return sets.withColumn("pecas", F.array_join("pecas", ","))
+    sets = aggregates.collect_in_parts(parts, ["l_suppkey"], "l_partkey", "pecas", True)
+    return sets.select("l_suppkey", "quantidade", "partes", F.explode("pecas").alias("peca"))
 
 
 @query(
     "agg_collect_list",
-    """WITH r AS (SELECT l_returnflag, l_shipdate::DATE::VARCHAR AS v, l_orderkey FROM lineitem),
-        n AS (SELECT l_returnflag, count(*) AS quantidade, CAST(ceil(count(*) / 500.0) AS BIGINT) AS partes
-              FROM r GROUP BY 1)
-        SELECT l_returnflag, quantidade, l_orderkey % partes AS parte, partes,
-               string_agg(v, ',' ORDER BY v) AS dias
-        FROM r JOIN n USING (l_returnflag) GROUP BY 1, 2, 3, 4""",
+    """WITH n AS (SELECT l_returnflag, count(*) AS quantidade, CAST(ceil(count(*) / 1000.0) AS BIGINT) AS partes
+                  FROM lineitem GROUP BY 1)
+        SELECT l_returnflag, quantidade, partes, l_shipdate::DATE::VARCHAR AS dia
+        FROM lineitem JOIN n USING (l_returnflag)""",
 )
 def agg_collect_list(spark, sf):
     days = table(spark, sf, "lineitem").select(
-        "l_returnflag", F.col("l_shipdate").cast("date").cast("string").alias("v"), "l_orderkey"
-    )
-    lists = aggregates.collect_in_parts(
-        days, ["l_returnflag"], "v", "dias", False, max_items=500, spread_by=F.col("l_orderkey")
+        "l_returnflag", F.col("l_shipdate").cast("date").cast("string").alias("v")
     )
-    return lists.withColumn("dias", F.array_join("dias", ","))
+    lists = aggregates.collect_in_parts(days, ["l_returnflag"], "v", "dias", False)
+    return lists.select("l_returnflag", "quantidade", "partes", F.explode("dias").alias("dia"))
 
 
 @query(

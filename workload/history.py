@@ -56,6 +56,14 @@ def scd2_apply_close_missing(spark, sf):
     return roles.entity_history(spark, sf, close_missing=True)
 
 
+CHAIN = ("1997-12-31", "1998-12-31", "1999-12-31", "2000-12-31", "2001-08-01")
+
+
+@query("scd2_apply_chain", f"{roles.history_ctes(CHAIN)} SELECT {_ALL} FROM h4", text=_DATES)
+def scd2_apply_chain(spark, sf):
+    return roles.entity_history(spark, sf, CHAIN)
+
+
 _LINK_TRACKED = ["id", "iddeputado", "tituloDeputado"]
 _LINK_COLUMNS = ["id", "iddeputado", "tituloDeputado", "nome"]
 
@@ -97,6 +105,34 @@ def scd2_apply_composite(spark, sf):
     return history.apply_scd2(start, update, keys, LAST, null_safe=True)
 
 
+_NULL_KEYED = """SELECT nullif(c_nationkey, 3) AS id, nullif(c_mktsegment, 'BUILDING') AS segmento,
+    min(c_name) AS nome, {value} AS situacao FROM customer GROUP BY 1, 2"""
+_NULL_COLUMNS = ["id", "segmento", "nome", "situacao"]
+
+
+def _null_keyed(spark, sf, value):
+    return (
+        table(spark, sf, "customer")
+        .groupBy(F.nullif("c_nationkey", F.lit(3)).alias("id"), F.nullif("c_mktsegment", F.lit("BUILDING")).alias("segmento"))
+        .agg(F.min("c_name").alias("nome"), value.cast("bigint").alias("situacao"))
+    )
+
+
+@query(
+    "scd2_apply_null_key",
+    f"""WITH n0 AS ({roles.stamped_sql(FIRST, _NULL_KEYED.format(value="CAST(0 AS BIGINT)"), ["situacao"])}),
+        n1 AS ({roles.stamped_sql(LAST, _NULL_KEYED.format(value="count(*) % 2"), ["situacao"])})
+        {roles.apply_sql("n0", "n1", LAST, _NULL_COLUMNS, ["id", "segmento"])}""",
+    text=_DATES,
+)
+def scd2_apply_null_key(spark, sf):
+    """Keys of which one or both parts are null have one current row each, by the default join."""
+    keys = ["id", "segmento"]
+    start = history.first_load(history.stamp(_null_keyed(spark, sf, F.max(F.lit(0))), ["situacao"], FIRST), keys)
+    update = history.stamp(_null_keyed(spark, sf, F.count("*") % 2), ["situacao"], LAST)
+    return history.apply_scd2(start, update, keys, LAST)
+
+
 @query(
     "scd2_first_load",
     roles.stamped_sql(LAST, _links_sql(LAST), _LINK_TRACKED),

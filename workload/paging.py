@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from chronomart.plans.store import TableStore
 from chronomart.session import scratch_path
 from chronomart.sources import envelopes, pages, records
 from workload import roles
@@ -77,6 +78,13 @@ def src_pages(spark, sf):
     return pages.collect_pages(roles.page_table(spark, sf))
 
 
+@query("src_pages_gaps", f"{roles.pages_ctes('(source + page) % 7 <> 0')} SELECT source, id, quantidade FROM accepted")
+def src_pages_gaps(spark, sf):
+    """Some pages are missing: a reader would not get past the first gap."""
+    stored = roles.page_table(spark, sf).where("(source + page) % 7 <> 0")
+    return pages.collect_pages(stored)
+
+
 @query(
     "src_first_page",
     f"""{roles.PAGES_CTES} SELECT source, id, quantidade FROM pages_t
@@ -92,10 +100,13 @@ def src_first_page(spark, sf):
         FROM accepted JOIN orders ON o_orderkey = source""",
 )
 def src_child_pages(spark, sf):
-    """Pages requested per order, with the order's key and priority written into the records."""
-    parents = table(spark, sf, "orders").select(
-        F.col("o_orderkey").alias("source"), F.col("o_orderpriority").alias("nome")
+    """Pages requested per order, with the order's key and priority written into the records. The parents
+    come with history and repeated."""
+    listed = table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("source"), F.col("o_orderpriority").alias("nome"), F.lit(True).alias("is_current")
     )
+    former = listed.select("source", F.lit("former name").alias("nome"), F.lit(False).alias("is_current"))
+    parents = listed.unionByName(listed).unionByName(former)
     return pages.collect_child_pages(
         roles.page_table(spark, sf),
         parents,
@@ -108,10 +119,61 @@ def src_child_pages(spark, sf):
     "src_yearly_gaps",
     f"""{roles.PAGES_CTES} SELECT y.year, count(p.year) AS records, count(p.year) = 0 AS is_empty
         FROM (SELECT unnest(range(1993, 2004)) AS year) y
-        LEFT JOIN (SELECT year FROM pages_t WHERE page = 1 AND status = 200 AND has_records) p
+        LEFT JOIN (SELECT year FROM pages_all WHERE page = 1 AND status = 200 AND has_records) p
         ON p.year = y.year GROUP BY y.year""",
 )
 def src_yearly_gaps(spark, sf):
     return pages.yearly_gaps(roles.page_table(spark, sf), range(1993, 2004)).withColumn(
         "year", F.col("year").cast("bigint")
     )
+
+
+FACT = T.StructType().add("pedido", "long").add("linha", "long").add("valor", "double")
+
+
+def _fact_envelopes(spark, sf, where, path):
+    """Line items as records with a field that the declared type lacks, one envelope per line."""
+    record = F.struct(
+        F.col("l_orderkey").alias("pedido"),
+        F.col("l_linenumber").alias("linha"),
+        F.when(F.col("l_quantity") > 25, F.col("l_quantity")).alias("valor"),
+        F.col("l_returnflag").alias("naoDeclarado"),
+    )
+    lines = table(spark, sf, "lineitem").where(where)
+    lines.select(F.to_json(F.struct(F.array(record).alias("dados"))).alias("value")).write.option(
+        "compression", "none"
+    ).text(path)
+    return envelopes.read_envelopes(spark, path, FACT, multi_line=False, glob="*", whole=True)
+
+
+@query(
+    "load_append_facts",
+    """SELECT l_orderkey AS pedido, l_linenumber AS linha, CASE WHEN l_quantity > 25 THEN l_quantity END AS valor,
+              '{"naoDeclarado":"' || l_returnflag || '"}' AS _extra
+       FROM lineitem WHERE l_shipdate >= DATE '1997-01-01'""",
+)
+def load_append_facts(spark, sf):
+    """Two overlapping snapshots of facts without a key, many of them equal, loaded through the store:
+    every fact is there as often as it is in the larger of both."""
+    store = TableStore(spark, scratch_path(spark, "facts"))
+    for day, where in (("2000-01-01", "l_shipdate >= DATE '1998-06-01'"), ("2000-01-02", "l_shipdate >= DATE '1997-01-01'")):
+        raw = _fact_envelopes(spark, sf, where, scratch_path(spark, "fact-files"))
+        store.load_append("fatos", raw, as_of=day)
+    return store.read("fatos").select("pedido", "linha", "valor", "_extra")
+
+
+@query(
+    "src_envelope_files",
+    "SELECT o_orderkey AS id, o_custkey AS cliente FROM orders WHERE o_orderkey % 97 = 0 AND o_orderstatus <> 'P'",
+)
+def src_envelope_files(spark, sf):
+    """Files of one envelope each over several lines, among them one that is broken."""
+    path = scratch_path(spark, "files")
+    orders = table(spark, sf, "orders").where("o_orderkey % 97 = 0 and o_orderstatus <> 'P'")
+    record = F.to_json(F.struct(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("cliente")))
+    text = F.concat(F.lit('{"dados": [\n'), F.concat_ws(",\n", F.collect_list(record)), F.lit('\n], "links": []}'))
+    # A file is a document: a few of them, each with the orders of one priority.
+    files = orders.groupBy("o_orderpriority").agg(text.alias("value")).select("value", F.xxhash64("o_orderpriority").alias("n"))
+    broken = spark.range(1).select(F.lit('{"dados": [{"id": 1},').alias("value"), F.lit(0).cast("long").alias("n"))
+    files.unionByName(broken).write.option("compression", "none").partitionBy("n").text(path)
+    return envelopes.read_envelopes(spark, path, ORDER, glob="*").select("id", "cliente")

@@ -10,12 +10,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronomart.operators.history import apply_scd2, first_load, stamp
+from chronomart.session import materialise
 from workload.registry import table
 
 # Entities -------------------------------------------------------------------------------
@@ -54,12 +53,11 @@ def stamped(spark: SparkSession, sf: str, day: str) -> DataFrame:
 def entity_history(spark: SparkSession, sf: str, days=DAYS, **options) -> DataFrame:
     """The history table after loading the listing of each of ``days`` in turn."""
     first, *rest = days
-    start = first_load(stamped(spark, sf, first), ["id"])
-    return reduce(
-        lambda target, day: apply_scd2(target, stamped(spark, sf, day), ["id"], day, **options),
-        rest,
-        start,
-    )
+    out = first_load(stamped(spark, sf, first), ["id"])
+    for day in rest:
+        # Written between loads, as a store does: each load reads its target twice.
+        out = apply_scd2(materialise(out, "history"), stamped(spark, sf, day), ["id"], day, **options)
+    return out
 
 
 def entities_sql(day: str) -> str:
@@ -336,12 +334,31 @@ PAGES_SQL = """
            l_partkey AS id, CAST(l_quantity AS BIGINT) AS quantidade
     FROM lineitem"""
 
-ACCEPTED_SQL = f"""
+# One row per page, then pages 1, 2, ... as long as each follows the one before and is not the last.
+ONE_PAGE_SQL = """
+    SELECT * FROM pages_all QUALIFY row_number() OVER (
+      PARTITION BY source, page
+      ORDER BY year, status, has_records, CASE WHEN has_records THEN id END,
+               CASE WHEN has_records THEN quantidade END, has_next) = 1"""
+
+ACCEPTED_SQL = """
     SELECT p.* FROM pages_t p
-    LEFT JOIN (SELECT source, min(page) AS stop FROM pages_t
-               WHERE status <> 200 OR NOT has_records OR NOT has_next GROUP BY source) s
+    LEFT JOIN (SELECT source, min(stop) AS stop FROM (
+                 SELECT source, CASE WHEN status = 200 AND has_records THEN page + 1 ELSE page END AS stop
+                 FROM pages_t WHERE status <> 200 OR NOT has_records OR NOT has_next
+                 UNION ALL
+                 SELECT source, page FROM pages_t a WHERE page > 1 AND NOT EXISTS (
+                   SELECT 1 FROM pages_t b WHERE b.source = a.source AND b.page = a.page - 1))
+               GROUP BY source) s
     ON s.source = p.source
-    WHERE (s.stop IS NULL OR p.page < s.stop
-           OR (p.page = s.stop AND p.status = 200 AND p.has_records))"""
+    WHERE s.stop IS NULL OR p.page < s.stop"""
+
+
+def pages_ctes(where: str = "TRUE") -> str:
+    return (
+        f"WITH pages_all AS (SELECT * FROM ({PAGES_SQL}) WHERE {where}), "
+        f"pages_t AS ({ONE_PAGE_SQL}), accepted AS ({ACCEPTED_SQL})"
+    )
+
 
-PAGES_CTES = f"WITH pages_t AS ({PAGES_SQL}), accepted AS ({ACCEPTED_SQL})"
+PAGES_CTES = pages_ctes()

@@ -61,20 +61,15 @@ def txt_keywords(spark, sf):
 @query(
     "txt_term_frequency",
     f"""WITH k AS (SELECT doc_id, unnest({words_sql('text')}) AS tema FROM documents),
-        f AS (SELECT tema, count(*) AS frequencia FROM k GROUP BY tema),
-        d AS (SELECT DISTINCT tema, doc_id FROM k),
-        n AS (SELECT *, CAST(ceil(frequencia / 100.0) AS BIGINT) AS partes FROM f)
-        SELECT tema, frequencia, doc_id % partes AS parte, partes,
-               string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY doc_id) AS exemplos_frentes
-        FROM d JOIN n USING (tema) GROUP BY 1, 2, 3, 4""",
+        f AS (SELECT tema, count(*) AS frequencia, CAST(ceil(count(DISTINCT doc_id) / 1000.0) AS BIGINT) AS partes
+              FROM k GROUP BY tema)
+        SELECT DISTINCT tema, frequencia, partes, doc_id AS exemplo FROM k JOIN f USING (tema)""",
 )
 def txt_term_frequency(spark, sf):
     """Terms of all documents with the ids of the documents that use them: texts are long, so the
-    id stands for the title."""
-    top = titles.top_terms(
-        documents(spark, sf), example="id", max_items=100, spread_by=F.col("_example")
-    )
-    return top.withColumn("exemplos_frentes", F.array_join("exemplos_frentes", ","))
+    id stands for the title. The parts are taken apart again, as the place in them is by hash."""
+    top = titles.top_terms(documents(spark, sf), example="id")
+    return top.select("tema", "frequencia", "partes", F.explode("exemplos_frentes").alias("exemplo"))
 
 
 @query(
@@ -89,15 +84,11 @@ def txt_categories(spark, sf):
 
 @query(
     "txt_category_distribution",
-    f"""WITH k AS (SELECT id, titulo, unnest(categorias) AS categoria FROM ({TAGGED_PARTS})),
+    f"""WITH k AS (SELECT titulo, unnest(categorias) AS categoria FROM ({TAGGED_PARTS})),
         n AS (SELECT categoria, count(*) AS num_frentes,
-                     CAST(ceil(count(*) / 100.0) AS BIGINT) AS partes FROM k GROUP BY categoria)
-        SELECT categoria, num_frentes, id % partes AS parte, partes,
-               string_agg(titulo, ';' ORDER BY titulo) AS exemplos
-        FROM k JOIN n USING (categoria) GROUP BY 1, 2, 3, 4""",
+                     CAST(ceil(count(titulo) / 1000.0) AS BIGINT) AS partes FROM k GROUP BY categoria)
+        SELECT categoria, num_frentes, partes, titulo AS exemplo FROM k JOIN n USING (categoria)""",
 )
 def txt_category_distribution(spark, sf):
-    spread = titles.category_distribution(
-        tagged_parts(spark, sf), max_items=100, spread_by=F.col("id")
-    )
-    return spread.withColumn("exemplos", F.array_join("exemplos", ";"))
+    spread = titles.category_distribution(tagged_parts(spark, sf))
+    return spread.select("categoria", "num_frentes", "partes", F.explode("exemplos").alias("exemplo"))
