@@ -15,6 +15,7 @@ from chronomart.llm import (
     licence_scan,
     line_dedup,
     ngram_jaccard,
+    oracles,
     packing,
     quality_rules,
     secret_scan,
@@ -148,7 +149,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": corpus_pipeline.run,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op3_substring_dedup": oracles.SUBSTRING,
+    "op4_chat_format": oracles.CHAT,
+    "op5_ngram_jaccard": oracles.JACCARD,
+    "op6_topk_search": oracles.NEAREST,
+}
 if corpus_pipeline.ORACLE_SQL:
     SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
 
