@@ -5,9 +5,11 @@ Starting at words keeps a line of 150 characters at some 25 shingles, few enough
 a changed word changes two of them. Its signature are the least shingle hashes under ``2 * BANDS`` orders (hash
 xor a constant), taken in pairs as bands: lines of similarity 0.8 share one of five bands with a chance above 0.99.
 
-Equal lines are one from the start. In each band key lines are held against the least, and linked if their
-exact similarity reaches the threshold. Where a key still holds lines of several components, lines of different
-components are compared too. Of every component the first line, by document and place, stays.
+Equal lines are one from the start. In each band the lines are held against the one that occurs most often, of which
+the others are likely copies, and linked if their exact similarity reaches the threshold. Where a band still
+holds lines of several components, its lines are held against each other again in the same way, now under every
+two bands they share. So the pairs grow with the lines and never with the square of a group.
+Of every component the first line, by document and place, stays.
 
 DataFrame functions only: no Python, and no group is ever collected. Rows: a null text has no lines; lines of fewer
 than ``MIN_CHARS`` characters are too common to say anything and stay, as do all lines of rows without a key.
@@ -85,11 +87,8 @@ def _sets(docs: DataFrame, key: str, text: str, wanted: DataFrame) -> DataFrame:
     )
 
 
-def _alike(pairs: DataFrame, lines: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
+def _alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) whose shingle sets reach the threshold."""
-    ids = pairs.select(F.col("a").alias("_id")).unionByName(pairs.select(F.col("b").alias("_id"))).distinct()
-    places = lines.select("_id", "_first._doc", "_first._at").join(ids, "_id", "left_semi")
-    sets = written(_sets(docs, key, text, places), "line-sets")
     common = F.size(F.array_intersect("_x", "_y"))
     return (
         pairs.join(sets.toDF("a", "_x"), "a")
@@ -100,60 +99,71 @@ def _alike(pairs: DataFrame, lines: DataFrame, docs: DataFrame, key: str, text:
     )
 
 
-def _possible(a: str, b: str) -> Column:
-    return 100 * F.least(a, b) >= PERCENT * F.greatest(a, b)
+def _number() -> Column:
+    """A number for each line; the least in a group is one of those that occur most often. Six bits of the
+    logarithm of ``_times``, then a number of its own (for fewer than 2 ** 24 partitions)."""
+    often = F.lit(63) - F.floor(F.log2(F.col("_times").cast("double"))).cast("int")
+    return F.shiftleft(often.cast("long"), 57).bitwiseOR(F.monotonically_increasing_id())
+
+
+def _stars(members: DataFrame) -> DataFrame:
+    """Pairs (a, b) of the least line under each key with the others, ``(_key, _id, _n, _least)`` given; sizes
+    that cannot be alike are left out."""
+    sizes = members.where("_id = _least").select("_least", F.col("_n").alias("_n_least")).distinct()
+    possible = 100 * F.least("_n", "_n_least") >= PERCENT * F.greatest("_n", "_n_least")
+    return (
+        members.where("_id <> _least")
+        .select("_least", "_id", "_n")
+        .distinct()
+        .join(sizes, "_least")
+        .where(possible)
+        .select(F.col("_least").alias("a"), F.col("_id").alias("b"))
+    )
 
 
 def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``(_doc, _at)`` of the lines that go. Runs jobs and writes to the shared folder."""
     all_lines = lines_of(docs, key, text)
-    lines = written(signatures(all_lines).withColumn("_id", F.monotonically_increasing_id()), "lines")
+    lines = written(signatures(all_lines).withColumn("_id", _number()), "lines")
     keyed = lines.select("_id", "_n", F.explode("_keys").alias("_key"))
     shared = written(
         keyed.groupBy("_key").agg(F.min("_id").alias("_least"), F.count("*").alias("_rows")).where("_rows > 1"),
         "bands",
     )
     members = written(keyed.join(shared, "_key").select("_key", "_id", "_n", "_least"), "members")
+    places = lines.select("_id", "_first._doc", "_first._at").join(members.select("_id").distinct(), "_id", "left_semi")
+    sets = written(_sets(docs, key, text, places), "line-sets")
 
-    sizes = lines.select(F.col("_id").alias("_least"), F.col("_n").alias("_n_least"))
-    stars = written(
-        members.select(F.col("_least"), "_id", "_n")
-        .where("_id <> _least")
-        .distinct()
-        .join(sizes, "_least")
-        .where(_possible("_n", "_n_least"))
-        .select(F.col("_least").alias("a"), F.col("_id").alias("b")),
-        "pairs",
-    )
-    links = written(_alike(stars, lines, docs, key, text), "links")
+    stars = written(_stars(members), "pairs")
+    links = written(_alike(stars, sets), "links")
     parts = components(links)
 
-    named = (
-        members.select("_key", "_id", "_n")
-        .join(parts.withColumnRenamed("node", "_id"), "_id", "left")
-        .withColumn("_part", F.coalesce("component", "_id"))
-        .drop("component")
-    )
-    mixed = written(
-        named.groupBy("_key").agg(F.min("_part").alias("_low"), F.max("_part").alias("_high")).where("_low <> _high"),
-        "mixed",
-    )
-    held = written(named.join(mixed.select("_key"), "_key"), "mixed-members")
-    left, right = (
-        held.select("_key", F.col("_id").alias(x), F.col("_n").alias(f"_n_{x}"), F.col("_part").alias(f"_part_{x}"))
-        for x in "ab"
+    def with_parts(rows: DataFrame) -> DataFrame:
+        named = rows.join(parts.withColumnRenamed("node", "_id"), "_id", "left")
+        return named.withColumn("_part", F.coalesce("component", "_id")).drop("component")
+
+    def mixed(rows: DataFrame) -> DataFrame:
+        """The keys under which several components meet, with their least line."""
+        found = rows.groupBy("_key").agg(
+            F.min("_part").alias("_low"),
+            F.max("_part").alias("_high"),
+            F.min("_id").alias("_least"),
+            F.min_by("_part", "_id").alias("_least_part"),
+        )
+        return written(found.where("_low <> _high").select("_key", "_least", "_least_part"), "mixed")
+
+    named = with_parts(members)
+    left = named.join(mixed(named).select("_key"), "_key", "left_semi").select("_id", "_part").distinct()
+    two = F.array(
+        *[F.xxhash64(F.get("_keys", F.lit(i)), F.get("_keys", F.lit(j))) for i in range(BANDS) for j in range(i)]
     )
-    more = (
-        left.join(right, "_key")
-        .where((F.col("a") < F.col("b")) & (F.col("_part_a") != F.col("_part_b")) & _possible("_n_a", "_n_b"))
-        .select("a", "b")
-        .distinct()
-        .join(stars, ["a", "b"], "left_anti")
-    )
-    more = written(more, "pairs")
-    if more.count():
-        links = links.unionByName(written(_alike(more, lines, docs, key, text), "links"))
-        parts = components(links)
+    finer = lines.join(written(left, "left"), "_id").select("_id", "_n", "_part", F.explode(two).alias("_key"))
+    finer = written(finer, "finer")
+    apart = finer.join(mixed(finer), "_key").where("_id = _least or _part <> _least_part")
+    more = _stars(apart)
+    more = written(more.join(stars, ["a", "b"], "left_anti"), "pairs")
+    links = links.unionByName(written(_alike(more, sets), "links"))
+    parts = components(links)
 
     grouped = lines.drop("_keys").join(parts.withColumnRenamed("node", "_id"), "_id", "left")
     first = written(

@@ -5,10 +5,10 @@ share an n-gram among the first ``size - ceil(t * size) + 1`` of each in a commo
 that many documents share last, so shared passages bring few documents together; any order gives all links.
 
 Candidates are found in two steps. First each document is held against the least document under each of its
-leading n-grams; the links found make most components. Then n-grams under which documents of several components
-meet are cut into tiles by size band and hash, and in each tile only documents of different components are
-compared. Both steps drop pairs by size and by a bitmap of hashed n-grams: sets differ in at least as many
-n-grams as their bitmaps differ in bits. What remains is settled by intersecting the sorted sets.
+leading n-grams; the links found make most components. Then documents of different components that meet under an
+n-gram are compared: where few meet by a join, where many do in tiles by size band and hash. Both steps drop
+pairs by size and by a bitmap of hashed n-grams: sets differ in at least as many n-grams as their bitmaps
+differ in bits. What remains is settled by intersecting the sorted sets.
 
 Rows: a null or empty text, or one without words, has no n-gram and is linked with nothing; a text of fewer words
 than ``n`` is one n-gram as a whole. A row without ``key`` is linked with nothing and has no component. Repeated
@@ -38,6 +38,8 @@ BIT_WORDS = 64
 #: Rows of a tile's side, and pairs held against one text.
 TILE = 2048
 PER_TASK = 64
+#: Up to so many documents under an n-gram are paired by a join, more in tiles.
+FEW = 48
 
 
 class Likeness:
@@ -322,20 +324,34 @@ def _meeting_pairs(features: DataFrame, parts: DataFrame, like: Likeness) -> Dat
         leads.groupBy("gram")
         .agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("rows"))
         .where("low <> high")
-        .select("gram", F.ceil(F.col("rows") / TILE).cast("int").alias("blocks")),
+        .select("gram", "rows", F.ceil(F.col("rows") / TILE).cast("int").alias("blocks")),
         "mixed",
     )
+    met = written(
+        leads.join(mixed, "gram").join(features.select("doc", "n"), "doc").select("gram", "doc", "part", "n", "rows", "blocks"),
+        "met",
+    )
+    few = met.where(F.col("rows") <= FEW)
+    a, b = (few.select("gram", *[F.col(c).alias(f"{c}_{x}") for c in ("doc", "part", "n")]) for x in "ab")
+    alike_sizes = 100 * F.least("n_a", "n_b") >= like.percent * F.greatest("n_a", "n_b")
+    paired = (
+        a.join(b, "gram")
+        .where((F.col("doc_a") < F.col("doc_b")) & (F.col("part_a") != F.col("part_b")) & alike_sizes)
+        .select(F.col("doc_a").alias("a"), F.col("doc_b").alias("b"))
+        .distinct()
+    )
+    paired = _with_features(written(paired, "paired"), features, like)
     # Alike sizes differ by one band at most; a little wider, against rounding.
     band = F.floor(F.log(F.col("n")) / (math.log(100 / like.percent) * 1.0001)).cast("int")
     rows = written(
-        leads.join(mixed, "gram")
-        .join(features.select("doc", "n", "bits"), "doc")
+        met.where(F.col("rows") > FEW)
+        .join(features.select("doc", "bits"), "doc")
         .withColumn("band", band)
         .withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int")),
         "meeting",
     )
     block, other = F.col("block"), F.col("other")
-    return (
+    tiled = (
         rows.withColumn("guest", F.explode(F.array(F.lit(False), F.lit(True))))
         .withColumn("band", F.col("band") - F.col("guest").cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -345,8 +361,8 @@ def _meeting_pairs(features: DataFrame, parts: DataFrame, like: Likeness) -> Dat
         .select("gram", "band", "i", "j", "doc", "part", "n", "bits", "side", "guest")
         .groupBy("gram", "band", "i", "j")
         .applyInArrow(_tiles(like), "a long, b long")
-        .distinct()
     )
+    return paired.unionByName(tiled).distinct()
 
 
 def linked(docs: DataFrame, n: int, percent: int, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -60,7 +60,8 @@ def test_chains_and_edges_of_the_threshold(spark, monkeypatch):
         for _ in range(12):
             rows.append((n := n + 1, edited(rng, text, rng.randint(1, 5))))
         rows.append((n := n + 1, text))
-    monkeypatch.setattr(ngram_jaccard, "TILE", 4)  # many tiles
+    monkeypatch.setattr(ngram_jaccard, "TILE", 4)  # many tiles, beside some pairs by join
+    monkeypatch.setattr(ngram_jaccard, "FEW", 10)
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     for percent in (85, 80):
         assert rows_of(ngram_jaccard.linked(docs, 4, percent)) == brute(rows, 4, percent)
