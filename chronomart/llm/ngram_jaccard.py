@@ -4,8 +4,8 @@ Equal sets are one class, joined by hash before anything else. Of other sets tha
 share an n-gram among the first ``size - ceil(t * size) + 1`` of each in a common order. That order puts n-grams
 that many documents share last, so shared passages bring few documents together; any order gives all links.
 
-Candidates are found in two steps. First each document is held against the least document under each of its
-leading n-grams; the links found make most components. Then documents of different components that meet under an
+Candidates are found in two steps. First each document is held against the least document and the one before it
+under each of its leading n-grams; the links found make most components. Then documents of different components that meet under an
 n-gram are compared: where few meet by a join, where many do in tiles by size band and hash. Both steps drop
 pairs by size and by a bitmap of hashed n-grams: sets differ in at least as many n-grams as their bitmaps
 differ in bits. What remains is settled by intersecting the sorted sets.
@@ -166,7 +166,7 @@ def _distinct(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _dealt_leads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of the documents of a batch under one n-gram only the least is dealt by it; the others know their pair."""
+    """Of the documents of a batch under one n-gram only the least is dealt by it; the others know their pairs."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -178,7 +178,8 @@ def _dealt_leads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         new = np.ones(len(gram), bool)
         new[1:] = gram[1:] != gram[:-1]
         least = doc[np.maximum.accumulate(np.where(new, np.arange(len(doc)), 0))]
-        a, b = _distinct(least[~new], doc[~new])
+        before = np.concatenate([doc[:1], doc[:-1]])
+        a, b = _distinct(np.concatenate([least[~new], before[~new]]), np.concatenate([doc[~new], doc[~new]]))
         first = doc[new]
         yield pa.RecordBatch.from_arrays(
             [
@@ -193,8 +194,8 @@ def _dealt_leads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _star_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (gram, doc): each document with the least under its n-gram."""
-    gram_before = least_before = None
+    """Rows sorted by (gram, doc): each document with the least under its n-gram and with the one before it."""
+    gram_before = least_before = doc_before = None
     for batch in batches:
         paired = batch.filter(batch.column(2).is_valid())
         batch = batch.filter(batch.column(2).is_null())
@@ -204,14 +205,15 @@ def _star_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             new = np.ones(len(gram), bool)
             new[1:] = gram[1:] != gram[:-1]
             base = doc
+            before = np.concatenate([doc[:1], doc[:-1]])
             if gram_before is not None and gram[0] == gram_before:
                 new[0] = False
                 base = doc.copy()
-                base[0] = least_before
+                base[0], before[0] = least_before, doc_before
             least = base[np.maximum.accumulate(np.where(new, np.arange(len(doc)), 0))]
-            gram_before, least_before = gram[-1], least[-1]
-            a.append(least[~new])
-            b.append(doc[~new])
+            gram_before, least_before, doc_before = gram[-1], least[-1], doc[-1]
+            a += [least[~new], before[~new]]
+            b += [doc[~new], doc[~new]]
         yield pa.RecordBatch.from_arrays(
             [pa.array(x) for x in _distinct(np.concatenate(a), np.concatenate(b))], ["a", "b"]
         )
