@@ -263,6 +263,7 @@ class Encoder:
         self.pieces = regex.compile(pattern)
         self.spaced, self.max_parts = spaced, max_parts
         self.known: dict[str, tuple[int, ...]] = {}
+        self.marks = {mark: self.piece(mark) for mark in MARKS}
 
     def piece(self, text: str) -> list[int]:
         data = text.encode()
@@ -274,25 +275,28 @@ class Encoder:
         """Ids of a text that begins and ends where matches of the pattern do."""
         return [i for piece in self.pieces.findall(text) for i in self.piece(piece)]
 
-    def word(self, text: str) -> list[int]:
-        """Ids of what stands between two single spaces, with the first of them."""
-        if text.isalpha():
-            return self.piece(" " + text)
-        if text[-1:] in MARKS and text[:-1].isalpha():
-            return self.piece(" " + text[:-1]) + self.piece(text[-1])
-        return self.part(" " + text)
+    def _remember(self, part: str, ids: list[int]) -> tuple[int, ...]:
+        if len(self.known) >= self.max_parts:
+            self.known.clear()
+        found = self.known[part] = tuple(ids)
+        return found
 
     def ids(self, text: str) -> list[int]:
         if not self.spaced or RUN_OF_SPACES.search(text):
             return self.part(text)
         first, *rest = text.split(" ")
-        ids, known = self.part(first), self.known
+        ids, known, marks = self.part(first), self.known, self.marks
         for part in rest:
             found = known.get(part)
             if found is None:
-                if len(known) >= self.max_parts:
-                    known.clear()
-                found = known[part] = tuple(self.word(part))
+                mark = marks.get(part[-1:])
+                if mark is not None and part[:-1].isalpha():
+                    # Words are remembered without the mark that follows: there are fewer of them.
+                    part = part[:-1]
+                    ids += known.get(part) or self._remember(part, self.piece(" " + part))
+                    ids += mark
+                    continue
+                found = self._remember(part, self.piece(" " + part) if part.isalpha() else self.part(" " + part))
             ids += found
         return ids
 
