@@ -174,7 +174,8 @@ def _settle(last: bool):
             for doc, text, found in zip(*(c.to_pylist() for c in batch.columns)):
                 n, found = len((text or "").encode().split()), found or []
                 covered = _covered(n, found, REMOVE)
-                open_ = any(f["what"] == CHECK for f in found) and not covered.all()
+                # Even if all its words are gone: its windows may be the first that later documents repeat.
+                open_ = any(f["what"] == CHECK for f in found)
                 done = last or not open_
                 out.append((doc, n, _kept_spans(~covered) if done else None, text, [] if done else found))
             yield pa.RecordBatch.from_arrays(

@@ -60,3 +60,17 @@ def test_no_rows_and_clashing_names(spark):
     assert substring_dedup.remove_repeats(empty).count() == 0
     one = spark.createDataFrame([(1, "a b", 5, 6)], "doc_id long, text string, kept int, doc int")
     assert [tuple(r) for r in substring_dedup.remove_repeats(one).collect()] == [(1, 2, 0, "a b")]
+
+
+def test_a_document_that_is_gone_still_comes_first(spark, tmp_path):
+    """Windows across the end of one copy and the begin of the next are first seen in a text that loses all its words."""
+    rng, rows = random.Random(6), []
+
+    def text(n):
+        return [f"w{rng.randrange(10**6)}" for _ in range(n)]
+
+    for i in range(400):
+        source = text(200)
+        for k, ws in enumerate((source[:100], source[90:], source, text(30) + source[85:110] + text(30))):
+            rows.append((4 * i + k, " ".join(ws), None, None, None))
+    assert found(spark, rows, tmp_path) == brute([r[:2] for r in rows])
