@@ -182,3 +182,12 @@ def test_catalog_tables(spark):
         assert tables.scan_table(spark, "source_test.t").columns == ["name"]
     finally:
         spark.sql("DROP DATABASE source_test CASCADE")
+
+
+def test_order_files_hold_all_orders_in_bounded_files(spark):
+    from workload import paging
+
+    sf = "/root/testdata/sf0.01"
+    files = paging._order_files(spark, sf).groupBy(F.input_file_name()).count().collect()
+    assert sum(r["count"] for r in files) == spark.read.parquet(f"{sf}/orders.parquet").count()
+    assert len(files) > 5 and max(r["count"] for r in files) < 2 * paging.PER_FILE

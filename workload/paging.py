@@ -162,18 +162,41 @@ def load_append_facts(spark, sf):
     return store.read("fatos").select("pedido", "linha", "valor", "_extra")
 
 
+#: Orders in a file of one envelope, on average.
+PER_FILE = 1000
+
+
+def _order_files(spark, sf):
+    """All orders, read from files of one envelope each over several lines, among them one that is broken. The
+    number of files grows with the table."""
+    path = scratch_path(spark, "files")
+    orders = table(spark, sf, "orders")
+    record = F.to_json(
+        F.struct(
+            F.col("o_orderkey").alias("id"),
+            F.col("o_custkey").alias("cliente"),
+            F.struct(F.col("o_orderstatus").alias("situacao")).alias("ultimoStatus"),
+        )
+    )
+    text = F.concat(F.lit('{"dados": [\n'), F.concat_ws(",\n", F.collect_list(record)), F.lit('\n], "links": []}'))
+    n_files = orders.count() // PER_FILE + 1
+    files = orders.groupBy(F.pmod(F.xxhash64("o_orderkey"), F.lit(n_files)).alias("n")).agg(text.alias("value"))
+    broken = spark.range(1).select(F.lit(-1).cast("long").alias("n"), F.lit('{"dados": [{"id": 1},').alias("value"))
+    files.unionByName(broken).write.option("compression", "none").partitionBy("n").text(path)
+    return envelopes.read_envelopes(spark, path, ORDER, glob="*")
+
+
 @query(
     "src_envelope_files",
     "SELECT o_orderkey AS id, o_custkey AS cliente FROM orders WHERE o_orderkey % 97 = 0 AND o_orderstatus <> 'P'",
 )
 def src_envelope_files(spark, sf):
-    """Files of one envelope each over several lines, among them one that is broken."""
-    path = scratch_path(spark, "files")
-    orders = table(spark, sf, "orders").where("o_orderkey % 97 = 0 and o_orderstatus <> 'P'")
-    record = F.to_json(F.struct(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("cliente")))
-    text = F.concat(F.lit('{"dados": [\n'), F.concat_ws(",\n", F.collect_list(record)), F.lit('\n], "links": []}'))
-    # A file is a document: a few of them, each with the orders of one priority.
-    files = orders.groupBy("o_orderpriority").agg(text.alias("value")).select("value", F.xxhash64("o_orderpriority").alias("n"))
-    broken = spark.range(1).select(F.lit('{"dados": [{"id": 1},').alias("value"), F.lit(0).cast("long").alias("n"))
-    files.unionByName(broken).write.option("compression", "none").partitionBy("n").text(path)
-    return envelopes.read_envelopes(spark, path, ORDER, glob="*").select("id", "cliente")
+    """Some of the orders out of the files of all; the files are written and read whole."""
+    found = _order_files(spark, sf).where("id % 97 = 0 and ultimoStatus.situacao <> 'P'")
+    return found.select("id", "cliente")
+
+
+@query("src_envelope_files_whole", "SELECT o_orderkey AS id, o_custkey AS cliente FROM orders")
+def src_envelope_files_whole(spark, sf):
+    """All orders out of files of one envelope each."""
+    return _order_files(spark, sf).select("id", "cliente")
