@@ -1,18 +1,18 @@
 """One line of every group of alike lines: MinHash bands, exact Jaccard, connected components.
 
-A line's set holds its character shingles: the ``SHINGLE`` characters from the start of each word on, in lower case.
-Starting at words keeps a line of 150 characters at some 25 shingles, few enough for expressions of Spark's own;
-a changed word changes two of them. Its signature are the least shingle hashes under ``2 * BANDS`` orders (hash
-xor a constant), taken in pairs as bands: lines of similarity 0.8 share one of five bands with a chance above 0.99.
+With ``whole``, as the query and the pipeline ask for, a line's set holds all its character shingles, every ``SHINGLE``
+characters in a row in lower case. Without it only the shingles from the start of each word on count. Lines of fewer
+than ``MIN_CHARS`` characters stay. A signature are the least shingle hashes under ``2 * BANDS`` orders (hash xor a constant), taken in
+pairs as bands: lines of similarity 0.8 share one of five bands with a chance above 0.99.
 
 Equal lines are one from the start. In each band the lines are held against the one that occurs most often, of which
 the others are likely copies, and linked if their exact similarity reaches the threshold. Where a band still
 holds lines of several components, its lines are held against each other again in the same way, now under every
-two bands they share. So the pairs grow with the lines and never with the square of a group.
+two bands they share.
 Of every component the first line, by document and place, stays.
 
-DataFrame functions only: no Python, and no group is ever collected. Rows: a null text has no lines; lines of fewer
-than ``MIN_CHARS`` characters are too common to say anything and stay, as do all lines of rows without a key.
+DataFrame functions only: no Python, and no group is ever collected. Rows: a null text has no lines; blank lines
+stay, as do all lines of rows without a key.
 Repeated rows count as one document. All columns of the documents are carried; names starting with an
 underscore are reserved for steps in between, and ``n_lines`` and ``n_removed`` are replaced.
 """
@@ -30,6 +30,7 @@ BANDS = 5
 PERCENT = 80
 MIN_CHARS = 24
 GRAMS = r"(?s)(?=\S)(?=(.{1,%d}))\S+" % SHINGLE
+ALL_GRAMS = "(?s)(?=(.{%d}))." % SHINGLE
 
 
 def _order(i: int) -> Column:
@@ -39,16 +40,20 @@ def _order(i: int) -> Column:
     return F.lit(spread - 2**64 if spread >= 2**63 else spread).cast("long")
 
 
-def grams(line: Column) -> Column:
-    return F.array_distinct(F.transform(F.regexp_extract_all(F.lower(line), F.lit(GRAMS), F.lit(1)), lambda g: F.xxhash64(g)))
+def grams(line: Column, whole: bool = False) -> Column:
+    low = F.lower(line)
+    found = F.regexp_extract_all(low, F.lit(ALL_GRAMS if whole else GRAMS), F.lit(1))
+    if whole:
+        found = F.when(F.length(low) < SHINGLE, F.array(low)).otherwise(found)
+    return F.array_distinct(F.transform(found, lambda g: F.xxhash64(g)))
 
 
-def lines_of(docs: DataFrame, key: str, text: str) -> DataFrame:
+def lines_of(docs: DataFrame, key: str, text: str, whole: bool = False) -> DataFrame:
     """``(_doc, _at, _line)`` of the lines that are compared."""
     return (
         docs.where(F.col(key).isNotNull())
         .select(F.col(key).alias("_doc"), F.posexplode(F.split(text, "\n")).alias("_at", "_line"))
-        .where(F.length("_line") >= MIN_CHARS)
+        .where(F.col("_line").rlike(r"\S") & (F.length("_line") >= MIN_CHARS))
     )
 
 
@@ -56,16 +61,16 @@ def _identity() -> list[Column]:
     return [F.xxhash64("_line").alias("_h1"), F.xxhash64(F.lit(7), "_line").alias("_h2")]
 
 
-def signatures(lines: DataFrame) -> DataFrame:
+def signatures(lines: DataFrame, whole: bool = False) -> DataFrame:
     """One row per different line: its first place, how often it occurs, and its band keys."""
-    hashed = lines.select("_doc", "_at", *_identity(), grams(F.col("_line")).alias("_grams"))
+    hashed = lines.select("_doc", "_at", *_identity(), grams(F.col("_line"), whole).alias("_grams"))
 
     def least_under(order: Column) -> Column:
         return F.array_min(F.transform("_grams", lambda h: h.bitwiseXOR(order)))
 
     least = [least_under(_order(i)) for i in range(2 * BANDS)]
     keys = F.array(*[F.xxhash64(F.lit(i), least[2 * i], least[2 * i + 1]) for i in range(BANDS)])
-    signed = hashed.withColumn("_n", F.size("_grams")).withColumn("_keys", keys).where("_n > 0")
+    signed = hashed.withColumn("_n", F.size("_grams")).withColumn("_keys", keys)
     return signed.groupBy("_h1", "_h2").agg(
         F.min(F.struct("_doc", "_at")).alias("_first"),
         F.count("*").alias("_times"),
@@ -74,27 +79,27 @@ def signatures(lines: DataFrame) -> DataFrame:
     )
 
 
-def _sets(docs: DataFrame, key: str, text: str, wanted: DataFrame) -> DataFrame:
-    """``(_id, _grams)`` of the lines at the places ``(_id, _doc, _at)``."""
-    per_doc = wanted.groupBy("_doc").agg(F.collect_list(F.struct("_id", "_at")).alias("_wanted"))
+def _texts(docs: DataFrame, key: str, text: str, wanted: DataFrame) -> DataFrame:
+    """``(_id, _n, _line)`` of the lines at the places ``(_id, _n, _doc, _at)``."""
+    per_doc = wanted.groupBy("_doc").agg(F.collect_list(F.struct("_id", "_n", "_at", "_h1", "_h2")).alias("_wanted"))
     lines = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("_doc"), F.split(text, "\n").alias("_lines"))
-    return (
+    found = (
         lines.join(per_doc, "_doc")
         .select("_lines", F.explode("_wanted").alias("_w"))
-        .select("_w._id", F.get("_lines", F.col("_w._at")).alias("_line"))
-        .select("_id", grams(F.col("_line")).alias("_grams"))
-        .dropDuplicates(["_id"])
+        .select("_w.*", F.get("_lines", F.col("_w._at")).alias("_line"))
     )
+    # Rows of one key may differ in their texts: the line is the one that was signed.
+    h1, h2 = _identity()
+    return found.where((F.col("_h1") == h1) & (F.col("_h2") == h2)).select("_id", "_n", "_line").dropDuplicates(["_id"])
 
 
-def _alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _alike(pairs: DataFrame, texts: DataFrame, whole: bool) -> DataFrame:
     """The pairs (a, b) whose shingle sets reach the threshold."""
-    common = F.size(F.array_intersect("_x", "_y"))
+    common = F.size(F.array_intersect(grams(F.col("_x"), whole), grams(F.col("_y"), whole)))
     return (
-        pairs.join(sets.toDF("a", "_x"), "a")
-        .join(sets.toDF("b", "_y"), "b")
-        .withColumn("_common", common)
-        .where(100 * F.col("_common") >= PERCENT * (F.size("_x") + F.size("_y") - F.col("_common")))
+        pairs.join(texts.toDF("a", "_nx", "_x"), "a")
+        .join(texts.toDF("b", "_ny", "_y"), "b")
+        .where((100 + PERCENT) * common >= PERCENT * (F.col("_nx") + F.col("_ny")))
         .select("a", "b")
     )
 
@@ -121,21 +126,22 @@ def _stars(members: DataFrame) -> DataFrame:
     )
 
 
-def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", whole: bool = False) -> DataFrame:
     """``(_doc, _at)`` of the lines that go. Runs jobs and writes to the shared folder."""
-    all_lines = lines_of(docs, key, text)
-    lines = written(signatures(all_lines).withColumn("_id", _number()), "lines")
+    all_lines = lines_of(docs, key, text, whole)
+    lines = written(signatures(all_lines, whole).withColumn("_id", _number()), "lines")
     keyed = lines.select("_id", "_n", F.explode("_keys").alias("_key"))
     shared = written(
         keyed.groupBy("_key").agg(F.min("_id").alias("_least"), F.count("*").alias("_rows")).where("_rows > 1"),
         "bands",
     )
     members = written(keyed.join(shared, "_key").select("_key", "_id", "_n", "_least"), "members")
-    places = lines.select("_id", "_first._doc", "_first._at").join(members.select("_id").distinct(), "_id", "left_semi")
-    sets = written(_sets(docs, key, text, places), "line-sets")
+    places = lines.select("_id", "_n", "_first._doc", "_first._at", "_h1", "_h2")
+    places = places.join(members.select("_id").distinct(), "_id", "left_semi")
+    texts = written(_texts(docs, key, text, places), "line-texts")
 
     stars = written(_stars(members), "pairs")
-    links = written(_alike(stars, sets), "links")
+    links = written(_alike(stars, texts, whole), "links")
     parts = components(links)
 
     def with_parts(rows: DataFrame) -> DataFrame:
@@ -162,7 +168,7 @@ def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     apart = finer.join(mixed(finer), "_key").where("_id = _least or _part <> _least_part")
     more = _stars(apart)
     more = written(more.join(stars, ["a", "b"], "left_anti"), "pairs")
-    links = links.unionByName(written(_alike(more, sets), "links"))
+    links = links.unionByName(written(_alike(more, texts, whole), "links"))
     parts = components(links)
 
     grouped = lines.drop("_keys").join(parts.withColumnRenamed("node", "_id"), "_id", "left")
@@ -184,9 +190,9 @@ def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     )
 
 
-def keep_one_of_alike(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def keep_one_of_alike(docs: DataFrame, key: str = "doc_id", text: str = "text", whole: bool = False) -> DataFrame:
     """``docs`` without the lines that repeat others, with ``n_lines`` and ``n_removed``."""
-    gone = removed_lines(docs, key, text).groupBy("_doc").agg(F.collect_set("_at").alias("_gone"))
+    gone = removed_lines(docs, key, text, whole).groupBy("_doc").agg(F.collect_set("_at").alias("_gone"))
     # The lines alone go through the join; joined again they are the text.
     whole = docs.withColumn("_lines", F.split(text, "\n")).drop(text)
     joined = whole.join(gone, whole[key] == gone["_doc"], "left")

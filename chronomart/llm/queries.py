@@ -103,7 +103,7 @@ def nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lines_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = line_dedup.keep_one_of_alike(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    kept = line_dedup.keep_one_of_alike(table(spark, sf_dir, "documents").select("doc_id", "text"), whole=True)
     return kept.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 

@@ -112,3 +112,35 @@ def test_bands_find_alike_lines_at_the_threshold(spark):
     rows = {r.doc: set(r._keys) for r in signed.select(F.col("_first._doc").alias("doc"), "_keys").collect()}
     met = sum(bool(rows[pairs[i][0]] & rows[pairs[i + 1][0]]) for i in range(0, len(pairs), 2))
     assert met >= 0.97 * (len(pairs) // 2)
+
+
+def all_grams(line):
+    line = line.lower()
+    return {line[i : i + line_dedup.SHINGLE] for i in range(max(1, len(line) - line_dedup.SHINGLE + 1))}
+
+
+def whole_brute(rows):
+    """doc_id -> lines that stay, by all shingles of all lines that are not blank."""
+    places = [(k, at, line) for k, text in sorted(rows) for at, line in enumerate(text.split("\n")) if line.strip()]
+    sets, group = [all_grams(line) for *_, line in places], list(range(len(places)))
+    for i in range(len(places)):
+        for j in range(i):
+            common = len(sets[i] & sets[j])
+            if 100 * common >= line_dedup.PERCENT * (len(sets[i]) + len(sets[j]) - common) and group[i] != group[j]:
+                low, high = sorted((group[i], group[j]))
+                group = [low if g == high else g for g in group]
+    gone = {places[i][:2] for i in range(len(places)) if group[i] != i}
+    return {k: [x for at, x in enumerate(t.split("\n")) if (k, at) not in gone] for k, t in rows}
+
+
+def kept_whole(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    return {r.doc_id: r.text.split("\n") if r.text else [] for r in line_dedup.keep_one_of_alike(docs, whole=True).collect()}
+
+
+def test_all_of_a_line_is_read(spark):
+    long = "https://example.org/" + "".join(random.Random(3).choices("abcdefghij", k=120))
+    rows = [(1, "https://example.org/a/first"), (2, "https://example.org/b/other"), (3, long), (4, long[:-1] + "z"),
+            (5, "今日は天気がとても良いので散歩に行きました"), (6, "今日は天気がとても悪いので家で本を読みました")]
+    kept = kept_whole(spark, rows)
+    assert kept == {k: [] if k == 4 else [t] for k, t in rows}
