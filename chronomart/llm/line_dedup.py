@@ -8,7 +8,8 @@ pairs as bands: lines of similarity 0.8 share one of five bands with a chance ab
 Equal lines are one from the start. In each band the lines are held against the one that occurs most often, of which
 the others are likely copies, and linked if their exact similarity reaches the threshold. Where a band still
 holds lines of several components, its lines are held against each other again in the same way, now under every
-two bands they share.
+two bands they share. Both steps only spare pairs: at last, in every band that still holds several components, all
+pairs of lines of different components are compared, in tiles of at most ``TILE`` rows a side on average.
 Of every component the first line, by document and place, stays.
 
 DataFrame functions only: no Python, and no group is ever collected. Rows: a null text has no lines; blank lines
@@ -31,6 +32,8 @@ PERCENT = 80
 MIN_CHARS = 24
 GRAMS = r"(?s)(?=\S)(?=(.{1,%d}))\S+" % SHINGLE
 ALL_GRAMS = "(?s)(?=(.{%d}))." % SHINGLE
+#: Lines on a tile's side.
+TILE = 500
 
 
 def _order(i: int) -> Column:
@@ -126,6 +129,26 @@ def _stars(members: DataFrame) -> DataFrame:
     )
 
 
+def _tiles(members: DataFrame) -> DataFrame:
+    """All pairs (a, b) of different components under one key, ``(_key, _id, _n, _part)`` given, but those whose sizes
+    cannot be alike. Many rows under a key are dealt to blocks by hash, and every two blocks are a tile."""
+    sizes = members.groupBy("_key").agg(F.ceil(F.count("*") / TILE).cast("int").alias("_blocks"))
+    block, other = F.col("_block"), F.col("_other")
+    dealt = (
+        members.join(written(sizes, "sizes"), "_key")
+        .withColumn("_block", F.pmod(F.xxhash64("_id"), F.col("_blocks")).cast("int"))
+        .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+        .select("_key", F.least(block, other).alias("_i"), F.greatest(block, other).alias("_j"), "_id", "_n", "_part", "_block")
+    )
+    dealt = written(dealt, "dealt")
+    tile = ["_key", "_i", "_j"]
+    left = dealt.where("_block = _i").select(*tile, F.col("_id").alias("a"), F.col("_n").alias("_na"), F.col("_part").alias("_pa"))
+    right = dealt.where("_block = _j").select(*tile, F.col("_id").alias("b"), F.col("_n").alias("_nb"), F.col("_part").alias("_pb"))
+    possible = 100 * F.least("_na", "_nb") >= PERCENT * F.greatest("_na", "_nb")
+    met = left.join(right, tile).where((F.col("_pa") != F.col("_pb")) & possible & ((F.col("_i") < F.col("_j")) | (F.col("a") < F.col("b"))))
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", whole: bool = False) -> DataFrame:
     """``(_doc, _at)`` of the lines that go. Runs jobs and writes to the shared folder."""
     all_lines = lines_of(docs, key, text, whole)
@@ -171,6 +194,12 @@ def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", whol
     links = links.unionByName(written(_alike(more, texts, whole), "links"))
     parts = components(links)
 
+    named = with_parts(members)
+    rest = _tiles(named.join(mixed(named).select("_key"), "_key", "left_semi").select("_key", "_id", "_n", "_part"))
+    rest = written(rest.join(stars.unionByName(more), ["a", "b"], "left_anti"), "pairs")
+    links = links.unionByName(written(_alike(rest, texts, whole), "links"))
+    parts = components(links)
+
     grouped = lines.drop("_keys").join(parts.withColumnRenamed("node", "_id"), "_id", "left")
     first = written(
         grouped.where("component is not null").groupBy("component").agg(F.min("_first").alias("_keep")),

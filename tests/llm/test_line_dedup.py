@@ -144,3 +144,23 @@ def test_all_of_a_line_is_read(spark):
             (5, "今日は天気がとても良いので散歩に行きました"), (6, "今日は天気がとても悪いので家で本を読みました")]
     kept = kept_whole(spark, rows)
     assert kept == {k: [] if k == 4 else [t] for k, t in rows}
+
+
+def test_alike_lines_that_share_one_band_meet(spark, monkeypatch):
+    """One key holds everything, so its least line is unlike the alike ones."""
+    from pyspark.sql import functions as F
+
+    signatures = line_dedup.signatures
+    monkeypatch.setattr(line_dedup, "TILE", 4)
+    monkeypatch.setattr(
+        line_dedup, "signatures",
+        lambda *a: signatures(*a).withColumn("_keys", F.concat(F.array(F.lit(1).cast("long")), *[F.array(F.xxhash64(F.lit(i), "_h1")) for i in range(4)])),
+    )
+    rng = random.Random(5)
+    lead = prose(rng, 20)
+    rows = [(i, lead) for i in range(5)]
+    for i in range(10, 30, 2):
+        line = prose(rng, 20)
+        rows += [(i, line), (i + 1, line + ".")]
+    kept = kept_whole(spark, rows)
+    assert sorted(k for k, v in kept.items() if v) == [0, *range(10, 30, 2)]
