@@ -1,8 +1,9 @@
 """One line of every group of alike lines: MinHash bands, exact Jaccard, connected components.
 
 With ``whole``, as the query and the pipeline ask for, a line's set holds all its character shingles, every ``SHINGLE``
-characters in a row in lower case. Without it only the shingles from the start of each word on count. Lines of fewer
-than ``MIN_CHARS`` characters stay. A signature are the least shingle hashes under ``2 * BANDS`` orders (hash xor a constant), taken in
+characters in a row in lower case (a shorter line is one shingle), and every line with a character other than a space is
+compared. Without it only the shingles from the start of each word on count, and lines of fewer than ``MIN_CHARS``
+characters stay. A signature are the least shingle hashes under ``2 * BANDS`` orders (hash xor a constant), taken in
 pairs as bands: lines of similarity 0.8 share one of five bands with a chance above 0.99.
 
 Equal lines are one from the start. In each band the lines are held against the one that occurs most often, of which
@@ -56,7 +57,7 @@ def lines_of(docs: DataFrame, key: str, text: str, whole: bool = False) -> DataF
     return (
         docs.where(F.col(key).isNotNull())
         .select(F.col(key).alias("_doc"), F.posexplode(F.split(text, "\n")).alias("_at", "_line"))
-        .where(F.col("_line").rlike(r"\S") & (F.length("_line") >= MIN_CHARS))
+        .where(F.col("_line").rlike(r"\S") & (F.lit(whole) | (F.length("_line") >= MIN_CHARS)))
     )
 
 

@@ -144,6 +144,14 @@ def test_all_of_a_line_is_read(spark):
             (5, "今日は天気がとても良いので散歩に行きました"), (6, "今日は天気がとても悪いので家で本を読みました")]
     kept = kept_whole(spark, rows)
     assert kept == {k: [] if k == 4 else [t] for k, t in rows}
+    rows = alike_lines(9)
+    expected = whole_brute(rows)
+    assert kept_whole(spark, rows) == {k: [] if v == [""] else v for k, v in expected.items()}
+
+
+def test_short_lines_that_repeat_go(spark):
+    rows = [(1, "Home\n\nAbout us"), (2, "About us\n\nhome\nb"), (3, "Home\n  \nc")]
+    assert kept_whole(spark, rows) == {1: ["Home", "", "About us"], 2: ["", "b"], 3: ["  ", "c"]}
 
 
 def test_alike_lines_that_share_one_band_meet(spark, monkeypatch):
