@@ -20,6 +20,7 @@ from chronomart.llm import (
     quality_rules,
     secret_scan,
     substring_dedup,
+    token_counts,
     topk_search,
 )
 
@@ -135,6 +136,11 @@ def secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tokens_counted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), path, limit=512)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_licence_scan": licences,
     "op2_byte_bpe": byte_bpe_round_trip,
@@ -146,6 +152,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": quality,
     "op9_best_fit_packing": packed,
     "op10_secret_scan": secrets,
+    "op13_token_counts": tokens_counted,
     "pipeline": corpus_pipeline.run,
 }
 
