@@ -63,3 +63,51 @@ NEAREST = """
     SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
            vec_id, score
     FROM s QUALIFY rank <= 10"""
+
+LEXICAL = r"""
+    WITH words AS (SELECT 'doc' AS kind, doc_id AS id, text FROM documents WHERE doc_id IS NOT NULL
+                   UNION ALL SELECT 'item', item_id, text FROM benchmark WHERE item_id IS NOT NULL),
+      split AS (SELECT kind, id, row_number() OVER () AS row, regexp_extract_all(
+                  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM words),
+      docs AS (SELECT row, id, CAST(len(ts) AS BIGINT) AS n FROM split WHERE kind = 'doc' AND len(ts) > 0),
+      totals AS (SELECT count(*) AS nn, CAST(sum(n) AS BIGINT) AS ll FROM docs),
+      tf AS (SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(ts) AS term FROM split WHERE kind = 'doc') GROUP BY ALL),
+      df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+      asked AS (SELECT DISTINCT id AS item_id, unnest(ts) AS term FROM split WHERE kind = 'item'),
+      weights AS (SELECT item_id, term, CAST(floor(1000 * ln((2 * nn + 2) / (2 * df + 1))) AS BIGINT) AS w
+                  FROM asked JOIN df USING (term), totals),
+      parts AS (SELECT item_id, row, id, w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * nn) // ll))) AS part
+                FROM weights JOIN tf USING (term) JOIN docs USING (row), totals),
+      scores AS (SELECT item_id, row, id AS doc_id, CAST(sum(part) AS BIGINT) AS score FROM parts GROUP BY ALL)
+    SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+    FROM scores WHERE score > 0 QUALIFY rank <= 10"""
+
+#: CRC-32 of a number's decimal digits: each byte is added and then shifted out bit by bit.
+_CRC = """xor(4294967295, list_reduce([4294967295] || flatten(list_transform(string_split(CAST(c AS VARCHAR), ''),
+             lambda x: [CAST(ord(x) AS BIGINT)] || [-1, -1, -1, -1, -1, -1, -1, -1])),
+             lambda a, b: CASE WHEN b >= 0 THEN xor(a, b) WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END))"""
+
+PREFIXES = f"""
+    WITH t AS (SELECT conv_id AS c, coalesce(role, '') AS r, coalesce(text, '') AS x, row_number() OVER (
+                 PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS p
+               FROM conversations WHERE conv_id IS NOT NULL),
+      ids AS (SELECT c, c - c % 100 AS base, {_CRC} % 6 AS h FROM (SELECT DISTINCT c FROM t)),
+      sizes AS (SELECT c AS base, count(*) AS held FROM t GROUP BY c),
+      turns AS (SELECT ids.c, p AS d, r, x FROM ids JOIN t ON t.c = base AND p <= h
+                UNION ALL SELECT c, least(h, coalesce(held, 0)) + p - h, r, x
+                FROM t JOIN ids USING (c) LEFT JOIN sizes USING (base) WHERE p > h),
+      paths AS (SELECT c, d, length(x) AS chars, string_agg(md5(r) || md5(x), '') OVER (PARTITION BY c ORDER BY d) AS path FROM turns
+                UNION ALL SELECT c, 0, 0, '' FROM ids),
+      nodes AS (SELECT path, d, min(c) AS conv_id, count(*) AS n, any_value(chars) AS chars FROM paths GROUP BY path, d),
+      kids AS (SELECT left(path, length(path) - 64) AS path, count(*) AS k FROM nodes WHERE d > 0 GROUP BY 1),
+      known AS (SELECT nodes.*, coalesce(k, 0) AS k FROM nodes LEFT JOIN kids USING (path)),
+      subtrees AS (SELECT left(path, 64 * up) AS path, sum((n - 1) * chars) AS saved, count(*) FILTER (k = 0) AS leaves
+                   FROM (SELECT *, unnest(range(0, d + 1)) AS up FROM known) GROUP BY 1),
+      ends AS (SELECT path, sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c)) AS e
+               FROM (SELECT c, max_by(path, d) AS path FROM paths GROUP BY c) GROUP BY path)
+    SELECT known.conv_id, CAST(known.d AS BIGINT) AS depth, up.conv_id AS parent_conv_id, CAST(known.n AS BIGINT) AS n_convs,
+           CAST(known.k AS BIGINT) AS n_children, CAST(leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens,
+           coalesce(e, sha256('')) AS ends_sha256
+    FROM known JOIN subtrees USING (path) LEFT JOIN ends USING (path)
+    LEFT JOIN nodes up ON known.d > 0 AND up.path = left(known.path, length(known.path) - 64)"""

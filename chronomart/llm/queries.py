@@ -12,17 +12,21 @@ import corpus_pipeline
 from chronomart.llm import (
     byte_bpe,
     chat_format,
+    lexical_search,
     licence_scan,
     line_dedup,
     ngram_jaccard,
     oracles,
     packing,
+    prefix_trie,
     quality_rules,
     secret_scan,
     substring_dedup,
     token_counts,
     topk_search,
 )
+from chronomart.llm.scratch import written
+from chronomart.operators.ranks import with_positions
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -136,6 +140,41 @@ def secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def ranked_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+#: A rebuilt conversation borrows fewer turns than this from the first of its hundred.
+BORROWED = 6
+
+
+def rebuilt_conversations(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(conv, depth, role, text)`` and ``(conv)``: every conversation with its first turns taken from the first of its hundred.
+
+    Turns are in the order of ``turn``, null first; equal turn numbers stand by role and text.
+    """
+    rows = rows.where("conv_id is not null").select(
+        F.col("conv_id").alias("conv"), "turn", *(F.coalesce(c, F.lit("")).alias(c) for c in ("role", "text"))
+    )
+    placed = with_positions(rows, [F.col("turn").asc_nulls_first(), "role", "text"], within=["conv"])
+    placed = written(placed.drop("turn"), "ordered_turns")
+    base = (F.col("conv") - F.col("conv") % 100).alias("base")
+    head = (F.crc32(F.col("conv").cast("string").cast("binary")) % BORROWED).alias("head")
+    first = placed.where(F.col("position") < BORROWED)
+    ids = placed.select("conv").distinct()
+    asked = ids.select("conv", base, head).where("head > 0")
+    lent = asked.join(first.withColumnRenamed("conv", "base"), "base").where("position <= head")
+    held = first.groupBy(F.col("conv").alias("base")).agg(F.count("*").alias("held"))
+    own = placed.select("*", base, head).where("position > head").join(held, "base", "left")
+    taken = F.least("head", F.coalesce("held", F.lit(0)))
+    own = own.select("conv", (taken + F.col("position") - F.col("head")).alias("depth"), "role", "text")
+    return lent.select("conv", F.col("position").alias("depth"), "role", "text").union(own), ids
+
+
+def conversation_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(*rebuilt_conversations(table(spark, sf_dir, "conversations")))
+
+
 def tokens_counted(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return token_counts.token_counts(table(spark, sf_dir, "documents"), path, limit=512)
@@ -152,6 +191,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": quality,
     "op9_best_fit_packing": packed,
     "op10_secret_scan": secrets,
+    "op11_lexical_search": ranked_documents,
+    "op12_prefix_trie": conversation_prefixes,
     "op13_token_counts": tokens_counted,
     "pipeline": corpus_pipeline.run,
 }
@@ -161,6 +202,8 @@ SQL: dict[str, str] = {
     "op4_chat_format": oracles.CHAT,
     "op5_ngram_jaccard": oracles.JACCARD,
     "op6_topk_search": oracles.NEAREST,
+    "op11_lexical_search": oracles.LEXICAL,
+    "op12_prefix_trie": oracles.PREFIXES,
 }
 if corpus_pipeline.ORACLE_SQL:
     SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
