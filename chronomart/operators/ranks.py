@@ -19,35 +19,40 @@ from chronomart.session import materialise
 ROW_BITS = 33
 
 
-def _ranged(df: DataFrame, order: list[Column]) -> DataFrame:
-    """``df`` sorted by ranges, with the number of each row's range and its place there. The ranges are sampled,
-    so they are written once: a task that runs again finds the same ones."""
+def _ranged(df: DataFrame, order: list[Column], drop: Sequence[str]) -> DataFrame:
+    """``df`` sorted by ranges, with the number of each row's range and its place there, without the columns of ``drop``.
+    The ranges are sampled, so they are written once: a task that runs again finds the same ones."""
     told_apart = df.withColumn("_read", F.monotonically_increasing_id())
     by = [*order, F.col("_read")]
     numbered = told_apart.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_at", F.monotonically_increasing_id())
-    spread = materialise(numbered.drop("_read"), "ranged")
+    spread = materialise(numbered.drop("_read", *drop), "ranged")
     return spread.select(
-        *[F.col(f"`{c}`") for c in df.columns],
+        *[F.col(f"`{c}`") for c in df.columns if c not in drop],
         F.shiftright("_at", ROW_BITS).cast("int").alias("_range"),
         F.col("_at").bitwiseAND((1 << ROW_BITS) - 1).alias("_row"),
     )
 
 
 def with_positions(
-    df: DataFrame, order: Sequence[Column | str], within: Sequence[str] = (), name: str = "position"
+    df: DataFrame,
+    order: Sequence[Column | str],
+    within: Sequence[str] = (),
+    name: str = "position",
+    drop: Sequence[str] = (),
 ) -> DataFrame:
     """``df`` with each row's place, from 1 on, in the ``order`` (of all rows, or of those that share ``within``).
 
-    The driver sees one count per range. Null keys are one key. Columns ``_read``, ``_at``, ``_range`` and ``_row`` are
+    Columns named in ``drop`` serve the order only; they are neither written nor returned. The driver sees one count
+    per range. Null keys are one key. Columns ``_read``, ``_at``, ``_range`` and ``_row`` are
     used in between and refused in ``df``.
     """
     taken = {"_read", "_at", "_range", "_row"}.intersection(c.lower() for c in df.columns)
     if taken or name in df.columns:
         raise ValueError(f"columns {sorted(taken) or [name]} are needed for positions")
-    columns = [F.col(f"`{c}`") for c in df.columns]
+    columns = [F.col(f"`{c}`") for c in df.columns if c not in drop]
     order = [F.col(c) if isinstance(c, str) else c for c in order]
     keys = [F.col(f"`{c}`") for c in within]
-    spread = _ranged(df, [*keys, *order])
+    spread = _ranged(df, [*keys, *order], drop)
     if not within:
         return _with_starts(spread).select(*columns, (F.col("_start") + F.col("_row") + 1).alias(name))
     here = Window.partitionBy("_range", *keys).orderBy("_row")
