@@ -289,23 +289,25 @@ def _same(column: str):
     return F.when(F.min(column).eqNullSafe(F.max(column)), F.min(column)).otherwise(clash).alias(column)
 
 
+def hashed_turns(rows: DataFrame, role: str = "role", text: str = "text") -> list:
+    """What the trie needs of a turn, as columns: ``hash`` (of role and text, with null as empty) and ``chars`` of the text."""
+    role, text = (F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (role, text))
+    told = F.concat(F.length(role).cast("string"), F.lit(":"), role, text)
+    return [F.unhex(F.sha2(told.cast("binary"), 256)).alias("hash"), F.length(text).cast("long").alias("chars")]
+
+
 def prefix_trie(
     turns: DataFrame, conversations: DataFrame | None = None, seed: int = 12, per_shard: int = 200_000, per_band: int = BAND
 ) -> DataFrame:
-    """One row per node of the trie of ``turns(conv, depth, role, text)``, ``depth`` counting from 1 without gaps.
+    """One row per node of the trie of ``turns(conv, depth, role, text)``, or ``(conv, depth, hash, chars)`` with the columns
+    of :func:`hashed_turns`; ``depth`` counts from 1 without gaps.
 
     ``conversations(conv)`` may name ids without turns. Columns: ``conv_id`` (the smallest member), ``depth``,
     ``parent_conv_id``, ``n_convs``, ``n_children``, ``n_leaves``, ``saved_tokens``, ``ends_sha256``. Runs jobs at once; without
     any conversation there is no node.
     """
-    role, text = (F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("role", "text"))
-    told = F.concat(F.length(role).cast("string"), F.lit(":"), role, text)
-    hashed = turns.where("conv is not null").select(
-        F.col("conv").cast("long"),
-        F.col("depth").cast("long"),
-        F.unhex(F.sha2(told.cast("binary"), 256)).alias("hash"),
-        F.length(text).cast("long").alias("chars"),
-    )
+    told = ["hash", "chars"] if "hash" in turns.columns else hashed_turns(turns)
+    hashed = turns.where("conv is not null").select(F.col("conv").cast("long"), F.col("depth").cast("long"), *told)
     rows = written(hashed.mapInArrow(_summands(seed), _TURNS), "turns")
     ids = rows.select("conv", "depth")
     if conversations is not None:

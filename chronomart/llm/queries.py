@@ -149,15 +149,17 @@ BORROWED = 6
 
 
 def rebuilt_conversations(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``(conv, depth, role, text)`` and ``(conv)``: every conversation with its first turns taken from the first of its hundred.
+    """``(conv, depth, hash, chars)`` and ``(conv)``: every conversation with its first turns taken from the first of its hundred.
 
-    Turns are in the order of ``turn``, null first; equal turn numbers stand by role and text.
+    Turns are in the order of ``turn``, null first; equal turn numbers stand by role and text. Only hashes of the turns
+    are kept.
     """
     rows = rows.where("conv_id is not null").select(
         F.col("conv_id").alias("conv"), "turn", *(F.coalesce(c, F.lit("")).alias(c) for c in ("role", "text"))
     )
-    placed = with_positions(rows, [F.col("turn").asc_nulls_first(), "role", "text"], within=["conv"])
-    placed = written(placed.drop("turn"), "ordered_turns")
+    rows = rows.select("*", *prefix_trie.hashed_turns(rows))
+    order = [F.col("turn").asc_nulls_first(), "role", "text"]
+    placed = written(with_positions(rows, order, within=["conv"], drop=["turn", "role", "text"]), "ordered_turns")
     base = (F.col("conv") - F.col("conv") % 100).alias("base")
     head = (F.crc32(F.col("conv").cast("string").cast("binary")) % BORROWED).alias("head")
     first = placed.where(F.col("position") < BORROWED)
@@ -167,8 +169,8 @@ def rebuilt_conversations(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     held = first.groupBy(F.col("conv").alias("base")).agg(F.count("*").alias("held"))
     own = placed.select("*", base, head).where("position > head").join(held, "base", "left")
     taken = F.least("head", F.coalesce("held", F.lit(0)))
-    own = own.select("conv", (taken + F.col("position") - F.col("head")).alias("depth"), "role", "text")
-    return lent.select("conv", F.col("position").alias("depth"), "role", "text").union(own), ids
+    own = own.select("conv", (taken + F.col("position") - F.col("head")).alias("depth"), "hash", "chars")
+    return lent.select("conv", F.col("position").alias("depth"), "hash", "chars").union(own), ids
 
 
 def conversation_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
