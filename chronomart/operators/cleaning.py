@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable, Mapping, Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chronomart.functions.arrays import field_as_int, join_ids
@@ -18,6 +20,10 @@ from chronomart.operators.rows import dedupe_by_key
 from chronomart.sources.records import rename_by_rule
 
 
+#: The texts a record came with, while it is cleaned, and those of them that cleaning made null.
+RAW, REJECTS = "_raw", "_rejects"
+
+
 def clean_links(df: DataFrame) -> DataFrame:
     """Only the column names: links and flattened paths."""
     return rename_by_rule(df)
@@ -88,6 +94,7 @@ def clean_member_events(df: DataFrame) -> DataFrame:
         "descricaoTipo",
         "descricao",
         join_ids(field_as_int("orgaos")).alias("id_orgaos"),
+        *([RAW] if RAW in df.columns else []),
     )
     return dedupe_by_key(picked, ["id_deputado", "id_evento"])
 
@@ -100,3 +107,40 @@ def clean_expenses(df: DataFrame) -> DataFrame:
             **{c: to_money(c) for c in money},
         }
     )
+
+
+def with_rejects(
+    clean: Callable[[DataFrame], DataFrame], raw: DataFrame, unfit: Mapping[str, Column] | None = None
+) -> DataFrame:
+    """``clean(raw)`` with ``_rejects`` beside each record: ``(field, raw)`` of the values that cleaning made null.
+
+    Fields are those whose type cleaning changes, under their cleaned names. ``unfit`` adds conditions on the raw record,
+    by field, for values that cleaning drops inside a list. The record and its rejects come out of one
+    pass; ``_rejects`` is null where nothing was lost.
+    """
+    renamed = dict(zip(rename_by_rule(raw.limit(0)).columns, raw.schema.fields, strict=True))
+    texts = {name: F.col(f"`{f.name}`").cast("string") for name, f in renamed.items() if f.dataType.typeName() in _ATOMIC}
+    kept = [F.when(F.coalesce(when, F.lit(False)), F.to_json(F.struct(F.col(name)))).alias(f"!{name}") for name, when in (unfit or {}).items()]
+    packed = raw.withColumn(RAW, F.struct(*[c.alias(name) for name, c in texts.items()], *kept))
+    done = clean(packed)
+    types = {f.name: f.dataType for f in done.schema.fields}
+    lost = []
+    for name in texts:
+        if name in types and types[name] != renamed[name].dataType:
+            text = F.col(f"{RAW}.`{name}`")
+            gone = text.isNotNull() & F.col(f"`{name}`").isNull()
+            lost.append(F.when(gone, F.struct(F.lit(name).alias("field"), text.alias("raw"))))
+    for name in unfit or {}:
+        text = F.col(f"{RAW}.`!{name}`")
+        lost.append(F.when(text.isNotNull(), F.struct(F.lit(name).alias("field"), text.alias("raw"))))
+    found = F.array_compact(F.array(*lost)) if lost else F.array().cast("array<struct<field:string,raw:string>>")
+    return done.withColumn(REJECTS, found).withColumn(REJECTS, F.when(F.size(REJECTS) > 0, F.col(REJECTS))).drop(RAW)
+
+
+def rejects(cleaned: DataFrame, record: Sequence[str]) -> DataFrame:
+    """``(record..., field, raw)`` for each value lost, out of :func:`with_rejects`."""
+    return cleaned.select(*record, F.inline(REJECTS))
+
+
+#: Types whose values have a text of their own.
+_ATOMIC = {"string", "byte", "short", "integer", "long", "float", "double", "decimal", "boolean", "date", "timestamp", "timestamp_ntz"}

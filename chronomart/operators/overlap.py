@@ -3,131 +3,61 @@
 from __future__ import annotations
 
 import math
-from functools import reduce
-from operator import add
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronomart.session import materialise
 
-WORD = 62  # bits used of a long
-MAX_WORDS = 4
-MAX_K_BOUND = 200
-
-
-def _positions(pairs: DataFrame, key: str, count: int) -> Column:
-    """1 to ``count`` for the ``count`` values of ``key`` that occur most often, 0 for others.
-    The list is a scalar subquery of that many values."""
-    most = (
-        pairs.groupBy(key)
-        .agg(F.count("*").alias("_n"))
-        .orderBy(F.col("_n").desc(), key)
-        .limit(count)
-        .agg(F.sort_array(F.collect_list(key)).alias("_most"))
-        .scalar()
-    )
-    return F.coalesce(F.array_position(most, F.col(key)), F.lit(0))
-
-
-def _masks(position: str, words: int) -> list[Column]:
-    """Aggregates that gather the positions of a group's rows as bits of ``words`` numbers."""
-    return [
-        F.bit_or(
-            F.expr(
-                f"IF({position} BETWEEN {w * WORD + 1} AND {(w + 1) * WORD}, "
-                f"shiftleft(1L, CAST({position} AS INT) - {w * WORD + 1}), 0L)"
-            )
-        ).alias(f"_mask{w}")
-        for w in range(words)
-    ]
-
 
 def weight_of_kth_edge(pairs: DataFrame, k: int) -> int:
     """A weight that at least ``k`` edges reach, from the edges between the largest groups alone.
 
-    As many of the largest groups are taken as it needs for ``k`` edges (11 groups for 50). Each
-    member's groups among them are bits of one number, and an edge's weight is the count of
-    numbers with both bits. 0 if there are too few groups to tell.
+    As many of the largest groups are taken as it needs for ``k`` edges (11 groups for 50). Each member
+    lists its groups among them, never more than that many. 0 if there are too few edges to tell.
     """
     m = math.ceil((1 + math.sqrt(1 + 8 * k)) / 2)
-    if k > MAX_K_BOUND:
-        return 0
-    members = (
-        pairs.withColumn("_at", _positions(pairs, "_g", m))
-        .where("_at > 0")
-        .groupBy("_m")
-        .agg(*_masks("_at", 1))
-    )
-    both = [(1 << i) | (1 << j) for i in range(m) for j in range(i)]
-    weights = members.agg(
-        F.array(*[F.count_if(F.col("_mask0").bitwiseAND(F.lit(b)) == b) for b in both]).alias("w")
-    ).first()["w"]
-    return sorted(weights, reverse=True)[k - 1]
+    sizes = pairs.groupBy("_g").agg(F.count("*").alias("_n"))
+    largest = sizes.orderBy(F.col("_n").desc(), "_g").limit(m).select("_g")
+    listed = pairs.join(largest, "_g").groupBy("_m").agg(F.sort_array(F.collect_set("_g")).alias("_of"))
+    first = listed.where(F.size("_of") > 1).select("_of", F.posexplode("_of").alias("_i", "_a"))
+    second = first.select("_a", F.explode(F.slice("_of", F.col("_i") + 2, m)).alias("_b"))
+    weights = second.groupBy("_a", "_b").agg(F.count("*").alias("_w"))
+    kth = weights.orderBy(F.col("_w").desc()).limit(k).agg(F.count("*"), F.min("_w")).first()
+    return kth[1] if kth[0] == k else 0
 
 
-def overlap_edges(
-    mart: DataFrame,
-    member: str = "iddeputado",
-    group: str = "id_frente",
-    group_name: str = "nome_frente",
-    min_common: int = 5,
-    k: int | None = 50,
-    block_rows: int = 2000,
-) -> DataFrame:
-    """Pairs of groups with at least ``min_common`` members in common, the strongest first.
-
-    Every member in ``d`` groups would give ``d * (d - 1) / 2`` pairs, so the busiest members are
-    kept out of the pairing without changing the result:
-
-    * For the ``k`` strongest edges the least weight of interest, ``need``, rises from
-      ``min_common`` to what the ``k``-th edge between the largest groups weighs already.
-    * Two groups with ``need`` members in common share at least one that is not among the
-      ``need - 1`` busiest members overall. Those (at most a few hundred, whatever the data) form
-      no pairs. Each group notes which of them it has as bits, and the common bits are added to
-      the pair's count.
-    * Groups with fewer than ``need`` members cannot qualify and leave before pairing.
-    * The remaining members are paired in blocks of about ``block_rows`` groups, each pair of
-      blocks under its own join key, so one member's pairs spread over many tasks.
-
-    The distinct (member, group) rows are written once to the shared folder, since degrees, group
-    sizes and both sides of the pairing read them. Names are looked up after the pairs were
-    counted and cut to ``k``.
+def busiest_members(pairs: DataFrame, most: int) -> DataFrame:
+    """The ``most`` members of each group that are in most groups overall, by one order of all members.
+
+    Spark limits each group before the shuffle as well as after it, so a large group sends few rows.
+    """
+    degrees = pairs.groupBy("_m").agg(F.count("*").alias("_d"))
+    order = Window.partitionBy("_g").orderBy(F.col("_d").desc(), F.col("_m").desc())
+    ranked = pairs.join(degrees, "_m").withColumn("_rank", F.row_number().over(order))
+    return ranked.where(F.col("_rank") <= most).select("_m", "_g")
+
+
+def met_pairs(rows: DataFrame, block_rows: int = 2000) -> DataFrame:
+    """``(_a, _b)``, once for each member that two groups share in ``rows``.
+
+    Members in more than ``block_rows`` groups are paired in blocks of about that many, each pair of
+    blocks under its own join key, so one member's pairs spread over many tasks.
     """
-    pairs = materialise(
-        mart.where(F.col(member).isNotNull() & F.col(group).isNotNull())
-        .select(F.col(member).alias("_m"), F.col(group).alias("_g"))
-        .distinct(),
-        "pairs",
-    )
-    need = min_common if k is None else max(min_common, weight_of_kth_edge(pairs, k))
-    busy = min(need - 1, WORD * MAX_WORDS)
-    words = math.ceil(busy / WORD)
-
-    ranked = pairs.withColumn("_at", _positions(pairs, "_m", busy) if busy else F.lit(0))
-    groups = (
-        ranked.groupBy("_g")
-        .agg(F.count("*").alias("_size"), *_masks("_at", words))
-        .where(F.col("_size") >= need)
-        .drop("_size")
-    )
     crowded = (
-        pairs.groupBy("_m")
+        rows.groupBy("_m")
         .agg(F.count("*").alias("_d"))
         .where(F.col("_d") > block_rows)
         .select("_m", F.ceil(F.col("_d") / F.lit(block_rows)).cast("int").alias("_blocks"))
     )
     rows = (
-        ranked.where("_at = 0")
-        .join(groups, "_g")
-        .join(crowded, "_m", "left")
+        rows.join(crowded, "_m", "left")
         .withColumn("_blocks", F.coalesce("_blocks", F.lit(1)))
         .withColumn("_block", F.pmod(F.xxhash64("_g"), F.col("_blocks")).cast("int"))
     )
 
     def side(n: int, i: Column, j: Column) -> DataFrame:
-        masks = [F.col(f"_mask{w}").alias(f"_mask{w}_{n}") for w in range(words)]
-        return rows.select("_m", F.col("_g").alias(f"_g{n}"), *masks, i.alias("_i"), j.alias("_j"))
+        return rows.select("_m", F.col("_g").alias(f"_g{n}"), i.alias("_i"), j.alias("_j"))
 
     # A row meets the rows of its own block and of every other block exactly once.
     block = F.col("_block")
@@ -137,21 +67,64 @@ def overlap_edges(
     met = first.hint("merge").join(second.hint("merge"), ["_m", "_i", "_j"]).where(
         (F.col("_i") < F.col("_j")) | (F.col("_g1") < F.col("_g2"))
     )
-    weight = reduce(
-        add,
-        [
-            F.max(F.bit_count(F.col(f"_mask{w}_1").bitwiseAND(F.col(f"_mask{w}_2"))))
-            for w in range(words)
-        ],
-        F.count("*"),
-    )
-    edges = (
-        met.groupBy(
-            F.least("_g1", "_g2").alias("frente_1_id"), F.greatest("_g1", "_g2").alias("frente_2_id")
-        )
-        .agg(weight.alias("membros_comum"))
-        .where(F.col("membros_comum") >= need)
+    return met.select(F.least("_g1", "_g2").alias("_a"), F.greatest("_g1", "_g2").alias("_b"))
+
+
+def common_counts(pairs: DataFrame, need: int, block_rows: int = 2000) -> DataFrame:
+    """``(_a, _b, _w)``: pairs of groups with ``need`` members in common or more, of distinct rows ``(_m, _g)``.
+
+    All members stand in one order, the busiest last. Of each group the ``need - 1`` last are set aside: two
+    groups with ``need`` common members share one of the others (of the common ones, the first cannot be among
+    the last ``need - 1`` of either). Only groups that meet there are candidates, so the members that
+    are in very many groups pair nothing wherever others tell groups apart. A candidate's members set aside,
+    ``need - 1`` at most on each side, are then counted exactly.
+    """
+    sizes = pairs.groupBy("_g").agg(F.count("*").alias("_size")).where(F.col("_size") >= need)
+    pairs = pairs.join(sizes.select("_g"), "_g", "left_semi")
+    if need <= 1:
+        return met_pairs(pairs, block_rows).groupBy("_a", "_b").agg(F.count("*").alias("_w"))
+    aside = materialise(busiest_members(pairs, need - 1), "aside")
+    rest = pairs.join(aside, ["_m", "_g"], "left_anti").select("_m", "_g")
+    met = materialise(met_pairs(rest, block_rows).groupBy("_a", "_b").agg(F.count("*").alias("_w")), "met")
+    held = aside.groupBy("_g").agg(F.collect_list("_m").alias("_aside"))  # less than ``need`` each
+    known = met.join(held.toDF("_a", "_aside_a"), "_a").join(held.toDF("_b", "_aside_b"), "_b")
+    both = F.size(F.array_intersect("_aside_a", "_aside_b"))
+    known = materialise(known.select("_a", "_b", (F.col("_w") + both).alias("_w"), "_aside_a", "_aside_b"), "known")
+
+    def across(side: str, other: str) -> DataFrame:
+        """Members set aside on one side that the other has among its rest."""
+        alone = F.array_except(f"_aside{other}", f"_aside{side}")
+        asked = known.select("_a", "_b", F.col(side).alias("_g"), F.explode(alone).alias("_m"))
+        return asked.join(rest, ["_m", "_g"], "left_semi").select("_a", "_b", F.lit(1).cast("long").alias("_w"))
+
+    parts = known.select("_a", "_b", "_w").unionByName(across("_a", "_b")).unionByName(across("_b", "_a"))
+    return parts.groupBy("_a", "_b").agg(F.sum("_w").alias("_w")).where(F.col("_w") >= need)
+
+
+def overlap_edges(
+    mart: DataFrame,
+    member: str = "iddeputado",
+    group: str = "id_frente",
+    group_name: str = "nome_frente",
+    min_common: int = 5,
+    k: int | None = 50,
+    block_rows: int = 2000,
+) -> DataFrame:
+    """Pairs of groups with at least ``min_common`` members in common, the strongest first; all of them without ``k``.
+
+    For the ``k`` strongest edges the least weight of interest rises from ``min_common`` to what the
+    ``k``-th edge between the largest groups weighs already. See :func:`common_counts` for how pairs are found. The
+    distinct (member, group) rows are written once to the shared folder, since degrees, group sizes and
+    the pairing read them. Names are looked up after the pairs were counted and cut to ``k``.
+    """
+    pairs = materialise(
+        mart.where(F.col(member).isNotNull() & F.col(group).isNotNull())
+        .select(F.col(member).alias("_m"), F.col(group).alias("_g"))
+        .distinct(),
+        "pairs",
     )
+    need = min_common if k is None else max(min_common, weight_of_kth_edge(pairs, k))
+    edges = common_counts(pairs, need, block_rows).toDF("frente_1_id", "frente_2_id", "membros_comum")
     strongest = [F.col("membros_comum").desc(), "frente_1_id", "frente_2_id"]
     if k is not None:
         edges = edges.orderBy(*strongest).limit(k)

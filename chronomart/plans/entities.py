@@ -6,8 +6,8 @@ such tables keep working.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -18,11 +18,27 @@ SCD2, APPEND, OVERWRITE = "SCD Type 2", "APPEND", "OVERWRITE"
 
 # Ways a family arrives.
 PAGED, SINGLE, CHILD, FILES, YEARLY = "pages", "first page", "pages per parent", "files", "yearly files"
+YEAR_PAGES = "a page per year"
+
+
+@dataclass(frozen=True)
+class Parent:
+    """Whose pages a family's records come in: the column of the page table and of the records that names the parent, and
+    the parent's columns written into the records (the key always is). ``rename`` turns the records' names into those
+    that files of the family have."""
+
+    key: str
+    inject: Mapping[str, str] = field(default_factory=dict)
+    rename: Mapping[str, str] = field(default_factory=dict)
+
+
+MEMBER = Parent("id_deputado", {"nome": "nome_deputado"})
 
 
 @dataclass(frozen=True)
 class Entity:
     name: str
+    #: The way a family usually arrives; ``also`` are others.
     arrives: str
     strategy: str
     record: T.StructType
@@ -30,6 +46,12 @@ class Entity:
     keys: Sequence[str] = ()
     tracked: Sequence[str] = ()
     null_safe: bool = True
+    also: Sequence[str] = ()
+    parent: Parent | None = None
+
+    @property
+    def ways(self) -> tuple[str, ...]:
+        return (self.arrives, *self.also)
 
 
 def _record(**fields: str | T.DataType) -> T.StructType:
@@ -69,7 +91,7 @@ ENTITIES = {
                     telefone="string", email="string", situacao="string", urlDocumento="string",
                     uri="string"),
             clean=cleaning.clean_groups,
-            keys=["id"], tracked=["titulo", "situacao", "telefone", "urlDocumento"],
+            keys=["id"], tracked=["titulo", "situacao", "telefone", "urlDocumento"], also=[PAGED],
         ),
         Entity(
             "frentes_deputados", FILES, SCD2,
@@ -77,6 +99,7 @@ ENTITIES = {
                     siglaUf="string", tituloDeputado="string"),
             clean=cleaning.clean_group_members,
             keys=["id", "iddeputado"], tracked=["id", "iddeputado", "tituloDeputado"],
+            also=[CHILD], parent=Parent("id_frente", rename={"id": "iddeputado", "id_frente": "id"}),
         ),
         Entity(
             "blocos", SINGLE, SCD2,
@@ -96,7 +119,7 @@ ENTITIES = {
                     nomePublicacao="string", titulo="string", dataInicio="string",
                     dataFim="string", uriOrgao="string"),
             keys=["id_deputado", "idOrgao"],
-            tracked=["id_deputado", "idOrgao", "nomeOrgao", "siglaOrgao"],
+            tracked=["id_deputado", "idOrgao", "nomeOrgao", "siglaOrgao"], parent=MEMBER,
         ),
         Entity(
             "proposicoes", YEARLY, SCD2,
@@ -104,7 +127,7 @@ ENTITIES = {
                     ultimoStatus=_record(data="string", descricaoTramitacao="string",
                                          descricaoSituacao="string")),
             clean=cleaning.clean_bills, keys=["id"],
-            tracked=["ementa", "ultimoStatus_descricaoTramitacao", "ultimoStatus_descricaoSituacao"],
+            tracked=["ementa", "ultimoStatus_descricaoTramitacao", "ultimoStatus_descricaoSituacao"], also=[YEAR_PAGES],
         ),
         Entity(
             "proposicoes_temas", YEARLY, APPEND,
@@ -117,7 +140,7 @@ ENTITIES = {
             _record(id="string", uri="string", data="string", dataHoraRegistro="string",
                     descricao="string", aprovacao="long", ultimaAberturaVotacao=_MOMENT,
                     ultimaApresentacaoProposicao=_MOMENT),
-            clean=cleaning.clean_votes,
+            clean=cleaning.clean_votes, also=[YEAR_PAGES],
         ),
         Entity(
             "eventos", FILES, SCD2,
@@ -125,7 +148,7 @@ ENTITIES = {
                     situacao="string", descricaoTipo="string", descricao="string",
                     orgaos=_WITH_ID),
             clean=cleaning.clean_events,
-            keys=["id"], tracked=["dataHoraInicio", "dataHoraFim", "situacao"],
+            keys=["id"], tracked=["dataHoraInicio", "dataHoraFim", "situacao"], also=[PAGED],
         ),
         Entity(
             "deputados_eventos", CHILD, SCD2,
@@ -134,14 +157,14 @@ ENTITIES = {
                     orgaos=_WITH_ID),
             clean=cleaning.clean_member_events, keys=["id_deputado", "id_evento"],
             tracked=["id_deputado", "id_evento", "dataHoraInicio", "dataHoraFim", "situacao",
-                     "descricaoTipo", "descricao", "id_orgaos"],
+                     "descricaoTipo", "descricao", "id_orgaos"], parent=MEMBER,
         ),
         Entity(
             "despesas", YEARLY, APPEND,
             _record(nomeParlamentar="string", numeroDeputadoID="long", descricao="string",
                     fornecedor="string", numero="string", dataEmissao="string",
                     valorDocumento="string", valorGlosa="string", valorLiquido="string"),
-            clean=cleaning.clean_expenses,
+            clean=cleaning.clean_expenses, also=[CHILD], parent=Parent("id_deputado"),
         ),
     ]
 }

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
+from chronomart.operators import cleaning
 from chronomart.operators.history import stamp
 from chronomart.operators.loads import load_audit
 from chronomart.plans.entities import (
@@ -16,6 +18,7 @@ from chronomart.plans.entities import (
     OVERWRITE,
     PAGED,
     SINGLE,
+    YEAR_PAGES,
     YEARLY,
     Entity,
 )
@@ -30,25 +33,33 @@ def read_files(
 ) -> DataFrame:
     """Raw records of an entity that arrives as files: all of them, or those of the last eight
     years. Fields that the entity does not declare are kept in ``_extra``."""
-    if entity.arrives == YEARLY:
+    if YEARLY in entity.ways:
         return envelopes.read_year_window(
             spark, path, entity.record, as_of.year, multi_line=multi_line, whole=True
         )
-    if entity.arrives == FILES:
+    if FILES in entity.ways:
         return envelopes.read_envelopes(spark, path, entity.record, multi_line=multi_line, whole=True)
-    raise ValueError(f"{entity.name} arrives as {entity.arrives}")
+    raise ValueError(f"{entity.name} arrives as {', '.join(entity.ways)}")
 
 
 def read_pages(entity: Entity, page_table: DataFrame, parents: DataFrame | None = None) -> DataFrame:
-    """Raw records of an entity that arrives as pages, ``(page, status, dados, links)`` and, for
-    pages per parent, ``id_deputado``; there the parent's name is written into the records."""
-    if entity.arrives == CHILD:
-        members = parents.selectExpr("id AS id_deputado", "nome")
-        inject = {"id_deputado": "id_deputado", "nome": "nome_deputado"}
-        return pages.collect_child_pages(page_table, members, "id_deputado", inject)
-    if entity.arrives in (PAGED, SINGLE):
+    """Raw records of an entity that arrives as pages ``(page, status, dados, links)``: in pages by ``year`` of one
+    response each, in pages per parent, which the parent's key names, or in one run of pages.
+
+    ``parents(id, ...)`` are the parents asked for; what the entity's parent says is written into the records.
+    """
+    if CHILD in entity.ways and (parents is not None or entity.arrives == CHILD):
+        parent = entity.parent
+        known = parents.withColumnRenamed("id", parent.key)
+        rows = pages.collect_child_pages(page_table, known, parent.key, {parent.key: parent.key, **parent.inject})
+        taken = set(parent.rename.values()) - parent.rename.keys()
+        rows = rows.drop(*taken)  # fields that a rename fills
+        return rows.toDF(*[parent.rename.get(c, c) for c in rows.columns])
+    if YEAR_PAGES in entity.ways and "year" in page_table.columns:
+        return pages.collect_yearly(page_table).drop("year")
+    if PAGED in entity.ways or SINGLE in entity.ways:
         return pages.collect_pages(page_table, by=(), first_only=entity.arrives == SINGLE)
-    raise ValueError(f"{entity.name} arrives as {entity.arrives}")
+    raise ValueError(f"{entity.name} arrives as {', '.join(entity.ways)}")
 
 
 def land(entity: Entity, raw: DataFrame, folder: str) -> bool:
@@ -61,6 +72,15 @@ def cleaned(entity: Entity, raw: DataFrame) -> DataFrame:
     return entity.clean(drop_void(flatten_structs(raw)))
 
 
+def cleaned_with_rejects(entity: Entity, raw: DataFrame) -> DataFrame:
+    """The cleaned records with the values that cleaning made null beside them, in ``_rejects``; timestamps that do
+    not parse are among them, also where :func:`run_load` would fail on them."""
+    clean = entity.clean
+    if clean is cleaning.clean_bills:
+        clean = partial(cleaning.clean_bills, strict=False)
+    return cleaning.with_rejects(clean, drop_void(flatten_structs(raw)))
+
+
 def run_load(
     store: TableStore, entity: Entity | str, raw: DataFrame, as_of: dt.date | str
 ) -> dict[str, int]:

@@ -23,7 +23,9 @@ from pyspark.sql import types as T
 from chronomart.functions.hashing import content_hash
 from chronomart.operators.history import CLOSE, INSERT, KEEP, first_load, snapshot_changes
 from chronomart.operators.loads import new_rows
+from chronomart.operators.promotion import conform, misfits
 from chronomart.operators.rows import dedupe_by_key
+from chronomart.sources.tables import write_counted
 
 LOG_SCHEMA = (
     "version int, as_of date, loaded_at timestamp, operation string, "
@@ -105,23 +107,17 @@ class TableStore:
         state: Row | None,
         keep_current: bool = False,
     ) -> dict[str, int]:
-        """Write rows that carry ``_change``, count what was written and log the version.
+        """Write rows that carry ``_change``, counting them on the way, and log the version.
 
-        Counts come from the written files, so they hold whatever tasks had to be repeated.
-        A load that changed nothing is not logged.
+        The counts are observed in the tasks that write the files, each of which counts once however often
+        it had to be run; the files are not read again. A load that changed nothing is not logged.
         """
         version = 1 if state is None else state["version"] + 1
         folder = f"{name}/v={version:06d}"
-        rows.write.mode("overwrite").partitionBy("_change").parquet(f"{self.root}/{folder}")
         data = T.StructType([f for f in rows.schema.fields if f.name != "_change"])
-        written = (
-            self.spark.read.schema(T.StructType([*data.fields, T.StructField("_change", T.StringType())]))
-            .parquet(f"{self.root}/{folder}")
-            .groupBy("_change")
-            .count()
-            .collect()  # at most three rows
+        counts = write_counted(
+            rows, f"{self.root}/{folder}", {c: F.col("_change") == c for c in (INSERT, CLOSE, KEEP)}, "_change"
         )
-        counts = {INSERT: 0, CLOSE: 0, KEEP: 0, **{r["_change"]: r["count"] for r in written}}
         if operation in ("scd2", "append") and counts[INSERT] + counts[CLOSE] == 0:
             return counts
 
@@ -166,6 +162,10 @@ class TableStore:
             added = dedupe_by_key(batch, keys) if only_new and keys else batch
             return self._publish(name, added.withColumn("_change", F.lit(INSERT)), "first", as_of, None)
         target = self._scan(state, state["current"])
+        kept = misfits(target.schema, batch.schema)
+        if kept:
+            # The files keep the types they were written with: what does not fit them stands beside its row.
+            batch = conform(batch, kept)
         rows = new_rows(target, batch, keys) if only_new else batch
         # Columns known to one side only are null on the other, now and in later reads.
         rows = target.limit(0).unionByName(rows, allowMissingColumns=True)

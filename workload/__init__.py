@@ -3,6 +3,7 @@
 from workload import (  # noqa: F401  (importing a module registers its queries)
     basics,
     history,
+    loading,
     marts,
     paging,
     star,

@@ -74,6 +74,18 @@ def gra_overlap(spark, sf):
     return overlap.overlap_edges(materialise(mart(spark, sf), "mart"))
 
 
+@query(
+    "gra_overlap_all",
+    f"""{_CTES} SELECT a.id_frente AS frente_1_id, a.nome_frente AS frente_1_nome,
+               b.id_frente AS frente_2_id, b.nome_frente AS frente_2_nome, count(*) AS membros_comum
+        FROM mart a JOIN mart b ON a.iddeputado = b.iddeputado AND a.id_frente < b.id_frente
+        GROUP BY 1, 2, 3, 4 HAVING count(*) >= 5""",
+)
+def gra_overlap_all(spark, sf):
+    """Every edge of at least five common members."""
+    return overlap.overlap_edges(materialise(mart(spark, sf), "mart"), k=None)
+
+
 _TAGGED = f"""{roles.membership_ctes("l_partkey")},
     tagged AS (SELECT id, titulo, palavras, {titles.categories_sql("palavras")} AS categorias
                FROM (SELECT id, titulo, {titles.words_sql("titulo")} AS palavras FROM groups

@@ -295,11 +295,11 @@ def member_organs_sql(day: str) -> str:
     JOIN nation ON c_nationkey = n_nationkey"""
 
 
-def organ_ctes() -> str:
+def organ_ctes(tracked=ORGAN_TRACKED, close_missing: bool = True) -> str:
     first, _, last = DAYS
-    s0 = stamped_sql(first, member_organs_sql(first), ORGAN_TRACKED)
-    s1 = stamped_sql(last, member_organs_sql(last), ORGAN_TRACKED)
-    applied = apply_sql("m0", "m1", last, ORGAN_COLUMNS, ["id_deputado", "idOrgao"], True)
+    s0 = stamped_sql(first, member_organs_sql(first), tracked)
+    s1 = stamped_sql(last, member_organs_sql(last), tracked)
+    applied = apply_sql("m0", "m1", last, ORGAN_COLUMNS, ["id_deputado", "idOrgao"], close_missing)
     return f"WITH m0 AS ({s0}),\nm1 AS ({s1}),\norgan_history AS ({applied})"
 
 

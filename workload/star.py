@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from chronomart.operators import cleaning, history, star
-from chronomart.session import materialise
+from chronomart.plans import gold, silver
+from chronomart.plans.entities import ENTITIES
+from chronomart.plans.store import TableStore
+from chronomart.session import materialise, scratch_path
 from workload import roles
 from workload.registry import query, table
 
@@ -29,12 +32,13 @@ _TYPED = f"""(SELECT * REPLACE (CAST("dataHoraInicio" AS TIMESTAMP) AS "dataHora
                                 CAST("dataHoraFim" AS TIMESTAMP) AS "dataHoraFim")
               FROM ({roles.MEMBER_EVENTS_SQL}))"""
 _TYPE_KEY = "('0x' || substr(md5({}), 1, 15))::BIGINT"
-_DIM_ORGAN = f"""{roles.organ_ctes()},
+_ONE_ORGAN = """,
     dim_organ AS (
       SELECT "idOrgao" AS orgao_id, "siglaOrgao" AS sigla, "nomeOrgao" AS nome,
              titulo AS "tipoOrgao", data_inicio, data_fim, is_current FROM organ_history
       QUALIFY row_number() OVER (PARTITION BY "idOrgao"
         ORDER BY is_current DESC, data_inicio DESC, sigla, nome, titulo, data_fim NULLS FIRST) = 1)"""
+_DIM_ORGAN = roles.organ_ctes() + _ONE_ORGAN
 
 
 def _calendar_sql(first: str, last: str) -> str:
@@ -110,11 +114,10 @@ def star_schema(spark, sf):
     return star.event_fact(events, organs, bounds), organs, types, star.calendar(bounds)
 
 
-_FACT = f"""{_DIM_ORGAN},
+def _fact_sql(dim_organ: str, first: str, last: str) -> str:
+    return f"""{dim_organ},
     typed AS {_TYPED},
-    days AS ({_calendar_sql(
-        '(SELECT min(CAST("dataHoraInicio" AS DATE)) FROM typed)',
-        '(SELECT max(CAST("dataHoraFim" AS DATE)) FROM typed)')}),
+    days AS ({_calendar_sql(first, last)}),
     fact AS (
       SELECT d.data_id, o.orgao_id, {_TYPE_KEY.format('e."descricaoTipo"')} AS tipo_evento_id,
              e.descricao, e."dataHoraInicio", e."dataHoraFim", e.situacao, e.id_evento AS evento_id
@@ -123,24 +126,61 @@ _FACT = f"""{_DIM_ORGAN},
       JOIN days d ON d.data = CAST(e."dataHoraInicio" AS DATE))"""
 
 
+_FACT = _fact_sql(
+    _DIM_ORGAN,
+    '(SELECT min(CAST("dataHoraInicio" AS DATE)) FROM typed)',
+    '(SELECT max(CAST("dataHoraFim" AS DATE)) FROM typed)',
+)
+
+
 @query("fact_event", f"{_FACT} SELECT * FROM fact", text=["dataHoraInicio", "dataHoraFim"])
 def fact_event(spark, sf):
     return star_schema(spark, sf)[0]
 
 
-@query(
-    "mart_events",
-    f"""{_FACT} SELECT d.ano, d.mes, e."descricaoTipo" AS tipo_evento, f.orgao_id, o.sigla,
+_MONTHLY = f"""SELECT d.ano, d.mes, e."descricaoTipo" AS tipo_evento, f.orgao_id, o.sigla,
                count(*) AS qtd_registros, count(DISTINCT f.evento_id) AS qtd_eventos
         FROM fact f JOIN days d ON d.data_id = f.data_id JOIN dim_organ o ON o.orgao_id = f.orgao_id
         JOIN (SELECT DISTINCT "descricaoTipo" FROM typed) e
           ON {_TYPE_KEY.format('e."descricaoTipo"')} = f.tipo_evento_id
-        GROUP BY 1, 2, 3, 4, 5""",
-)
+        GROUP BY 1, 2, 3, 4, 5"""
+
+
+@query("mart_events", f"{_FACT} {_MONTHLY}")
 def mart_events(spark, sf):
     return star.events_mart(*star_schema(spark, sf))
 
 
+def events_by_order(spark, sf):
+    """Line items as events, one an order, from its first to its last day."""
+    day = "yyyy-MM-dd'T'HH:mm"
+    last = F.date_add("l_shipdate", F.col("l_quantity").cast("int"))
+    return table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("id")).agg(
+        F.date_format(F.min("l_shipdate"), day).alias("dataHoraInicio"),
+        F.date_format(F.max(last), day).alias("dataHoraFim"),
+        F.lit("ended").alias("situacao"),
+    )
+
+
+_STORED = _fact_sql(
+    roles.organ_ctes(ENTITIES["deputados_orgaos"].tracked, close_missing=False) + _ONE_ORGAN,
+    "(SELECT min(CAST(l_shipdate AS DATE)) FROM lineitem)",
+    "(SELECT max(CAST(l_shipdate AS DATE) + CAST(l_quantity AS INTEGER)) FROM lineitem)",
+)
+
+
+@query("mart_pipeline", f"{_STORED} {_MONTHLY}")
+def mart_pipeline(spark, sf):
+    """From raw records to the saved mart: two loads of organs, the events and what members did, all star tables."""
+    store = TableStore(spark, scratch_path(spark, "pipeline"))
+    for day in (roles.DAYS[0], LAST):
+        silver.run_load(store, "deputados_orgaos", roles.member_organs(spark, sf, day), day)
+    silver.run_load(store, "deputados_eventos", roles.raw_member_events(spark, sf), LAST)
+    silver.run_load(store, "eventos", events_by_order(spark, sf), LAST)
+    gold.build_events(store, LAST)
+    return store.read(gold.EVENTS)
+
+
 # Cleaning -------------------------------------------------------------------------------
 
 
@@ -154,7 +194,11 @@ def mart_events(spark, sf):
     text=["dataEmissao", "valorDocumento", "valorGlosa", "valorLiquido"],
 )
 def clean_expenses(spark, sf):
-    raw = table(spark, sf, "lineitem").select(
+    return cleaning.clean_expenses(raw_expenses(spark, sf))
+
+
+def raw_expenses(spark, sf):
+    return table(spark, sf, "lineitem").select(
         F.col("l_orderkey").alias("id"),
         F.col("l_linenumber").alias("linha"),
         F.when(F.col("l_returnflag") == "R", "sem data")
@@ -164,7 +208,6 @@ def clean_expenses(spark, sf):
         F.col("l_discount").alias("valorGlosa"),
         F.col("l_tax").alias("valorLiquido"),
     )
-    return cleaning.clean_expenses(raw)
 
 
 @query(
@@ -181,8 +224,12 @@ def clean_expenses(spark, sf):
     ],
 )
 def clean_votes(spark, sf):
+    return cleaning.clean_votes(raw_votes(spark, sf))
+
+
+def raw_votes(spark, sf):
     moment = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
-    raw = table(spark, sf, "events").select(
+    return table(spark, sf, "events").select(
         F.col("event_id").alias("id"),
         F.concat(F.lit("http://example.org/"), F.col("event_id")).alias("uri"),
         F.date_format("ts", "yyyy-MM-dd").alias("data"),
@@ -192,7 +239,6 @@ def clean_votes(spark, sf):
             "ultimaApresentacaoProposicao.dataHoraRegistro"
         ),
     )
-    return cleaning.clean_votes(raw)
 
 
 @query(
