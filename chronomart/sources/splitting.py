@@ -9,12 +9,12 @@ within splits and carried from split to split (a parallel prefix):
 3. the last container opened at depth 1, which is the array of records or another one;
 4. the records ended before it: a record ends where a brace closes back to depth 2 within that array.
 
-Pieces of one record are put together where they were read; only a record that reaches over the border of two splits is
+Pieces of one record are put together where they were read; only a record that reaches over the border of two runs is
 gathered from both. No row is longer than a record and what stands before it.
 
 A document whose quotes or brackets do not match adds no rows, as with the whole-document reader; see
-:func:`unreadable_files`. Compressed files cannot be split: give them to the whole-document reader. Records are objects; an element of another kind adds no row. A record that is no JSON
-by itself has nulls in all fields.
+:func:`unreadable_files`. Compressed files cannot be split: give them to the whole-document reader. Records are
+objects; an element of another kind adds no row. A record that is no JSON by itself has nulls in all fields.
 """
 
 from __future__ import annotations
@@ -28,25 +28,35 @@ from pyspark.sql import types as T
 from chronomart.session import materialise
 from chronomart.sources.envelopes import whole_records
 
-#: A piece's place: its file, the split it was read in, and its order there.
+#: A piece's place: its file, the split it was read in (and a run of pieces there), and its order there.
 FILE, SPLIT, AT = "_file", "_split", "_at"
-_PLACE = [FILE, SPLIT, AT]
+#: Pieces in a run, as a power of two; a run is what one task sums up.
+RUN_BITS = 14
 #: Stands in a piece's brackets for the opening of the array of records; no bracket of JSON.
 RECORDS = "<"
 
 
 def _pieces(spark: SparkSession, path: str | list[str], glob: str) -> DataFrame:
-    """The text before each ``}`` of every file, in order of its place."""
+    """The text before each ``}`` of every file, with its place."""
     read = spark.read.option("lineSep", "}").option("pathGlobFilter", glob).text(path)
+    at = F.monotonically_increasing_id()
     return read.select(
         F.col("_metadata.file_path").alias(FILE),
-        F.col("_metadata.file_block_start").alias(SPLIT),
-        F.monotonically_increasing_id().alias(AT),
+        F.struct(F.col("_metadata.file_block_start").alias("begin"), F.shiftright(at, RUN_BITS).alias("run")).alias(SPLIT),
+        at.alias(AT),
         F.col("_metadata.file_size").alias("size"),
         "value",
     )
 
 
+def _staged(spark: SparkSession, path: str | list[str], array: str, glob: str) -> DataFrame:
+    """The pieces with what is in them, written once: a second scan might cut the files elsewhere."""
+    quotes, out, inn = _structure(array)
+    blank = F.trim(F.translate("value", "\t\r\n", "   ")) == ""
+    more = {"bytes": F.octet_length("value"), "quotes": quotes, "out": out, "in": inn, "blank": blank}
+    return materialise(_pieces(spark, path, glob).withColumns(more), "pieces")
+
+
 def _count(text: Column, character: str) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit(character), F.lit("")))
 
@@ -105,19 +115,10 @@ def _scan(rows: DataFrame, step: int) -> DataFrame:
     return rows if step == 3 else rows.withColumn("record", so_far("ends", "record0"))
 
 
-def _starts(pieces: DataFrame, array: str) -> tuple[DataFrame, DataFrame]:
-    """What each split starts from, and for each file whether it can be read: from short rows, one a piece."""
-    quotes, out, inn = _structure(array)
-    blank = F.trim(F.translate("value", "\t\r\n", "   ")) == ""
-    short = materialise(
-        pieces.select(
-            *_PLACE, "size", F.octet_length("value").alias("bytes"), quotes.alias("quotes"), out.alias("out"), inn.alias("in"),
-            blank.alias("blank"),
-        ),
-        "brackets",
-    )
-    splits = short.groupBy(FILE, SPLIT)
-    starts = _carried(splits.agg(F.sum("quotes").alias("n")), F.sum("n"), "quotes0")
+def _starts(pieces: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What each split starts from, and for each file whether it can be read. The pieces' text takes no part."""
+    short = pieces.drop("value")
+    starts = _carried(short.groupBy(FILE, SPLIT).agg(F.sum("quotes").alias("n")), F.sum("n"), "quotes0")
     scanned = _scan(short.join(starts, [FILE, SPLIT]), 1)
     sums = scanned.groupBy(FILE, SPLIT).agg(
         F.sum("change").alias("change"), F.sum("quotes").alias("quotes"), F.max_by("blank", AT).alias("blank"),
@@ -142,12 +143,10 @@ def _starts(pieces: DataFrame, array: str) -> tuple[DataFrame, DataFrame]:
 
 def split_records(spark: SparkSession, path: str | list[str], array: str = "dados", glob: str = "*.json") -> DataFrame:
     """``(file, record, json)``: every object of the array ``array`` of every document under ``path``, numbered from 0
-    within its file. Writes one short row a piece and one row a split to the shared folder."""
-    pieces = _pieces(spark, path, glob)
-    starts, files = _starts(pieces, array)
-    quotes, out, inn = _structure(array)
-    rows = pieces.join(F.broadcast(starts), [FILE, SPLIT])  # one row a split
-    rows = _scan(rows.select("*", quotes.alias("quotes"), out.alias("out"), inn.alias("in")), 4).where("in_records")
+    within its file. Writes the pieces and one row a run to the shared folder."""
+    pieces = _staged(spark, path, array, glob)
+    starts, files = _starts(pieces)
+    rows = _scan(pieces.join(starts, [FILE, SPLIT]), 4).where("in_records")
 
     def joined(parts: Column) -> Column:
         return F.array_join(F.transform(F.array_sort(parts), lambda p: p["text"]), "}")
@@ -194,5 +193,5 @@ def read_split_envelopes(
 
 def unreadable_files(spark: SparkSession, path: str | list[str], array: str = "dados", glob: str = "*.json") -> DataFrame:
     """``(file)`` of the documents that :func:`split_records` leaves out."""
-    _, files = _starts(_pieces(spark, path, glob), array)
+    _, files = _starts(_staged(spark, path, array, glob))
     return files.where("not fits").select(F.col(FILE).alias("file"))

@@ -56,7 +56,8 @@ def written(tmp_path, documents):
     return want
 
 
-def test_records_of_awkward_documents(spark, tmp_path, small_splits):
+def test_records_of_awkward_documents(spark, tmp_path, small_splits, monkeypatch):
+    monkeypatch.setattr(splitting, "RUN_BITS", 3)
     rng = random.Random(small_splits)
     styles = [{}, {"indent": 1}, {"ensure_ascii": False}, {"separators": (",", ":")}]
     documents = {f"d{i}.json": (document(rng, rng.choice([0, 1, 2, 9])), styles[i % 4]) for i in range(12)}
