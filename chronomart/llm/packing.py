@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chronomart.llm.batches import small_batches
-from chronomart.llm.word_bpe import as_array, word_bpe
+from chronomart.llm.word_bpe import word_bpe
 from chronomart.llm.scratch import written
 
 _ITEM = "struct<doc:long,piece:int,start:long,length:long,crc:long>"
@@ -37,8 +37,8 @@ def tokenised_pieces(docs: DataFrame, path: str, key: str, text: str, capacity:
         bpe = word_bpe(path)
         for batch in small_batches(batches):
             rows = []
-            for doc, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = as_array(bpe.ids(value or ""), closing)
+            for doc, tokens in zip(batch.column(0).to_pylist(), bpe.batch(batch.column(1).to_pylist())):
+                ids = np.append(tokens, np.array(closing, "<u4"))
                 for piece, start in enumerate(range(0, len(ids), capacity)):
                     part = ids[start : start + capacity]
                     rows.append((doc, piece, start, len(part), zlib.crc32(part.tobytes())))

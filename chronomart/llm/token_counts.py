@@ -90,8 +90,11 @@ class Merges:
         self._rounds(self.symbols[flat], lengths[short], short, out)
         return out.tolist()
 
-    def _rounds(self, symbols: np.ndarray, lengths: np.ndarray, which: np.ndarray, out: np.ndarray) -> None:
-        """Merge ragged sequences, all together round by round; ``out[which]`` gets what is left of each."""
+    def _rounds(
+        self, symbols: np.ndarray, lengths: np.ndarray, which: np.ndarray, out: np.ndarray, left: list | None = None
+    ) -> None:
+        """Merge ragged sequences, all together round by round; ``out[which]`` gets how many symbols are left of each, and
+        ``left`` (which, how many, the symbols) of those done in a round."""
         ranks = np.full(len(symbols), NEVER)
         ranks[:-1] = self.rank(symbols[:-1], symbols[1:])
         ranks[np.cumsum(lengths) - 1] = NEVER
@@ -102,6 +105,8 @@ class Merges:
             if done.any():
                 out[which[done]] = lengths[done]
                 stay = np.repeat(~done, lengths)
+                if left is not None:
+                    left.append((which[done], lengths[done], symbols[~stay]))
                 symbols, ranks = symbols[stay], ranks[stay]
                 which, lengths, lowest = which[~done], lengths[~done], lowest[~done]
                 if not len(which):

@@ -1,64 +1,62 @@
-"""Ids of a lower-casing BPE with word ends, as the tokenizers library gives them, a piece at a time.
+"""Ids of a lower-casing BPE with word ends, as the tokenizers library gives them, a batch of texts at a time.
 
-The library's own call is too slow on texts of many rare words, so pieces of plain letters go through the
-transducer of ``byte_bpe``, with a word end read as one more byte. Texts with characters outside
-``PLAIN``, where normal forms and letter tables matter, go to the library whole.
+The library's own call is slow on texts of many rare words. Here texts are cut at white space, and words not met before
+are merged together as ragged arrays, round by round (see ``token_counts``); the ids of all words lie in one flat
+array, from which those of a text are gathered. Texts with characters outside ``PLAIN``, where normal forms
+and letter tables matter, go to the library whole.
 """
 
 from __future__ import annotations
 
 import json
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import regex
 from tokenizers import Tokenizer
 
-from chronomart.llm.byte_bpe import MARKS, NEVER, Ranks, Transducer
+from chronomart.llm.byte_bpe import MARKS
+from chronomart.llm.token_counts import LONG, Merges, _byte_characters
 
-#: Read as the end of a word; no UTF-8 text holds this byte.
-END = 0xFF
-_END = bytes([END])
 #: Characters that are their own canonical form and whose case is the same in any table.
 PLAIN = re.compile(r"[\x00-\x1b\x20-\u024f\u2010-\u2027\u20ac]*")
 MARKS_IN_A_ROW = re.compile(r"[^\w\s][^\w\s]|_[,.]|[^\w\s]_")
+#: Characters of a text whose words are held at once.
+RUN = 4_000_000
 
 
-def byte_letters() -> dict[str, int]:
-    """The printable letter that stands for each byte in byte-level vocabularies."""
-    shown = [b for b in range(256) if chr(b).isprintable() and b not in (0x20, 0xA0, 0xAD)]
-    rest = [b for b in range(256) if b not in shown]
-    return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(rest)}
+def _gathered(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The runs of ``flat`` that begin at ``starts``, one after the other."""
+    before = np.cumsum(lengths) - lengths
+    return flat[np.repeat(starts - before, lengths) + np.arange(lengths.sum())]
 
 
-class WordRanks(Ranks):
-    """The merges of a tokenizer file in the form the transducer reads."""
+class WordMerges(Merges):
+    """Merges of pieces whose last byte is a symbol of its own."""
 
-    def __init__(self, model: dict):
-        letters, end = byte_letters(), model["end_of_word_suffix"]
-
-        def as_bytes(token: str) -> bytes:
-            body = token.removesuffix(end)
-            return bytes(letters[c] for c in body) + bytes([END] * (body != token))
-
-        usable = {t: i for t, i in model["vocab"].items() if all(c in letters for c in t.removesuffix(end))}
-        pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
-        self.order = {(as_bytes(a), as_bytes(b)): n for n, (a, b) in enumerate(pairs)}
-        reached = {a + b for a, b in self.order} | {x for p in self.order for x in p}
-        self.ids = {
-            token: i
-            for t, i in usable.items()
-            if (token := as_bytes(t)) in reached or len(token) == 1 or len(token) == 2 and token[-1] == END
-        }
-        self.tokens = {i: t for t, i in self.ids.items()}
-
-    def parts(self, piece: bytes) -> list[bytes]:
-        parts = super().parts(piece)
-        return parts if piece[-1] != END else [*parts[:-2], piece[-2:]]
-
-    def rank(self, left: bytes, right: bytes) -> int:
-        return self.order.get((left, right), NEVER)
+    def __init__(self, path: str):
+        super().__init__(path)
+        with open(path, encoding="utf-8") as file:
+            model = json.load(file)["model"]
+        self.ends = np.array([model["vocab"][c + model["end_of_word_suffix"]] for c in _byte_characters()], np.int64)
+
+    def ids(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """A flat array of ids, and where those of each piece start and how many they are."""
+        data = [piece.encode() for piece in pieces]
+        lengths = np.fromiter(map(len, data), np.int64, len(data))
+        flat = np.frombuffer(b"".join(data), np.uint8)
+        symbols, last = self.symbols[flat], np.cumsum(lengths) - 1
+        symbols[last] = self.ends[flat[last]]
+        counts = np.zeros(len(data), np.int64)
+        left = [(np.zeros(0, np.int64),) * 3]
+        self._rounds(symbols, lengths, np.arange(len(data)), counts, left)
+        which = np.concatenate([w for w, _, _ in left])
+        sizes = np.concatenate([n for _, n, _ in left])
+        starts = np.empty(len(data), np.int64)
+        starts[which] = np.cumsum(sizes) - sizes
+        return np.concatenate([ids for _, _, ids in left]).astype("<u4"), starts, counts
 
 
 class WordBpe:
@@ -68,44 +66,105 @@ class WordBpe:
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
         with open(path, encoding="utf-8") as file:
-            content = json.load(file)
-        splitter = content["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
+            splitter = json.load(file)["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.pieces = regex.compile(splitter)
-        self.transducer = Transducer(WordRanks(content["model"]))
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.merges = WordMerges(path)
         self.max_words = max_words
+        self._forget()
 
-    def _word(self, word: str) -> list[int]:
+    def _forget(self) -> None:
+        self.places: dict[str, int] = {}
+        self.flat = np.zeros(0, "<u4")
+        self.starts, self.lengths = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def _pieces_of(self, word: str) -> list[str]:
         if word.isalpha():
-            pieces = [word]
-        elif word[-1] in MARKS and word[:-1].isalpha():
-            pieces = [word[:-1], word[-1]]
-        else:
-            pieces = self.pieces.findall(word)
-        return [i for piece in pieces for i in self.transducer.encode(piece.encode() + _END)]
+            return [word]
+        if word[-1] in MARKS and word[:-1].isalpha():
+            return [word[:-1], word[-1]]
+        return self.pieces.findall(word)
+
+    def _merged(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """As ``WordMerges.ids``; pieces of more than ``LONG`` characters, which would need many rounds, go to the library."""
+        short = [piece for piece in pieces if len(piece) <= LONG]
+        long = [np.array(self.library.encode(p, add_special_tokens=False).ids, "<u4") for p in pieces if len(p) > LONG]
+        flat, starts, counts = self.merges.ids(short)
+        sizes = np.fromiter(map(len, long), np.int64, len(long))
+        is_long = np.fromiter((len(piece) > LONG for piece in pieces), bool, len(pieces))
+        out_starts, out_counts = (np.empty(len(pieces), np.int64) for _ in range(2))
+        out_starts[~is_long], out_counts[~is_long] = starts, counts
+        out_starts[is_long], out_counts[is_long] = len(flat) + np.cumsum(sizes) - sizes, sizes
+        return np.concatenate([flat, *long]), out_starts, out_counts
+
+    def _learn(self, words: list[str]) -> None:
+        """Add the ids of new words to the flat array."""
+        parts = [self._pieces_of(word) for word in words]
+        place = {piece: i for i, piece in enumerate(dict.fromkeys(p for some in parts for p in some))}
+        many = np.fromiter(map(len, parts), np.int64, len(parts))
+        each = np.fromiter((place[p] for some in parts for p in some), np.int64, int(many.sum()))
+        flat, starts, counts = self._merged(list(place))
+        sums = np.concatenate([[0], np.cumsum(counts[each])])
+        ends = np.cumsum(many)
+        lengths = sums[ends] - sums[ends - many]
+        held = len(self.flat)
+        self.places.update((word, len(self.starts) + i) for i, word in enumerate(words))
+        self.flat = np.concatenate([self.flat, _gathered(flat, starts[each], counts[each])])
+        self.starts = np.concatenate([self.starts, held + np.cumsum(lengths) - lengths])
+        self.lengths = np.concatenate([self.lengths, lengths])
+
+    def _words(self, text: str) -> Iterator[list[str]]:
+        """The words of a text, in lists of bounded size; cuts are at spaces, where words end in any case."""
+        begin = 0
+        while begin < len(text):
+            end = text.find(" ", begin + RUN)
+            end = len(text) if end < 0 else end
+            part = text[begin:end].lower()
+            if not MARKS_IN_A_ROW.search(part):
+                # Marks at the end of words become words: fewer different ones to remember.
+                part = part.replace(", ", " , ").replace(". ", " . ").replace(".\n", " .\n")
+            yield part.split()
+            begin = end
+
+    def _ids(self, runs: list[list[str]]) -> list[np.ndarray]:
+        new = set().union(*runs) - self.places.keys()
+        if len(self.places) + len(new) > self.max_words:
+            self._forget()
+            new = set().union(*runs)
+        if new:
+            self._learn(list(new))
+        out = []
+        for words in runs:
+            at = np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))
+            out.append(_gathered(self.flat, self.starts[at], self.lengths[at]))
+        return out
 
     def ids(self, text: str) -> list[int]:
-        if not PLAIN.fullmatch(text):
-            return self.library.encode(text, add_special_tokens=False).ids
-        known, out = self.known, []
-        text = text.lower()
-        if not MARKS_IN_A_ROW.search(text):
-            # Marks at the end of words become words: fewer different ones to remember.
-            text = text.replace(", ", " , ").replace(". ", " . ").replace(".\n", " .\n")
-        for word in text.split():
-            found = known.get(word)
-            if found is None:
-                if len(known) >= self.max_words:
-                    known.clear()
-                found = known[word] = tuple(self._word(word))
-            out += found
-        return out
+        return self.batch([text])[0].tolist()
+
+    def batch(self, texts: list[str | None]) -> list[np.ndarray]:
+        """The ids of each text; a null text has none."""
+        out: list[list[np.ndarray]] = [[] for _ in texts]
+        held: list[tuple[int, list[str]]] = []
+        size = 0
+
+        def settle() -> None:
+            for (i, _), ids in zip(held, self._ids([words for _, words in held])):
+                out[i].append(ids)
+
+        for i, text in enumerate(texts):
+            if text and not PLAIN.fullmatch(text):
+                out[i].append(np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4"))
+                continue
+            for words in self._words(text or ""):
+                held.append((i, words))
+                size += len(words)
+                if size > RUN // 8:
+                    settle()
+                    held, size = [], 0
+        settle()
+        return [np.concatenate(parts) if parts else np.zeros(0, "<u4") for parts in out]
 
 
 @lru_cache(maxsize=2)
 def word_bpe(path: str) -> WordBpe:
     return WordBpe(path)
-
-
-def as_array(ids: list[int], *more: int) -> np.ndarray:
-    return np.array([*ids, *more], "<u4")
