@@ -38,8 +38,12 @@ _INVERSES = [pow(b, -1, 2**64) for b in _BASES]
 _powers: dict[int, np.ndarray] = {}
 
 
+#: Values that are hashed from one running sum; longer arrays are cut.
+CHUNK = 1 << 20
+
+
 def powers(base: int, n: int) -> np.ndarray:
-    """base ** 0 .. base ** (n - 1), modulo 2 ** 64; as long as the longest batch so far."""
+    """base ** 0 .. base ** (n - 1), modulo 2 ** 64; as long as the longest array so far."""
     known = _powers.get(base)
     if known is None or len(known) < n:
         known = np.full(max(n, 1 << 16), base, np.uint64)
@@ -58,12 +62,29 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def ranges(values: np.ndarray, begins: np.ndarray, ends: np.ndarray, which: int) -> np.ndarray:
-    """A 64-bit hash of each ``values[begin:end]``, from running sums; ``which`` picks one of three."""
+    """A 64-bit hash of each ``values[begin:end]``, from running sums; ``which`` picks one of three.
+
+    Ranges in order are hashed from sums over about ``CHUNK`` values, so sums and powers stay short.
+    """
+    lengths = (ends - begins).astype(np.uint64)
+    if len(values) <= CHUNK or not len(begins) or (np.diff(begins) < 0).any():
+        hashed = _sums(values, begins, ends, which)
+    else:
+        cuts = np.flatnonzero(np.diff(begins // CHUNK, prepend=-1))
+        parts = []
+        for some_begins, some_ends in zip(np.split(begins, cuts[1:]), np.split(ends, cuts[1:])):
+            low = some_begins[0]
+            parts.append(_sums(values[low : some_ends.max()], some_begins - low, some_ends - low, which))
+        hashed = np.concatenate(parts)
+    return mix(hashed + lengths * np.uint64(_BASES[-1 - which]))
+
+
+def _sums(values: np.ndarray, begins: np.ndarray, ends: np.ndarray, which: int) -> np.ndarray:
+    """The polynomial in the base over each range, from its own begin on."""
     n = len(values)
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(values * powers(_BASES[which], n), out=sums[1:])
-    hashed = (sums[ends] - sums[begins]) * powers(_INVERSES[which], n + 1)[begins]
-    return mix(hashed + (ends - begins).astype(np.uint64) * np.uint64(_BASES[-1 - which]))
+    return (sums[ends] - sums[begins]) * powers(_INVERSES[which], n + 1)[begins]
 
 
 class Words:

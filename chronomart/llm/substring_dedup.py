@@ -87,7 +87,7 @@ def _deal(a, b, doc, start, n) -> pa.RecordBatch:
 
 
 def _seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in small_batches(batches, 4_000_000):
+    for batch in small_batches(batches, 1_000_000):
         words = Words(batch.column(1))
         a, b, start, n = _segments(words)
         row = words.doc_of()[start]
@@ -196,7 +196,7 @@ _ARROW = [
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The windows of segments to be checked, one by one."""
-    for batch in small_batches(batches, 4_000_000):
+    for batch in small_batches(batches, 1_000_000):
         words = Words(batch.column(1))
         starts, rows = [], []
         for i, found in enumerate(batch.column(2).to_pylist()):
