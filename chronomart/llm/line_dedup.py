@@ -7,7 +7,8 @@ characters stay. A signature are the least shingle hashes under ``2 * BANDS`` or
 pairs as bands: lines of similarity 0.8 share one of five bands with a chance above 0.99.
 
 Equal lines are one from the start. In each band the lines are held against the one that occurs most often, of which
-the others are likely copies, and linked if their exact similarity reaches the threshold. Where a band still
+the others are likely copies, and linked if their exact similarity reaches the threshold. Before that, a bitmap of
+each line's shingles bounds the similarity from above: shingles that two lines do not share differ in at least as many bits. Where a band still
 holds lines of several components, its lines are held against each other again in the same way, now under every
 two bands they share. Both steps only spare pairs: at last, in every band that still holds several components, all
 pairs of lines of different components are compared, in tiles of at most ``TILE`` rows a side on average.
@@ -15,12 +16,16 @@ Of every component the first line, by document and place, stays.
 
 DataFrame functions only: no Python, and no group is ever collected. Rows: a null text has no lines; blank lines
 stay, as do all lines of rows without a key.
-Repeated rows count as one document. All columns of the documents are carried; names starting with an
+Rows with equal key and text count as one document; rows with the same key but other texts are documents of their own, in
+the order of a hash of their texts. All columns of the documents are carried; names starting with an
 underscore are reserved for steps in between, and ``n_lines`` and ``n_removed`` are replaced.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,6 +40,9 @@ GRAMS = r"(?s)(?=\S)(?=(.{1,%d}))\S+" % SHINGLE
 ALL_GRAMS = "(?s)(?=(.{%d}))." % SHINGLE
 #: Lines on a tile's side.
 TILE = 500
+#: Words of 64 bits in a line's bitmap.
+WORDS = 4
+_BITS = [f"_b{w}" for w in range(WORDS)]
 
 
 def _order(i: int) -> Column:
@@ -52,11 +60,35 @@ def grams(line: Column, whole: bool = False) -> Column:
     return F.array_distinct(F.transform(found, lambda g: F.xxhash64(g)))
 
 
+def bitmap(grams_: Column) -> list[Column]:
+    """The bits of the shingles' hashes."""
+
+    def word(w: int) -> Column:
+        mine = F.filter(grams_, lambda h: F.pmod(F.shiftright(h, 6), F.lit(WORDS)) == w)
+        one = F.lit(1).cast("long")
+        return F.aggregate(
+            mine, F.lit(0).cast("long"), lambda bits, h: bits.bitwiseOR(F.call_function("shiftleft", one, F.pmod(h, F.lit(64)).cast("int")))
+        )
+
+    return [word(w).alias(_BITS[w]) for w in range(WORDS)]
+
+
+def _possible(a: str, b: str) -> Column:
+    """Whether lines whose columns end in ``a`` and ``b`` can be alike, by their numbers of shingles and their bitmaps."""
+    na, nb = F.col(f"_n{a}"), F.col(f"_n{b}")
+    apart = reduce(add, [F.bit_count(F.col(f"{c}{a}").bitwiseXOR(F.col(f"{c}{b}"))) for c in _BITS])
+    return (100 * F.least(na, nb) >= PERCENT * F.greatest(na, nb)) & ((100 + PERCENT) * apart <= (100 - PERCENT) * (na + nb))
+
+
+def _document(key: str, text: str) -> Column:
+    return F.struct(F.col(key).alias("key"), F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(7), F.col(text)).alias("h2"))
+
+
 def lines_of(docs: DataFrame, key: str, text: str, whole: bool = False) -> DataFrame:
     """``(_doc, _at, _line)`` of the lines that are compared."""
     return (
         docs.where(F.col(key).isNotNull())
-        .select(F.col(key).alias("_doc"), F.posexplode(F.split(text, "\n")).alias("_at", "_line"))
+        .select(_document(key, text).alias("_doc"), F.posexplode(F.split(text, "\n")).alias("_at", "_line"))
         .where(F.col("_line").rlike(r"\S") & (F.lit(whole) | (F.length("_line") >= MIN_CHARS)))
     )
 
@@ -85,16 +117,14 @@ def signatures(lines: DataFrame, whole: bool = False) -> DataFrame:
 
 def _texts(docs: DataFrame, key: str, text: str, wanted: DataFrame) -> DataFrame:
     """``(_id, _n, _line)`` of the lines at the places ``(_id, _n, _doc, _at)``."""
-    per_doc = wanted.groupBy("_doc").agg(F.collect_list(F.struct("_id", "_n", "_at", "_h1", "_h2")).alias("_wanted"))
-    lines = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("_doc"), F.split(text, "\n").alias("_lines"))
+    per_doc = wanted.groupBy("_doc").agg(F.collect_list(F.struct("_id", "_n", "_at")).alias("_wanted"))
+    lines = docs.where(F.col(key).isNotNull()).select(_document(key, text).alias("_doc"), F.split(text, "\n").alias("_lines"))
     found = (
         lines.join(per_doc, "_doc")
         .select("_lines", F.explode("_wanted").alias("_w"))
         .select("_w.*", F.get("_lines", F.col("_w._at")).alias("_line"))
     )
-    # Rows of one key may differ in their texts: the line is the one that was signed.
-    h1, h2 = _identity()
-    return found.where((F.col("_h1") == h1) & (F.col("_h2") == h2)).select("_id", "_n", "_line").dropDuplicates(["_id"])
+    return found.select("_id", "_n", "_line").dropDuplicates(["_id"])  # a document may be given more than once
 
 
 def _alike(pairs: DataFrame, texts: DataFrame, whole: bool) -> DataFrame:
@@ -116,37 +146,42 @@ def _number() -> Column:
 
 
 def _stars(members: DataFrame) -> DataFrame:
-    """Pairs (a, b) of the least line under each key with the others, ``(_key, _id, _n, _least)`` given; sizes
-    that cannot be alike are left out."""
-    sizes = members.where("_id = _least").select("_least", F.col("_n").alias("_n_least")).distinct()
-    possible = 100 * F.least("_n", "_n_least") >= PERCENT * F.greatest("_n", "_n_least")
+    """Pairs (a, b) of the least line under each key with the others that may be alike, ``(_key, _id, _n, _least)`` and the
+    bitmap given."""
+    leasts = members.where("_id = _least").select(
+        "_least", F.col("_n").alias("_n_least"), *[F.col(c).alias(f"{c}_least") for c in _BITS]
+    )
     return (
         members.where("_id <> _least")
-        .select("_least", "_id", "_n")
+        .select("_least", "_id", "_n", *_BITS)
         .distinct()
-        .join(sizes, "_least")
-        .where(possible)
+        .join(leasts.distinct(), "_least")
+        .where(_possible("", "_least"))
         .select(F.col("_least").alias("a"), F.col("_id").alias("b"))
     )
 
 
 def _tiles(members: DataFrame) -> DataFrame:
-    """All pairs (a, b) of different components under one key, ``(_key, _id, _n, _part)`` given, but those whose sizes
-    cannot be alike. Many rows under a key are dealt to blocks by hash, and every two blocks are a tile."""
+    """All pairs (a, b) of different components under one key, ``(_key, _id, _n, _part)`` and the bitmap given, but those
+    that cannot be alike. Many rows under a key are dealt to blocks by hash, and every two blocks are a tile."""
     sizes = members.groupBy("_key").agg(F.ceil(F.count("*") / TILE).cast("int").alias("_blocks"))
     block, other = F.col("_block"), F.col("_other")
     dealt = (
         members.join(written(sizes, "sizes"), "_key")
         .withColumn("_block", F.pmod(F.xxhash64("_id"), F.col("_blocks")).cast("int"))
         .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-        .select("_key", F.least(block, other).alias("_i"), F.greatest(block, other).alias("_j"), "_id", "_n", "_part", "_block")
+        .select("_key", F.least(block, other).alias("_i"), F.greatest(block, other).alias("_j"), "_id", "_n", *_BITS, "_part", "_block")
     )
     dealt = written(dealt, "dealt")
     tile = ["_key", "_i", "_j"]
-    left = dealt.where("_block = _i").select(*tile, F.col("_id").alias("a"), F.col("_n").alias("_na"), F.col("_part").alias("_pa"))
-    right = dealt.where("_block = _j").select(*tile, F.col("_id").alias("b"), F.col("_n").alias("_nb"), F.col("_part").alias("_pb"))
-    possible = 100 * F.least("_na", "_nb") >= PERCENT * F.greatest("_na", "_nb")
-    met = left.join(right, tile).where((F.col("_pa") != F.col("_pb")) & possible & ((F.col("_i") < F.col("_j")) | (F.col("a") < F.col("b"))))
+
+    def side(block: str, end: str) -> DataFrame:
+        values = [F.col(c).alias(f"{c}_{end}") for c in ("_n", *_BITS)]
+        return dealt.where(F.col("_block") == F.col(block)).select(*tile, F.col("_id").alias(end), F.col("_part").alias(f"_p{end}"), *values)
+
+    apart = F.col("_pa") != F.col("_pb")
+    once = (F.col("_i") < F.col("_j")) | (F.col("a") < F.col("b"))
+    met = side("_i", "a").join(side("_j", "b"), tile).where(apart & once & _possible("_a", "_b"))
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -159,10 +194,13 @@ def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", whol
         keyed.groupBy("_key").agg(F.min("_id").alias("_least"), F.count("*").alias("_rows")).where("_rows > 1"),
         "bands",
     )
-    members = written(keyed.join(shared, "_key").select("_key", "_id", "_n", "_least"), "members")
-    places = lines.select("_id", "_n", "_first._doc", "_first._at", "_h1", "_h2")
-    places = places.join(members.select("_id").distinct(), "_id", "left_semi")
-    texts = written(_texts(docs, key, text, places), "line-texts")
+    met = written(keyed.join(shared, "_key").select("_key", "_id", "_n", "_least"), "members")
+    places = lines.select("_id", "_n", "_first._doc", "_first._at").join(met.select("_id").distinct(), "_id", "left_semi")
+    found = _texts(docs, key, text, places).withColumn("_grams", grams(F.col("_line"), whole))
+    texts = written(found.select("_id", "_n", "_line", *bitmap(F.col("_grams"))), "line-texts")
+    bits = texts.select("_id", *_BITS)
+    texts = texts.select("_id", "_n", "_line")
+    members = written(met.join(bits, "_id"), "members")
 
     stars = written(_stars(members), "pairs")
     links = written(_alike(stars, texts, whole), "links")
@@ -187,8 +225,8 @@ def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", whol
     two = F.array(
         *[F.xxhash64(F.get("_keys", F.lit(i)), F.get("_keys", F.lit(j))) for i in range(BANDS) for j in range(i)]
     )
-    finer = lines.join(written(left, "left"), "_id").select("_id", "_n", "_part", F.explode(two).alias("_key"))
-    finer = written(finer, "finer")
+    finer = lines.join(written(left, "left").join(bits, "_id"), "_id")
+    finer = written(finer.select("_id", "_n", *_BITS, "_part", F.explode(two).alias("_key")), "finer")
     apart = finer.join(mixed(finer), "_key").where("_id = _least or _part <> _least_part")
     more = _stars(apart)
     more = written(more.join(stars, ["a", "b"], "left_anti"), "pairs")
@@ -196,7 +234,7 @@ def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", whol
     parts = components(links)
 
     named = with_parts(members)
-    rest = _tiles(named.join(mixed(named).select("_key"), "_key", "left_semi").select("_key", "_id", "_n", "_part"))
+    rest = _tiles(named.join(mixed(named).select("_key"), "_key", "left_semi").select("_key", "_id", "_n", *_BITS, "_part"))
     rest = written(rest.join(stars.unionByName(more), ["a", "b"], "left_anti"), "pairs")
     links = links.unionByName(written(_alike(rest, texts, whole), "links"))
     parts = components(links)
@@ -223,9 +261,13 @@ def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", whol
 def keep_one_of_alike(docs: DataFrame, key: str = "doc_id", text: str = "text", whole: bool = False) -> DataFrame:
     """``docs`` without the lines that repeat others, with ``n_lines`` and ``n_removed``."""
     gone = removed_lines(docs, key, text, whole).groupBy("_doc").agg(F.collect_set("_at").alias("_gone"))
+    kept = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     # The lines alone go through the join; joined again they are the text.
-    whole = docs.withColumn("_lines", F.split(text, "\n")).drop(text)
-    joined = whole.join(gone, whole[key] == gone["_doc"], "left")
+    split = docs.select(
+        F.when(F.col(key).isNotNull(), _document(key, text)).alias("_doc"),
+        F.split(text, "\n").alias("_lines"),
+        F.struct(*[F.col(f"`{c}`") for c in kept if c != text]).alias("_row"),
+    )
     places = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone"))
     rest = F.when(F.col("_gone").isNull(), F.col("_lines")).otherwise(
         F.transform(places, lambda i: F.get("_lines", i))
@@ -234,9 +276,5 @@ def keep_one_of_alike(docs: DataFrame, key: str = "doc_id", text: str = "text",
     def count(values: str) -> Column:
         return F.when(F.col(values).isNotNull(), F.size(values)).otherwise(0).cast("long")
 
-    return (
-        joined.withColumn(text, F.array_join(rest, "\n"))
-        .withColumn("n_lines", count("_lines"))
-        .withColumn("n_removed", count("_gone"))
-        .select(*[F.col(f"`{c}`") for c in docs.columns if c not in ("n_lines", "n_removed")], "n_lines", "n_removed")
-    )
+    columns = [F.array_join(rest, "\n").alias(c) if c == text else F.col(f"_row.`{c}`") for c in kept]
+    return split.join(gone, "_doc", "left").select(*columns, count("_lines").alias("n_lines"), count("_gone").alias("n_removed"))

@@ -109,7 +109,7 @@ def test_bands_find_alike_lines_at_the_threshold(spark):
             pairs.append((2 * len(pairs) - 1, b))
     docs = spark.createDataFrame(pairs, "doc_id long, text string")
     signed = line_dedup.signatures(line_dedup.lines_of(docs, "doc_id", "text"))
-    rows = {r.doc: set(r._keys) for r in signed.select(F.col("_first._doc").alias("doc"), "_keys").collect()}
+    rows = {r.doc: set(r._keys) for r in signed.select(F.col("_first._doc.key").alias("doc"), "_keys").collect()}
     met = sum(bool(rows[pairs[i][0]] & rows[pairs[i + 1][0]]) for i in range(0, len(pairs), 2))
     assert met >= 0.97 * (len(pairs) // 2)
 
@@ -172,3 +172,51 @@ def test_alike_lines_that_share_one_band_meet(spark, monkeypatch):
         rows += [(i, line), (i + 1, line + ".")]
     kept = kept_whole(spark, rows)
     assert sorted(k for k, v in kept.items() if v) == [0, *range(10, 30, 2)]
+
+
+def test_rows_of_one_key_with_different_texts(spark):
+    first = "dup dup dup dup\nother words one"
+    second = "a unique line that nobody else has\nquite another ending\ndup dup dup dup"
+    rows = [(1, first, 7), (1, second, 8), (1, first, 9), (2, "dup dup dup dup\nlast", 7), (None, first, 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _doc int")
+    found = sorted(((r.doc_id or 0, r._doc, r.text, r.n_removed) for r in line_dedup.keep_one_of_alike(docs, whole=True).collect()))
+    assert found[0] == (0, 7, first, 0) and found[-1] == (2, 7, "last", 1)
+    by = {r[1]: r for r in found[1:-1]}
+    assert by[7][2] == by[9][2]
+    # Of the two texts under key 1 one keeps the line they share; nothing else goes.
+    assert {(by[7][2], by[8][2])} <= {(first, second.rpartition("\n")[0]), ("other words one", second)}
+
+
+def test_bitmaps_bound_the_similarity(spark):
+    from pyspark.sql import functions as F
+
+    rng = random.Random(6)
+    lines = [prose(rng, rng.randint(1, 60)) for _ in range(60)]
+    lines += [edited(rng, line, rng.choice([0, 1, 2, 3])) for line in lines for _ in range(3)] + ["", "é", "ab" * 5000]
+    df = spark.createDataFrame(list(enumerate(lines)), "id int, _line string").withColumn("_g", line_dedup.grams(F.col("_line"), True))
+    rows = df.select("id", F.size("_g").alias("_n"), *line_dedup.bitmap(F.col("_g")), "_g")
+    sides = [rows.toDF(*[c if c == "_g" + e else f"{c}_{e}" for c in rows.columns]) for e in "ab"]
+    met = sides[0].join(sides[1], F.col("id_a") < F.col("id_b"))
+    common = F.size(F.array_intersect("_g_a", "_g_b"))
+    alike = (100 + line_dedup.PERCENT) * common >= line_dedup.PERCENT * (F.col("_n_a") + F.col("_n_b"))
+    counts = met.select(alike.alias("alike"), line_dedup._possible("_a", "_b").alias("may")).groupBy("alike", "may").count().collect()
+    counts = {(r.alike, r.may): r["count"] for r in counts}
+    assert (True, False) not in counts and counts[True, True] > 100 and counts[False, False] > 50 * counts.get((False, True), 0)
+
+
+def test_bands_of_whole_lines_find_alike_lines(spark):
+    """Recall of the bands, as the query and the pipeline use them, on pairs of similarity 0.8 to 0.85."""
+    from pyspark.sql import functions as F
+
+    rng, pairs = random.Random(18), []
+    while len(pairs) < 600:
+        a = prose(rng, 40)
+        b = edited(rng, a, rng.choice([1, 2, 3]))
+        common = len(all_grams(a) & all_grams(b))
+        if 0.8 <= common / (len(all_grams(a)) + len(all_grams(b)) - common) <= 0.85:
+            pairs += [(len(pairs), a), (len(pairs) + 1, b)]
+    docs = spark.createDataFrame(pairs, "doc_id long, text string")
+    signed = line_dedup.signatures(line_dedup.lines_of(docs, "doc_id", "text", True), True)
+    rows = {r.doc: set(r._keys) for r in signed.select(F.col("_first._doc.key").alias("doc"), "_keys").collect()}
+    met = sum(bool(rows[i] & rows[i + 1]) for i in range(0, len(pairs), 2))
+    assert met >= 0.98 * (len(pairs) // 2)
