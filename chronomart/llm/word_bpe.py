@@ -21,7 +21,11 @@ from chronomart.llm.byte_bpe import MARKS
 from chronomart.llm.token_counts import LONG, Merges, _byte_characters
 
 #: Characters that are their own canonical form and whose case is the same in any table.
-PLAIN = re.compile(r"[\x00-\x1b\x20-\u024f\u2010-\u2027\u20ac]*")
+PLAIN = frozenset(map(chr, [*range(0x1C), *range(0x20, 0x250), *range(0x2010, 0x2028), 0x20AC]))
+#: Of them, those beyond ASCII that are neither letters nor digits.
+WIDE_MARKS = frozenset(c for c in PLAIN if c > "\x7f" and not c.isalnum())
+#: Bytes as one of three kinds: white space, ASCII marks, and all else.
+KINDS = bytes(0x20 if chr(b).isspace() and b < 0x80 else 0x2E if b < 0x80 and not chr(b).isalnum() else 0x61 for b in range(256))
 MARKS_IN_A_ROW = re.compile(r"[^\w\s][^\w\s]|_[,.]|[^\w\s]_")
 #: Characters of a text whose words are held at once.
 RUN = 4_000_000
@@ -59,10 +63,23 @@ class WordMerges(Merges):
         return np.concatenate([ids for _, _, ids in left]).astype("<u4"), starts, counts
 
 
+class Places(dict):
+    """Numbers words in the order in which they are first asked for; ``new`` are those whose ids are not known yet."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self[word] = place = len(self)
+        self.new.append(word)
+        return place
+
+
 class WordBpe:
     """``max_words`` bounds the words whose ids are remembered."""
 
-    def __init__(self, path: str, max_words: int = 300_000):
+    def __init__(self, path: str, max_words: int = 500_000):
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
         with open(path, encoding="utf-8") as file:
@@ -73,7 +90,7 @@ class WordBpe:
         self._forget()
 
     def _forget(self) -> None:
-        self.places: dict[str, int] = {}
+        self.places = Places()
         self.flat = np.zeros(0, "<u4")
         self.starts, self.lengths = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
@@ -96,8 +113,9 @@ class WordBpe:
         out_starts[is_long], out_counts[is_long] = len(flat) + np.cumsum(sizes) - sizes, sizes
         return np.concatenate([flat, *long]), out_starts, out_counts
 
-    def _learn(self, words: list[str]) -> None:
+    def _learn(self) -> None:
         """Add the ids of new words to the flat array."""
+        words, self.places.new = self.places.new, []
         parts = [self._pieces_of(word) for word in words]
         place = {piece: i for i, piece in enumerate(dict.fromkeys(p for some in parts for p in some))}
         many = np.fromiter(map(len, parts), np.int64, len(parts))
@@ -107,36 +125,32 @@ class WordBpe:
         ends = np.cumsum(many)
         lengths = sums[ends] - sums[ends - many]
         held = len(self.flat)
-        self.places.update((word, len(self.starts) + i) for i, word in enumerate(words))
         self.flat = np.concatenate([self.flat, _gathered(flat, starts[each], counts[each])])
         self.starts = np.concatenate([self.starts, held + np.cumsum(lengths) - lengths])
         self.lengths = np.concatenate([self.lengths, lengths])
 
-    def _words(self, text: str) -> Iterator[list[str]]:
-        """The words of a text, in lists of bounded size; cuts are at spaces, where words end in any case."""
+    def _words(self, text: str, wide: bool) -> Iterator[list[str]]:
+        """The words of a text, in lists of bounded size; cuts are at spaces, where words end in any case. ``wide``
+        says that marks beyond ASCII are among its characters."""
         begin = 0
         while begin < len(text):
             end = text.find(" ", begin + RUN)
             end = len(text) if end < 0 else end
             part = text[begin:end].lower()
-            if not MARKS_IN_A_ROW.search(part):
+            in_a_row = MARKS_IN_A_ROW.search(part) if wide else b".." in part.encode().translate(KINDS)
+            if not in_a_row:
                 # Marks at the end of words become words: fewer different ones to remember.
                 part = part.replace(", ", " , ").replace(". ", " . ").replace(".\n", " .\n")
             yield part.split()
             begin = end
 
     def _ids(self, runs: list[list[str]]) -> list[np.ndarray]:
-        new = set().union(*runs) - self.places.keys()
-        if len(self.places) + len(new) > self.max_words:
+        if len(self.places) > self.max_words:
             self._forget()
-            new = set().union(*runs)
-        if new:
-            self._learn(list(new))
-        out = []
-        for words in runs:
-            at = np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))
-            out.append(_gathered(self.flat, self.starts[at], self.lengths[at]))
-        return out
+        get = self.places.__getitem__
+        found = [np.fromiter(map(get, words), np.int64, len(words)) for words in runs]
+        self._learn()
+        return [_gathered(self.flat, self.starts[at], self.lengths[at]) for at in found]
 
     def ids(self, text: str) -> list[int]:
         return self.batch([text])[0].tolist()
@@ -152,10 +166,11 @@ class WordBpe:
                 out[i].append(ids)
 
         for i, text in enumerate(texts):
-            if text and not PLAIN.fullmatch(text):
+            characters = set(text or "")
+            if not characters <= PLAIN:
                 out[i].append(np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4"))
                 continue
-            for words in self._words(text or ""):
+            for words in self._words(text or "", not characters.isdisjoint(WIDE_MARKS)):
                 held.append((i, words))
                 size += len(words)
                 if size > RUN // 8:
