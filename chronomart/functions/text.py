@@ -8,27 +8,28 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Words that never count as keywords.
-STOPWORDS = (
-    "de da do dos das em e o a os as para pelo pela pelos pelas ao à aos às na no nas nos "
-    "por com contra mista parlamentar frente brasil"
-).split()
+STOPWORDS = [
+    "de", "da", "do", "dos", "das", "em", "e", "o", "a", "os", "as", "para", "pelo", "pela",
+    "pelos", "pelas", "ao", "à", "aos", "às", "na", "no", "nas", "nos", "por", "com", "contra",
+    "mista", "parlamentar", "frente", "brasil",
+]
 
 # Letters kept in a title besides whitespace.
 LETTERS = "a-záàâãéêíóôõúç"
 
 # Category names and the keywords that select them.
 CATEGORIES = {
-    "Saúde": "saúde médico hospital medicina doença paciente sus medicamento enfermagem".split(),
-    "Educação": "educação escola ensino professor universidade estudante educacional".split(),
-    "Agricultura": "agricultura rural agropecuária campo produtor agrícola agrário".split(),
-    "Meio Ambiente": "meio ambiente ambiental sustentável natureza ecologia clima".split(),
-    "Economia": "economia econômico empresarial negócio comércio financeiro indústria".split(),
-    "Infraestrutura": "infraestrutura transporte rodovia ferrovia obra construção".split(),
-    "Direitos Humanos": "direitos humanos cidadania igualdade social inclusão".split(),
-    "Segurança": "segurança polícia crime violência defesa".split(),
-    "Cultura": "cultura cultural arte artístico patrimônio".split(),
-    "Tecnologia": "tecnologia digital inovação internet tecnológico".split(),
-}
+    "Saúde": ["saúde", "médico", "hospital", "medicina", "doença", "paciente", "sus", "medicamento", "enfermagem"],
+    "Educação": ["educação", "escola", "ensino", "professor", "universidade", "estudante", "educacional"],
+    "Agricultura": ["agricultura", "rural", "agropecuária", "campo", "produtor", "agrícola", "agrário"],
+    "Meio Ambiente": ["meio", "ambiente", "ambiental", "sustentável", "natureza", "ecologia", "clima"],
+    "Economia": ["economia", "econômico", "empresarial", "negócio", "comércio", "financeiro", "indústria"],
+    "Infraestrutura": ["infraestrutura", "transporte", "rodovia", "ferrovia", "obra", "construção"],
+    "Direitos Humanos": ["direitos", "humanos", "cidadania", "igualdade", "social", "inclusão"],
+    "Segurança": ["segurança", "polícia", "crime", "violência", "defesa"],
+    "Cultura": ["cultura", "cultural", "arte", "artístico", "patrimônio"],
+    "Tecnologia": ["tecnologia", "digital", "inovação", "internet", "tecnológico"],
+}
 NO_KEYWORDS = "Sem Categoria"
 NO_MATCH = "Outros"
 
