@@ -3,19 +3,21 @@
 With ``whole``, as the query and the pipeline ask for, a line's set holds all its character shingles, every ``SHINGLE``
 characters in a row in lower case (a shorter line is one shingle), and every line with a character other than a space is
 compared. Without it only the shingles from the start of each word on count, and lines of fewer than ``MIN_CHARS``
-characters stay. A signature are the least shingle hashes under ``2 * BANDS`` orders (hash xor a constant), taken in
-pairs as bands: lines of similarity 0.8 share one of five bands with a chance above 0.99.
+characters stay. A signature are the least shingle hashes under several orders, taken together as bands: of whole lines
+``WHOLE_BANDS`` bands of ``WHOLE_ROWS``, else ``BANDS`` of two. Lines of similarity 0.8 share a band with a chance above 0.99.
 
 Equal lines are one from the start. In each band the lines are held against the one that occurs most often, of which
 the others are likely copies, and linked if their exact similarity reaches the threshold. Before that, a bitmap of
 each line's shingles bounds the similarity from above: shingles that two lines do not share differ in at least as many bits. Where a band still
 holds lines of several components, its lines are held against each other again in the same way, now under every
-two bands they share. Both steps only spare pairs: at last, in every band that still holds several components, all
-pairs of lines of different components are compared, in tiles of at most ``TILE`` rows a side on average.
+two bands they share. Both steps only spare pairs: at last, in every band that still holds several components, the
+lines outside its largest component are compared with all of other components, in tiles of bounded size.
 Of every component the first line, by document and place, stays.
 
-DataFrame functions only: no Python, and no group is ever collected. Rows: a null text has no lines; blank lines
-stay, as do all lines of rows without a key.
+With ``whole``, shingles are hashed and compared in Arrow batches, for in DataFrame functions the signatures alone take
+most of the time allowed; candidates, links, components and removal are DataFrame functions, and without ``whole``
+everything is. No group is ever collected. Rows: a null text has no lines; blank lines stay, as do all lines of rows
+without a key.
 Rows with equal key and text count as one document; rows with the same key but other texts are documents of their own, in
 the order of a hash of their texts. All columns of the documents are carried; names starting with an
 underscore are reserved for steps in between, and ``n_lines`` and ``n_removed`` are replaced.
@@ -23,13 +25,19 @@ underscore are reserved for steps in between, and ``n_lines`` and ``n_removed``
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 from operator import add
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
+from chronomart.llm.batches import mix, ranges, small_batches
 from chronomart.llm.components import components
+from chronomart.llm.ngram_jaccard import verify
 from chronomart.llm.scratch import written
 
 SHINGLE = 9
@@ -38,10 +46,12 @@ PERCENT = 80
 MIN_CHARS = 24
 GRAMS = r"(?s)(?=\S)(?=(.{1,%d}))\S+" % SHINGLE
 ALL_GRAMS = "(?s)(?=(.{%d}))." % SHINGLE
-#: Lines on a tile's side.
-TILE = 500
+#: Bands of a whole line, and orders in each.
+WHOLE_BANDS, WHOLE_ROWS = 8, 3
+#: Lines on a tile's side, and of a largest component on the other.
+TILE, LARGE_TILE = 500, 4000
 #: Words of 64 bits in a line's bitmap.
-WORDS = 4
+WORDS = 8
 _BITS = [f"_b{w}" for w in range(WORDS)]
 
 
@@ -97,21 +107,80 @@ def _identity() -> list[Column]:
     return [F.xxhash64("_line").alias("_h1"), F.xxhash64(F.lit(7), "_line").alias("_h2")]
 
 
-def signatures(lines: DataFrame, whole: bool = False) -> DataFrame:
-    """One row per different line: its first place, how often it occurs, and its band keys."""
-    hashed = lines.select("_doc", "_at", *_identity(), grams(F.col("_line"), whole).alias("_grams"))
+class WholeLines:
+    """Similarity of lines by all their character shingles."""
+
+    def shingles(self, lines: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The different shingles of each line as sorted 64-bit numbers, one line after the other, and how many it has."""
+        low = "\n".join(lines.to_pylist()).lower() + "\n"
+        points = np.frombuffer(low.encode("utf-32-le", "surrogatepass"), np.uint32)
+        ends = np.flatnonzero(points == 10)
+        begins = np.concatenate([[0], ends[:-1] + 1])
+        full = np.maximum(ends - begins - SHINGLE + 1, 1)
+        after = np.cumsum(full)
+        at = np.arange(after[-1]) + np.repeat(begins - (after - full), full)
+        hashes = ranges(mix(points.astype(np.uint64)), at, np.minimum(at + SHINGLE, np.repeat(ends, full)), 1)
+        new = np.ones(len(hashes), bool)
+        for begin, end in zip(after - full, after):
+            hashes[begin:end].sort()
+        new[1:] = hashes[1:] != hashes[:-1]
+        new[after - full] = True
+        return hashes[new], np.add.reduceat(new, after - full, dtype=np.int64)
+
+    def sets(self, lines: pa.Array) -> list[np.ndarray]:
+        hashes, sizes = self.shingles(lines)
+        return np.split(hashes, np.cumsum(sizes)[:-1])
+
+    def alike(self, common, a, b):
+        return (100 + PERCENT) * common >= PERCENT * (a + b)
+
+
+def _whole_signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows whose last column is the line: in its place the number of shingles, the band keys and the bitmap."""
+    orders = np.random.default_rng(7).integers(1, 2**63, WHOLE_BANDS * WHOLE_ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
+    width = 64 * WORDS
+    for batch in small_batches(batches, 1_000_000):
+        hashes, sizes = WholeLines().shingles(batch.column(batch.num_columns - 1))
+        starts = np.cumsum(sizes) - sizes
+        keys = np.zeros((len(sizes), WHOLE_BANDS), np.uint64)
+        for i, order in enumerate(orders):
+            band = i // WHOLE_ROWS
+            keys[:, band] = mix(keys[:, band] + np.minimum.reduceat(hashes * order, starts) + np.uint64(band))
+        spots = np.repeat(np.arange(len(sizes)) * width, sizes) + (mix(hashes) % np.uint64(width)).astype(np.int64)
+        odd = (np.bincount(spots, minlength=len(sizes) * width) & 1).astype(bool)
+        bits = np.packbits(odd, bitorder="little").view(np.int64).reshape(len(sizes), WORDS)
+        offsets = pa.array(np.arange(len(sizes) + 1, dtype=np.int32) * WHOLE_BANDS)
+        lists = pa.ListArray.from_arrays(offsets, pa.array(keys.reshape(-1).view(np.int64)))
+        words = [pa.array(np.ascontiguousarray(bits[:, w])) for w in range(WORDS)]
+        names = [*batch.schema.names[:-1], "_n", "_keys", *_BITS]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(sizes), lists, *words], names)
+
+
+def _signed(lines: DataFrame, whole: bool) -> DataFrame:
+    """Lines with their number of shingles, band keys and bitmap."""
+    if whole:
+        rows = lines.select("_doc", "_at", *_identity(), "_line")
+        long = LongType()
+        fields = [("_n", long), ("_keys", ArrayType(long)), *[(c, long) for c in _BITS]]
+        schema = StructType([*rows.schema.fields[:-1], *[StructField(c, t) for c, t in fields]])
+        return rows.mapInArrow(_whole_signatures, schema)
+    hashed = lines.select("_doc", "_at", *_identity(), grams(F.col("_line")).alias("_grams"))
 
     def least_under(order: Column) -> Column:
         return F.array_min(F.transform("_grams", lambda h: h.bitwiseXOR(order)))
 
     least = [least_under(_order(i)) for i in range(2 * BANDS)]
     keys = F.array(*[F.xxhash64(F.lit(i), least[2 * i], least[2 * i + 1]) for i in range(BANDS)])
-    signed = hashed.withColumn("_n", F.size("_grams")).withColumn("_keys", keys)
-    return signed.groupBy("_h1", "_h2").agg(
+    counted = F.size("_grams").cast("long").alias("_n")
+    return hashed.select("_doc", "_at", "_h1", "_h2", counted, keys.alias("_keys"), *bitmap(F.col("_grams")))
+
+
+def signatures(lines: DataFrame, whole: bool = False) -> DataFrame:
+    """One row per different line: its first place, how often it occurs, its band keys and bitmap."""
+    return _signed(lines, whole).groupBy("_h1", "_h2").agg(
         F.min(F.struct("_doc", "_at")).alias("_first"),
         F.count("*").alias("_times"),
-        F.first("_n").alias("_n"),
-        F.first("_keys").alias("_keys"),
+        *[F.first(c).alias(c) for c in ("_n", "_keys", *_BITS)],
     )
 
 
@@ -129,7 +198,9 @@ def _texts(docs: DataFrame, key: str, text: str, wanted: DataFrame) -> DataFrame
 
 def _alike(pairs: DataFrame, texts: DataFrame, whole: bool) -> DataFrame:
     """The pairs (a, b) whose shingle sets reach the threshold."""
-    common = F.size(F.array_intersect(grams(F.col("_x"), whole), grams(F.col("_y"), whole)))
+    if whole:
+        return verify(pairs, texts.select(F.col("_id").alias("doc"), F.col("_line").alias("text")), WholeLines())
+    common = F.size(F.array_intersect(grams(F.col("_x")), grams(F.col("_y"))))
     return (
         pairs.join(texts.toDF("a", "_nx", "_x"), "a")
         .join(texts.toDF("b", "_ny", "_y"), "b")
@@ -163,25 +234,40 @@ def _stars(members: DataFrame) -> DataFrame:
 
 def _tiles(members: DataFrame) -> DataFrame:
     """All pairs (a, b) of different components under one key, ``(_key, _id, _n, _part)`` and the bitmap given, but those
-    that cannot be alike. Many rows under a key are dealt to blocks by hash, and every two blocks are a tile."""
-    sizes = members.groupBy("_key").agg(F.ceil(F.count("*") / TILE).cast("int").alias("_blocks"))
-    block, other = F.col("_block"), F.col("_other")
-    dealt = (
+    that cannot be alike. Lines of a key's largest component meet the other lines only. Both are dealt to blocks by
+    hash, and a block of others with a block of either is a tile."""
+    parts = members.groupBy("_key", "_part").agg(F.count("*").alias("_rows"))
+    largest = F.max(F.struct("_rows", F.col("_part").alias("lead")))
+    sizes = parts.groupBy("_key").agg(largest.alias("_largest"), F.sum("_rows").alias("_all"))
+    sizes = sizes.select(
+        "_key",
+        F.col("_largest.lead").alias("_lead"),
+        F.ceil((F.col("_all") - F.col("_largest._rows")) / TILE).cast("int").alias("_blocks"),
+        F.ceil(F.col("_largest._rows") / LARGE_TILE).cast("int").alias("_large"),
+    )
+    dealt = written(
         members.join(written(sizes, "sizes"), "_key")
-        .withColumn("_block", F.pmod(F.xxhash64("_id"), F.col("_blocks")).cast("int"))
-        .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-        .select("_key", F.least(block, other).alias("_i"), F.greatest(block, other).alias("_j"), "_id", "_n", *_BITS, "_part", "_block")
+        .withColumn("_leads", F.col("_part") == F.col("_lead"))
+        .withColumn("_block", F.pmod(F.xxhash64("_id"), F.when(F.col("_leads"), F.col("_large")).otherwise(F.col("_blocks"))).cast("int"))
+        .select("_key", "_id", "_n", *_BITS, "_part", "_leads", "_block", "_blocks", "_large"),
+        "dealt",
     )
-    dealt = written(dealt, "dealt")
-    tile = ["_key", "_i", "_j"]
 
-    def side(block: str, end: str) -> DataFrame:
+    def side(rows: DataFrame, i: Column, j: Column, end: str) -> DataFrame:
         values = [F.col(c).alias(f"{c}_{end}") for c in ("_n", *_BITS)]
-        return dealt.where(F.col("_block") == F.col(block)).select(*tile, F.col("_id").alias(end), F.col("_part").alias(f"_p{end}"), *values)
+        return rows.select("*", i.alias("_i")).select("*", j.alias("_j")).select(
+            "_key", "_i", "_j", F.col("_id").alias(end), F.col("_part").alias(f"_p{end}"), *values
+        )
 
+    others, lead = dealt.where("not _leads"), dealt.where("_leads")
+    block, blocks = F.col("_block"), F.col("_blocks")
+    left = side(others, block, F.explode(F.sequence(block, blocks + F.col("_large") - 1)), "a")
+    right = side(others, F.explode(F.sequence(F.lit(0), block)), block, "b").unionByName(
+        side(lead, F.explode(F.sequence(F.lit(0), blocks - 1)), blocks + block, "b")
+    )
     apart = F.col("_pa") != F.col("_pb")
     once = (F.col("_i") < F.col("_j")) | (F.col("a") < F.col("b"))
-    met = side("_i", "a").join(side("_j", "b"), tile).where(apart & once & _possible("_a", "_b"))
+    met = left.join(right, ["_key", "_i", "_j"]).where(apart & once & _possible("_a", "_b"))
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -189,18 +275,14 @@ def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", whol
     """``(_doc, _at)`` of the lines that go. Runs jobs and writes to the shared folder."""
     all_lines = lines_of(docs, key, text, whole)
     lines = written(signatures(all_lines, whole).withColumn("_id", _number()), "lines")
-    keyed = lines.select("_id", "_n", F.explode("_keys").alias("_key"))
+    keyed = lines.select("_id", "_n", *_BITS, F.explode("_keys").alias("_key"))
     shared = written(
         keyed.groupBy("_key").agg(F.min("_id").alias("_least"), F.count("*").alias("_rows")).where("_rows > 1"),
         "bands",
     )
-    met = written(keyed.join(shared, "_key").select("_key", "_id", "_n", "_least"), "members")
-    places = lines.select("_id", "_n", "_first._doc", "_first._at").join(met.select("_id").distinct(), "_id", "left_semi")
-    found = _texts(docs, key, text, places).withColumn("_grams", grams(F.col("_line"), whole))
-    texts = written(found.select("_id", "_n", "_line", *bitmap(F.col("_grams"))), "line-texts")
-    bits = texts.select("_id", *_BITS)
-    texts = texts.select("_id", "_n", "_line")
-    members = written(met.join(bits, "_id"), "members")
+    members = written(keyed.join(shared, "_key").select("_key", "_id", "_n", "_least", *_BITS), "members")
+    places = lines.select("_id", "_n", "_first._doc", "_first._at").join(members.select("_id").distinct(), "_id", "left_semi")
+    texts = written(_texts(docs, key, text, places), "line-texts")
 
     stars = written(_stars(members), "pairs")
     links = written(_alike(stars, texts, whole), "links")
@@ -222,10 +304,9 @@ def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", whol
 
     named = with_parts(members)
     left = named.join(mixed(named).select("_key"), "_key", "left_semi").select("_id", "_part").distinct()
-    two = F.array(
-        *[F.xxhash64(F.get("_keys", F.lit(i)), F.get("_keys", F.lit(j))) for i in range(BANDS) for j in range(i)]
-    )
-    finer = lines.join(written(left, "left").join(bits, "_id"), "_id")
+    bands = range(WHOLE_BANDS if whole else BANDS)
+    two = F.array(*[F.xxhash64(F.get("_keys", F.lit(i)), F.get("_keys", F.lit(j))) for i in bands for j in range(i)])
+    finer = lines.join(written(left, "left"), "_id")
     finer = written(finer.select("_id", "_n", *_BITS, "_part", F.explode(two).alias("_key")), "finer")
     apart = finer.join(mixed(finer), "_key").where("_id = _least or _part <> _least_part")
     more = _stars(apart)

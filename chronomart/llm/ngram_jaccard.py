@@ -287,7 +287,7 @@ def _verified(like: Likeness):
     return run
 
 
-def _verify(pairs: DataFrame, docs: DataFrame, like: Likeness) -> DataFrame:
+def verify(pairs: DataFrame, docs: DataFrame, like) -> DataFrame:
     """The pairs (a, b) that are links. Partners of one document go out in parts, each with its text."""
     sizes = written(pairs.groupBy("a").agg(F.ceil(F.count("*") / PER_TASK).alias("parts")), "parts")
     dealt = pairs.join(sizes, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.col("parts")))
@@ -395,13 +395,13 @@ def linked(docs: DataFrame, n: int, percent: int, key: str = "doc_id", text: str
         .distinct()
     )
     stars = written(_with_features(written(stars, "stars"), features, like), "candidates")
-    links = written(_verify(stars, texts, like), "links")
+    links = written(verify(stars, texts, like), "links")
     parts = components(links)
 
     pairs = written(_meeting_pairs(features, parts, like), "pairs")
     pairs = written(pairs.join(stars, ["a", "b"], "left_anti"), "pairs")
     if pairs.count():
-        more = written(_verify(pairs, texts, like), "links")
+        more = written(verify(pairs, texts, like), "links")
         parts = components(links.unionByName(more))
 
     named = written(
