@@ -10,7 +10,7 @@ Equal lines are one from the start. In each band the lines are held against the
 the others are likely copies, and linked if their exact similarity reaches the threshold. Before that, a bitmap of
 each line's shingles bounds the similarity from above: shingles that two lines do not share differ in at least as many bits. Where a band still
 holds lines of several components, its lines are held against each other again in the same way, now under every
-two bands they share. Both steps only spare pairs: at last, in every band that still holds several components, the
+two neighbouring bands they share. Both steps only spare pairs: at last, in every band that still holds several components, the
 lines outside its largest component are compared with all of other components, in tiles of bounded size.
 Of every component the first line, by document and place, stays.
 
@@ -137,15 +137,16 @@ class WholeLines:
 
 def _whole_signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows whose last column is the line: in its place the number of shingles, the band keys and the bitmap."""
-    orders = np.random.default_rng(7).integers(1, 2**63, WHOLE_BANDS * WHOLE_ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
+    orders = np.random.default_rng(7).integers(0, 2**31, WHOLE_BANDS * WHOLE_ROWS, np.uint32) * np.uint32(2) + np.uint32(1)
     width = 64 * WORDS
     for batch in small_batches(batches, 1_000_000):
         hashes, sizes = WholeLines().shingles(batch.column(batch.num_columns - 1))
         starts = np.cumsum(sizes) - sizes
+        low = hashes.astype(np.uint32)
         keys = np.zeros((len(sizes), WHOLE_BANDS), np.uint64)
         for i, order in enumerate(orders):
             band = i // WHOLE_ROWS
-            keys[:, band] = mix(keys[:, band] + np.minimum.reduceat(hashes * order, starts) + np.uint64(band))
+            keys[:, band] = mix(keys[:, band] + np.minimum.reduceat(low * order, starts) + np.uint64(band))
         spots = np.repeat(np.arange(len(sizes)) * width, sizes) + (mix(hashes) % np.uint64(width)).astype(np.int64)
         odd = (np.bincount(spots, minlength=len(sizes) * width) & 1).astype(bool)
         bits = np.packbits(odd, bitorder="little").view(np.int64).reshape(len(sizes), WORDS)
@@ -275,13 +276,14 @@ def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", whol
     """``(_doc, _at)`` of the lines that go. Runs jobs and writes to the shared folder."""
     all_lines = lines_of(docs, key, text, whole)
     lines = written(signatures(all_lines, whole).withColumn("_id", _number()), "lines")
-    keyed = lines.select("_id", "_n", *_BITS, F.explode("_keys").alias("_key"))
+    keyed = lines.select("_id", F.explode("_keys").alias("_key"))
     shared = written(
         keyed.groupBy("_key").agg(F.min("_id").alias("_least"), F.count("*").alias("_rows")).where("_rows > 1"),
         "bands",
     )
-    members = written(keyed.join(shared, "_key").select("_key", "_id", "_n", "_least", *_BITS), "members")
-    places = lines.select("_id", "_n", "_first._doc", "_first._at").join(members.select("_id").distinct(), "_id", "left_semi")
+    met = written(keyed.join(shared, "_key").select("_key", "_id", "_least"), "members")
+    members = written(met.join(lines.select("_id", "_n", *_BITS), "_id"), "members")
+    places = lines.select("_id", "_n", "_first._doc", "_first._at").join(met.select("_id").distinct(), "_id", "left_semi")
     texts = written(_texts(docs, key, text, places), "line-texts")
 
     stars = written(_stars(members), "pairs")
@@ -304,8 +306,8 @@ def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", whol
 
     named = with_parts(members)
     left = named.join(mixed(named).select("_key"), "_key", "left_semi").select("_id", "_part").distinct()
-    bands = range(WHOLE_BANDS if whole else BANDS)
-    two = F.array(*[F.xxhash64(F.get("_keys", F.lit(i)), F.get("_keys", F.lit(j))) for i in bands for j in range(i)])
+    bands = WHOLE_BANDS if whole else BANDS
+    two = F.array(*[F.xxhash64(F.get("_keys", F.lit(i)), F.get("_keys", F.lit((i + 1) % bands))) for i in range(bands)])
     finer = lines.join(written(left, "left"), "_id")
     finer = written(finer.select("_id", "_n", *_BITS, "_part", F.explode(two).alias("_key")), "finer")
     apart = finer.join(mixed(finer), "_key").where("_id = _least or _part <> _least_part")
