@@ -12,6 +12,9 @@ from chronomart.functions.hashing import content_hash
 from chronomart.operators.rows import dedupe_by_key
 from chronomart.sources.tables import write_counted
 
+#: Copies of one row that one task adds at a time.
+COPIES = 1 << 16
+
 
 def append_all(target: DataFrame, batch: DataFrame, evolve: bool = True) -> DataFrame:
     """Target plus every row of the batch. With ``evolve``, columns known to one side only
@@ -28,7 +31,8 @@ def new_rows(
     facts of their own: of each row, recognised by a hash of its whole content (read from a ``_hash``
     column where a side has one), as many copies are added as the batch has more than the target.
     Only the keys or the hash of the target take part, made distinct or counted before the shuffle,
-    so a value repeated all over the target stays one row.
+    so a value repeated all over the target stays one row. Rows with very many copies to add are dealt out to
+    all tasks, a bounded number of copies at a time.
     """
     if keys:
         known = target.select(F.struct(*keys).alias("_known")).distinct()
@@ -45,10 +49,19 @@ def new_rows(
         .agg(F.first("_row").alias("_row"), F.count("*").alias("_come"))
     )
     more = F.col("_come") - F.coalesce("_held", F.lit(0))
+    added = come.join(held, "_known", "left").withColumn("_more", more)
+    few = added.where(F.col("_more").between(1, COPIES)).select("_row", F.col("_more").alias("_copies"))
+    begins = F.sequence(F.lit(0).cast("bigint"), F.col("_more") - 1, F.lit(COPIES).cast("bigint"))
+    many = (
+        added.where((F.col("_come") > COPIES) & (F.col("_more") > COPIES))
+        .select("_known", "_row", "_more", F.explode(begins).alias("_begin"))
+        # A fixed number: the rows are few and small until they are copied, and would be put together again.
+        .repartition(batch.sparkSession.sparkContext.defaultParallelism, "_known", "_begin")
+        .select("_row", F.least(F.lit(COPIES), F.col("_more") - F.col("_begin")).alias("_copies"))
+    )
     return (
-        come.join(held, "_known", "left")
-        .where(more > 0)
-        .select("_row", F.explode(F.sequence(F.lit(1).cast("bigint"), more)))
+        few.unionByName(many)
+        .select("_row", F.explode(F.sequence(F.lit(1).cast("bigint"), "_copies")))
         .select("_row.*")
     )
 

@@ -107,7 +107,7 @@ class TableStore:
         state: Row | None,
         keep_current: bool = False,
     ) -> dict[str, int]:
-        """Write rows that carry ``_change``, counting them on the way, and log the version.
+        """Write rows that carry ``_change``, or else are all inserted, counting them on the way, and log the version.
 
         The counts are observed in the tasks that write the files, each of which counts once however often
         it had to be run; the files are not read again. A load that changed nothing is not logged.
@@ -115,9 +115,14 @@ class TableStore:
         version = 1 if state is None else state["version"] + 1
         folder = f"{name}/v={version:06d}"
         data = T.StructType([f for f in rows.schema.fields if f.name != "_change"])
-        counts = write_counted(
-            rows, f"{self.root}/{folder}", {c: F.col("_change") == c for c in (INSERT, CLOSE, KEEP)}, "_change"
-        )
+        if "_change" in rows.columns:
+            counts = write_counted(
+                rows, f"{self.root}/{folder}", {c: F.col("_change") == c for c in (INSERT, CLOSE, KEEP)}, "_change"
+            )
+        else:
+            # One kind of rows needs no writer per kind, before which Spark would sort all that a task writes.
+            counts = write_counted(rows, f"{self.root}/{folder}/_change={INSERT}", {INSERT: F.lit(True)})
+            counts |= {CLOSE: 0, KEEP: 0}
         if operation in ("scd2", "append") and counts[INSERT] + counts[CLOSE] == 0:
             return counts
 
@@ -138,8 +143,7 @@ class TableStore:
 
     def overwrite(self, name: str, df: DataFrame, as_of: dt.date | str) -> dict[str, int]:
         """Replace the table, schema included."""
-        rows = df.withColumn("_change", F.lit(INSERT))
-        return self._publish(name, rows, "overwrite", as_of, self._latest(name))
+        return self._publish(name, df, "overwrite", as_of, self._latest(name))
 
     def load_append(
         self,
@@ -160,7 +164,7 @@ class TableStore:
             batch = batch.withColumn("_hash", content_hash(batch.columns))
         if state is None:
             added = dedupe_by_key(batch, keys) if only_new and keys else batch
-            return self._publish(name, added.withColumn("_change", F.lit(INSERT)), "first", as_of, None)
+            return self._publish(name, added, "first", as_of, None)
         target = self._scan(state, state["current"])
         kept = misfits(target.schema, batch.schema)
         if kept:
@@ -169,9 +173,7 @@ class TableStore:
         rows = new_rows(target, batch, keys) if only_new else batch
         # Columns known to one side only are null on the other, now and in later reads.
         rows = target.limit(0).unionByName(rows, allowMissingColumns=True)
-        return self._publish(
-            name, rows.withColumn("_change", F.lit(INSERT)), "append", as_of, state, keep_current=True
-        )
+        return self._publish(name, rows, "append", as_of, state, keep_current=True)
 
     def load_scd2(
         self,
@@ -185,8 +187,7 @@ class TableStore:
         """First load or incremental load of a table with history."""
         state = self._latest(name)
         if state is None:
-            rows = first_load(stamped, keys).withColumn("_change", F.lit(INSERT))
-            return self._publish(name, rows, "first", as_of, None)
+            return self._publish(name, first_load(stamped, keys), "first", as_of, None)
         current = self._scan(state, state["current"])
         changes = snapshot_changes(current, stamped, keys, as_of, close_missing, null_safe)
         return self._publish(name, changes, "scd2", as_of, state)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from chronomart.functions.hashing import content_hash
 from chronomart.operators.history import stamp
 from chronomart.operators.loads import new_rows
+from chronomart.sources.tables import write_counted
 from chronomart.plans.store import TableStore
 from chronomart.session import scratch_path, shared_dir
 
@@ -163,3 +164,29 @@ def test_empty_tables_can_be_read(spark, store):
     assert store.read("t").isEmpty() and store.read("t").columns == ["id", "a"]
     assert store.load_append("t", df(spark, (1, "x")), "2024-01-02")["insert"] == 1
     assert store.read("t").count() == 1
+
+def test_copies_of_one_row_are_dealt_out_to_tasks(spark, store, monkeypatch):
+    monkeypatch.setattr("chronomart.operators.loads.COPIES", 10)
+    store.load_append("t", df(spark, (1, "x"), (1, "x"), (2, "y")), "2024-01-01")
+    batch = spark.range(1007).select(F.lit(1).alias("id"), F.lit("x").alias("a"))
+    batch = batch.unionByName(df(spark, *[(2, "y")] * 11, *[(3, "z")] * 12))
+    rows = new_rows(store.read("t"), batch.withColumn("_hash", content_hash(batch.columns)))
+    per_task = rows.groupBy(F.spark_partition_id()).count().collect()
+    assert len(per_task) > 2 and max(r["count"] for r in per_task) < 500
+    assert store.load_append("t", batch, "2024-01-02")["insert"] == 1005 + 10 + 12
+    held = {tuple(r) for r in store.read("t").groupBy("id", "a").count().collect()}
+    assert held == {(1, "x", 1007), (2, "y", 11), (3, "z", 12)}
+
+
+def test_loads_of_one_kind_of_rows_are_written_unsorted(spark, store, monkeypatch):
+    written = []
+
+    def counted(rows, path, counts=None, *partitions):
+        written.append(partitions)
+        return write_counted(rows, path, counts, *partitions)
+
+    monkeypatch.setattr("chronomart.plans.store.write_counted", counted)
+    store.load_append("t", df(spark, (1, "x")), "2024-01-01")
+    store.load_append("t", df(spark, (2, "y")), "2024-01-02")
+    store.overwrite("o", df(spark, (1, "x")), "2024-01-01")
+    assert written == [(), (), ()] and store.read("t").count() == 2 and store.read("o").count() == 1
