@@ -143,7 +143,7 @@ def _starts(pieces: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def split_records(spark: SparkSession, path: str | list[str], array: str = "dados", glob: str = "*.json") -> DataFrame:
     """``(file, record, json)``: every object of the array ``array`` of every document under ``path``, numbered from 0
-    within its file. Writes the pieces and one row a run to the shared folder."""
+    within its file. Writes the pieces, one row a run and the records to the shared folder."""
     pieces = _staged(spark, path, array, glob)
     starts, files = _starts(pieces)
     rows = _scan(pieces.join(starts, [FILE, SPLIT]), 4).where("in_records")
@@ -157,6 +157,8 @@ def split_records(spark: SparkSession, path: str | list[str], array: str = "dado
         F.max(F.coalesce(F.col("opens") == "r", F.lit(False))).alias("opens"),
         F.coalesce(F.first("record0"), F.lit(0)).alias("record0"),
     )
+    # Read for the records within splits and for those over borders; put together twice it would be half of all work.
+    here = materialise(here, "records")
     # The first record of a split may have begun before it, and one that does not end goes on in the next.
     inner = (F.col("record") > F.col("record0")) & (F.col("ends") == 1)
     border = here.where(~inner).groupBy(FILE, "record").agg(

@@ -138,3 +138,11 @@ def test_types_widen_and_are_found_in_one_pass(spark, tmp_path):
 def test_types_of_nothing(spark, tmp_path):
     (tmp_path / "a.json").write_text('{"dados": []}')
     assert inference.read_inferred(spark, str(tmp_path)).columns == []
+
+
+def test_records_are_put_together_once(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"dados": [{"id": 1, "n": {"x": 2}}, {"id": 2}]}')
+    found = splitting.split_records(spark, str(tmp_path))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and plan.count("/records-") == 2  # within splits, and over borders
+    assert sorted(r["record"] for r in found.collect()) == [0, 1]
