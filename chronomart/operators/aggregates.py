@@ -53,7 +53,9 @@ def collect_in_parts(
     sized = held.alias("r").join(sizes.alias("s"), same_key, "left").select("r.*", f"s.{count_name}", "s.partes")
     start = F.coalesce(F.xxhash64(value), F.lit(0))
     if distinct:
-        placed = sized.withColumn("parte", F.pmod(start, F.col("partes"))).withColumn("_copies", F.lit(1))
+        # Read from the count: with the same columns on both sides of the join, the rows are computed and shuffled once.
+        once = F.least("_n", F.lit(1)).cast("int")
+        placed = sized.withColumn("parte", F.pmod(start, F.col("partes"))).withColumn("_copies", once)
     else:
         turns = F.sequence(F.lit(0).cast("bigint"), F.least("_n", "partes") - 1)
         each = F.floor(F.col("_n") / F.col("partes")) + (F.col("_turn") < F.col("_n") % F.col("partes")).cast("int")

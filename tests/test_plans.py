@@ -88,3 +88,14 @@ def test_filters_and_columns_reach_the_scan(spark):
 def test_year_window_reads_wanted_partitions_only(spark):
     text = plan(QUERIES["src_year_window"](spark, SF))
     assert "PartitionFilters: [year" in text
+
+
+def test_terms_are_computed_once_by_all_tasks(spark):
+    """The texts of a file of one row group are dealt out, and parsed and counted once for lists and their sizes."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        text = plan(QUERIES["txt_term_frequency"](spark, SF))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "ReusedExchange" in text and text.count("Generate explode(palavras_chave") == 1
+    assert "REPARTITION_BY_COL" in text.split("Generate explode(palavras_chave")[1]

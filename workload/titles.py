@@ -39,8 +39,9 @@ TAGGED_PARTS = f"""SELECT id, titulo, palavras, {categories_sql("palavras")} AS
 
 
 def documents(spark, sf):
+    """Texts with their keywords. They are dealt out first: a task reads no less than a row group, and a file may have one only."""
     docs = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("titulo"))
-    return titles.with_keywords(docs)
+    return titles.with_keywords(docs.repartition("id", "titulo"))
 
 
 def tagged_parts(spark, sf):
