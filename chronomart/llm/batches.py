@@ -117,3 +117,22 @@ class Words:
     def doc_of(self) -> np.ndarray:
         """The document, by its place in the batch, of each word."""
         return np.repeat(np.arange(len(self.begin)), self.end - self.begin)
+
+
+def gathered(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The runs of ``flat`` that begin at ``starts``, one after the other."""
+    before = np.cumsum(lengths) - lengths
+    return flat[np.repeat(starts - before, lengths) + np.arange(lengths.sum())]
+
+
+class Places(dict):
+    """Numbers words in the order in which they are first asked for; ``new`` are those whose ids are not known yet."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self[word] = place = len(self)
+        self.new.append(word)
+        return place

@@ -20,13 +20,14 @@ import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType
 
-from chronomart.llm.batches import small_batches
+from chronomart.llm.batches import Places, gathered, small_batches
 
 START = -1
 NEVER = 1 << 60
@@ -219,6 +220,7 @@ class StreamDecoder:
         self.ranks = ranks
         self.states: dict[bytes, Utf8State] = {}
         self.start = self._state(b"")
+        self.open = frozenset(i for i, token in ranks.tokens.items() if incomplete(token))
 
     def _state(self, held: bytes) -> Utf8State:
         return self.states.setdefault(held, Utf8State(held))
@@ -240,6 +242,12 @@ class StreamDecoder:
         if state.held:
             yield state.held
 
+    def whole(self, ids: list[int]) -> bytes:
+        """All bytes at once. Up to the first token that ends within a character the machine stays in its first state."""
+        if self.open.isdisjoint(ids):
+            return b"".join(map(self.ranks.tokens.__getitem__, ids))
+        return b"".join(self.stream(ids))
+
 
 @lru_cache(maxsize=2)
 def _ranks(path: str) -> Ranks:
@@ -252,18 +260,26 @@ def _transducer(path: str) -> Transducer:
 
 
 class Encoder:
-    """Ids of whole texts; remembers those of up to ``max_parts`` parts between single spaces.
+    """Ids of whole texts; remembers those of about ``max_parts`` parts between single spaces.
 
     ``spaced`` says that the pattern takes a space and the letters after it as one match and a mark at the end of
-    a word as another, so what lies between single spaces can be encoded by itself.
+    a word as another, so what lies between single spaces can be encoded by itself. Parts are numbered on first sight
+    and their ids lie in one flat array, from which those of a text are gathered. A part has no space in it, so one that
+    begins with a space stands for the beginning of a text, which none precedes.
     """
 
-    def __init__(self, path: str, pattern: str, spaced: bool, max_parts: int = 300_000):
+    def __init__(self, path: str, pattern: str, spaced: bool, max_parts: int = 400_000):
         self.transducer = _transducer(path)
         self.pieces = regex.compile(pattern)
         self.spaced, self.max_parts = spaced, max_parts
-        self.known: dict[str, tuple[int, ...]] = {}
         self.marks = {mark: self.piece(mark) for mark in MARKS}
+        self.line = self.piece("\n")
+        self._forget()
+
+    def _forget(self) -> None:
+        self.places = Places()
+        self.flat = np.zeros(0, np.int32)
+        self.starts, self.lengths = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def piece(self, text: str) -> list[int]:
         data = text.encode()
@@ -275,30 +291,65 @@ class Encoder:
         """Ids of a text that begins and ends where matches of the pattern do."""
         return [i for piece in self.pieces.findall(text) for i in self.piece(piece)]
 
-    def _remember(self, part: str, ids: list[int]) -> tuple[int, ...]:
-        if len(self.known) >= self.max_parts:
-            self.known.clear()
-        found = self.known[part] = tuple(ids)
-        return found
+    def _word(self, word: str, fresh: dict[str, list[int]]) -> list[int]:
+        """Ids of letters after a space, remembered without the mark that follows: there are fewer of them."""
+        place = self.places.get(word)
+        if place is not None and place < len(self.starts):
+            return self.flat[self.starts[place] : self.starts[place] + self.lengths[place]].tolist()
+        if word not in fresh:
+            fresh[word] = self.piece(" " + word)
+            _ = self.places[word]
+        return fresh[word]
+
+    def _learn(self) -> None:
+        """Add the ids of new parts to the flat array."""
+        fresh: dict[str, list[int]] = {}
+        found, sizes = [], []
+        for part in self.places.new:  # grows by words that came with a mark only
+            if part.isalpha():
+                ids = self._word(part, fresh)
+            elif part[:1] == " ":
+                ids = self.part(part[1:])
+            else:
+                # A word, its mark and a line break before other letters: all three are matches of their own.
+                word, line, rest = part.partition("\n")
+                line = line and rest[:1].isalpha()
+                mark = self.marks.get(word[-1:])
+                if mark is not None and word[:-1].isalpha() and (line or word == part):
+                    ids = self._word(word[:-1], fresh) + mark
+                    if line:
+                        ids = ids + self.line + self.part(rest)
+                else:
+                    ids = self.part(" " + part)
+            found += ids
+            sizes.append(len(ids))
+        self.places.new = []
+        lengths = np.array(sizes, np.int64)
+        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lengths) - lengths])
+        self.lengths = np.concatenate([self.lengths, lengths])
+        self.flat = np.concatenate([self.flat, np.array(found, np.int32)])
 
     def ids(self, text: str) -> list[int]:
-        if not self.spaced or RUN_OF_SPACES.search(text):
-            return self.part(text)
-        first, *rest = text.split(" ")
-        ids, known, marks = self.part(first), self.known, self.marks
-        for part in rest:
-            found = known.get(part)
-            if found is None:
-                mark = marks.get(part[-1:])
-                if mark is not None and part[:-1].isalpha():
-                    # Words are remembered without the mark that follows: there are fewer of them.
-                    part = part[:-1]
-                    ids += known.get(part) or self._remember(part, self.piece(" " + part))
-                    ids += mark
-                    continue
-                found = self._remember(part, self.piece(" " + part) if part.isalpha() else self.part(" " + part))
-            ids += found
-        return ids
+        return self.batch([text])[0].tolist()
+
+    def batch(self, texts: list[str | None]) -> list[np.ndarray]:
+        """The ids of each text; a null text has none."""
+        if len(self.places) > self.max_parts:
+            self._forget()
+        get, out, cut = self.places.__getitem__, [], {}
+        for i, text in enumerate(texts):
+            text = text or ""
+            if not self.spaced or RUN_OF_SPACES.search(text):
+                out.append(np.array(self.part(text), np.int32))
+                continue
+            parts = text.split(" ")
+            parts[0] = " " + parts[0]
+            cut[i] = np.fromiter(map(get, parts), np.int64, len(parts))
+            out.append(None)
+        self._learn()
+        for i, at in cut.items():
+            out[i] = gathered(self.flat, self.starts[at], self.lengths[at])
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -318,19 +369,15 @@ def encode(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(path, pattern, spaced)
         for batch in small_batches(batches):
-            rows = [pa.array(encoder.ids(v or ""), pa.int32()) for v in batch.column(1).to_pylist()]
-            yield _lists(batch.column(0), rows)
+            yield _lists(batch.column(0), encoder.batch(batch.column(1).to_pylist()))
 
     schema = docs.select(F.col(key)).schema.add("ids", ArrayType(IntegerType()))
     return docs.select(key, text).mapInArrow(run, schema)
 
 
-def _lists(keys: pa.Array, rows: list[pa.Array]) -> pa.RecordBatch:
-    offsets = [0]
-    for row in rows:
-        offsets.append(offsets[-1] + len(row))
-    flat = pa.concat_arrays(rows) if rows else pa.array([], pa.int32())
-    lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat)
+def _lists(keys: pa.Array, rows: list[np.ndarray]) -> pa.RecordBatch:
+    offsets = np.concatenate([[0], np.cumsum([len(row) for row in rows])])
+    lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(rows), pa.int32()))
     return pa.RecordBatch.from_arrays([keys, lists], ["key", "ids"])
 
 
@@ -340,7 +387,10 @@ def decode(encoded: DataFrame, path: str, key: str = "doc_id", ids: str = "ids")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = StreamDecoder(_ranks(path))
         for batch in small_batches(batches):
-            texts = [b"".join(decoder.stream(row or ())) for row in batch.column(1).to_pylist()]
+            lists = batch.column(1)
+            flat, sizes = lists.flatten().to_numpy(), lists.value_lengths().fill_null(0).to_numpy()
+            ends = np.cumsum(sizes)
+            texts = [decoder.whole(flat[begin:end].tolist()) for begin, end in zip(ends - sizes, ends)]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(texts, pa.binary())], ["key", "ids", "bytes"]
             )

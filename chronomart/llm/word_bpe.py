@@ -17,6 +17,7 @@ import numpy as np
 import regex
 from tokenizers import Tokenizer
 
+from chronomart.llm.batches import Places, gathered
 from chronomart.llm.byte_bpe import MARKS
 from chronomart.llm.token_counts import LONG, Merges, _byte_characters
 
@@ -31,12 +32,6 @@ MARKS_IN_A_ROW = re.compile(r"[^\w\s][^\w\s]|_[,.]|[^\w\s]_")
 RUN = 4_000_000
 
 
-def _gathered(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """The runs of ``flat`` that begin at ``starts``, one after the other."""
-    before = np.cumsum(lengths) - lengths
-    return flat[np.repeat(starts - before, lengths) + np.arange(lengths.sum())]
-
-
 class WordMerges(Merges):
     """Merges of pieces whose last byte is a symbol of its own."""
 
@@ -63,19 +58,6 @@ class WordMerges(Merges):
         return np.concatenate([ids for _, _, ids in left]).astype("<u4"), starts, counts
 
 
-class Places(dict):
-    """Numbers words in the order in which they are first asked for; ``new`` are those whose ids are not known yet."""
-
-    def __init__(self):
-        super().__init__()
-        self.new: list[str] = []
-
-    def __missing__(self, word: str) -> int:
-        self[word] = place = len(self)
-        self.new.append(word)
-        return place
-
-
 class WordBpe:
     """``max_words`` bounds the words whose ids are remembered."""
 
@@ -125,7 +107,7 @@ class WordBpe:
         ends = np.cumsum(many)
         lengths = sums[ends] - sums[ends - many]
         held = len(self.flat)
-        self.flat = np.concatenate([self.flat, _gathered(flat, starts[each], counts[each])])
+        self.flat = np.concatenate([self.flat, gathered(flat, starts[each], counts[each])])
         self.starts = np.concatenate([self.starts, held + np.cumsum(lengths) - lengths])
         self.lengths = np.concatenate([self.lengths, lengths])
 
@@ -150,7 +132,7 @@ class WordBpe:
         get = self.places.__getitem__
         found = [np.fromiter(map(get, words), np.int64, len(words)) for words in runs]
         self._learn()
-        return [_gathered(self.flat, self.starts[at], self.lengths[at]) for at in found]
+        return [gathered(self.flat, self.starts[at], self.lengths[at]) for at in found]
 
     def ids(self, text: str) -> list[int]:
         return self.batch([text])[0].tolist()

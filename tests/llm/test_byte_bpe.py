@@ -97,3 +97,19 @@ def test_documents(spark, library):
         assert r.n_tokens == len(ids)
         assert r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
+
+
+def test_texts_of_a_batch(library):
+    """Parts are numbered and gathered over a batch; words that come with a mark or a line break first are known by themselves later."""
+    texts = ["one two, three.\nFour five", None, "", " ", "two three Four\nfive,\nsix.\n7", "one.\ńx a.\n.b c.\n", "two,\nthree, a b."]
+    encoder = byte_bpe.Encoder(PATH, P.PATTERN, spaced=True, max_parts=5)
+    for _ in range(3):
+        assert [ids.tolist() for ids in encoder.batch(texts)] == [library.encode_ordinary(t or "") for t in texts]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text("ab.,\n é1'", max_size=25), max_size=5))
+def test_batches_of_odd_texts(library, texts):
+    assert [ids.tolist() for ids in ENCODER.batch(texts)] == [library.encode_ordinary(t) for t in texts]
+    for text in texts:
+        assert DECODER.whole(library.encode_ordinary(text)) == text.encode()
