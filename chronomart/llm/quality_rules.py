@@ -39,6 +39,7 @@ COMMON_WORDS = {
     "es": ["de", "la", "que", "el", "en", "y", "a", "los", "del", "se", "las", "por", "un", "para", "con", "no",
            "una", "su", "al", "lo", "es", "más", "como", "o"],
 }
+LONGEST = max(len(w) for listed in COMMON_WORDS.values() for w in listed)
 
 
 def _shifted(values: str, by: int) -> tuple[Column, Column]:
@@ -116,6 +117,8 @@ def measures(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFra
         .withColumn("base_failed", (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words")))
         # Letters only, each word between two spaces of its own.
         .withColumn("_plain", F.concat(F.lit(" "), F.regexp_replace(F.lower("_text"), r"[^\p{L}]+", "  "), F.lit(" ")))
+        # Without the words that are longer than any listed one, which is then sought in less.
+        .withColumn("_short", F.regexp_replace("_plain", f"[^ ]{{{LONGEST + 1},}}", ""))
         .withColumn("_listed", listed[F.col(lang)])
     )
     letters = F.length(F.replace("_plain", F.lit(" "), F.lit("")))
@@ -123,11 +126,12 @@ def measures(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFra
     digits = F.col("n_chars") - _without(F.col("_text"), "[0-9]+")
     spaces = F.col("n_chars") - F.col("word_chars")
     rest = F.col("n_chars") - letters - digits - spaces - F.col("n_symbols")
+    # Bytes, which are known of a string without counting its characters.
     found = F.transform(
         "_listed",
         lambda w: (
-            (F.length("_plain") - F.length(F.replace(F.col("_plain"), F.concat(F.lit(" "), w, F.lit(" ")), F.lit(""))))
-            / (F.length(w) + 2)
+            (F.octet_length("_short") - F.octet_length(F.replace(F.col("_short"), F.concat(F.lit(" "), w, F.lit(" ")), F.lit(""))))
+            / (F.octet_length(w) + 2)
         ).cast("long"),
     )
     return (
@@ -139,7 +143,7 @@ def measures(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFra
             ),
         )
         .withColumn("common", found)
-        .drop("_text", "words", "_lines", "_plain", "_listed")
+        .drop("_text", "words", "_lines", "_plain", "_short", "_listed")
     )
 
 

@@ -108,3 +108,16 @@ def test_labelled_documents(spark):
     bad = [r for r in rows if labels[r.doc_id] == 0 and not r.base_failed and r.n_words >= rules.MIN_WORDS]
     assert all(r.kept for r in good)
     assert sum(not r.kept for r in bad) >= 0.4 * len(bad)
+
+
+def test_listed_words_beside_long_ones(spark):
+    """Words longer than any listed one are set aside before listed words are counted, in bytes."""
+    texts = [("für unglaublichwerden werden Unglaublich werden,für den denden é", "de"), ("más másmásmás más y y yyyyyyy y", "es")]
+    docs = spark.createDataFrame([(i, t, g) for i, (t, g) in enumerate(texts)], "doc_id long, text string, lang string")
+    measured = rules.measures(docs)
+    found = {r.doc_id: r.common for r in measured.collect()}
+    for i, (text, lang) in enumerate(texts):
+        assert found[i] == histograms(text, lang)[1][:-1]
+    # The listed words are sought in the shortened text, and nothing counts its characters once a word.
+    plan = measured._jdf.queryExecution().optimizedPlan().toString()
+    assert "octet_length" in plan and f"{{{rules.LONGEST + 1},}}" in plan
