@@ -6,7 +6,8 @@ that many documents share last, so shared passages bring few documents together;
 
 Candidates are found in two steps. First each document is held against the least document and the one before it
 under each of its leading n-grams; the links found make most components. Then documents of different components that meet under an
-n-gram are compared: where few meet by a join, where many do in tiles by size band and hash. Both steps drop
+n-gram are compared: where few meet by a join, where many do in tiles by size band and hash, those outside the
+n-gram's largest component against all. Both steps drop
 pairs by size and by a bitmap of hashed n-grams: sets differ in at least as many n-grams as their bitmaps
 differ in bits. What remains is settled by intersecting the sorted sets.
 
@@ -23,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chronomart.llm.batches import Words, mix, ranges, small_batches
@@ -239,8 +240,8 @@ def _passing(like: Likeness):
 
 
 def _tiles(like: Likeness):
-    """Pairs of different components in one tile. ``side``: 0 and 1 for its two blocks, 2 where both are one;
-    a guest belongs to the next size band and is compared with rows of this one only."""
+    """Pairs of different components in one tile: rows of ``side`` 0 against those of side 1. A guest belongs to the
+    next size band and is compared with rows of this one only."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         doc, part, n, side, guest = (
@@ -249,7 +250,7 @@ def _tiles(like: Likeness):
         bits = _words_of(table.column("bits").to_pylist())
         width = min(map(len, bits))
         bits = np.stack([_fold(x, width) for x in bits])
-        left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
+        left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
         a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         step = max(1, 2_000_000 // (len(right) * width + 1))
         for at in range(0, len(left), step):
@@ -315,6 +316,44 @@ def _with_features(pairs: DataFrame, features: DataFrame, like: Likeness) -> Dat
     )
 
 
+def _dealt_to_tiles(many: DataFrame) -> DataFrame:
+    """``(gram, doc, part, n, i, j, side)``: the documents under an n-gram outside its largest component, in blocks i on side 0,
+    against all documents under it, in blocks j on side 1.
+
+    Documents of the largest component are not compared with one another, so they are not copied: a group of near copies
+    that is one component by now goes out once for each block of the few others. The others are copied
+    to the blocks of all.
+    """
+    largest = (
+        many.groupBy("gram", "part")
+        .agg(F.count("*").alias("size"))
+        .groupBy("gram")
+        .agg(F.max(F.struct("size", "part")).alias("top"), F.sum("size").alias("all"))
+        .select(
+            "gram",
+            F.col("top.part").alias("main"),
+            F.ceil((F.col("all") - F.col("top.size")) / TILE).cast("int").alias("outside"),
+        )
+    )
+    rows = written(many.join(largest, "gram").select("gram", "doc", "part", "n", "main", "blocks", "outside"), "meeting")
+
+    def block(count: str) -> Column:
+        return F.pmod(F.xxhash64("doc"), F.col(count)).cast("int")
+
+    def every(count: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+
+    left = rows.where("part <> main").select("*", block("outside").alias("i"), F.lit(0).alias("side"))
+    right = rows.select("*", block("blocks").alias("j"), F.lit(1).alias("side"))
+    copied = right.where("outside > 1").withColumn("i", every("outside"))
+    return (
+        left.withColumn("j", every("blocks"))
+        .unionByName(right.where("outside = 1").withColumn("i", F.lit(0)))
+        .unionByName(copied)
+        .select("gram", "doc", "part", "n", "i", "j", "side")
+    )
+
+
 def _meeting_pairs(features: DataFrame, parts: DataFrame, like: Likeness) -> DataFrame:
     """Pairs of documents of different components that share a leading n-gram and pass the filters."""
     leads = (
@@ -345,21 +384,13 @@ def _meeting_pairs(features: DataFrame, parts: DataFrame, like: Likeness) -> Dat
     paired = _with_features(written(paired, "paired"), features, like)
     # Alike sizes differ by one band at most; a little wider, against rounding.
     band = F.floor(F.log(F.col("n")) / (math.log(100 / like.percent) * 1.0001)).cast("int")
-    rows = written(
-        met.where(F.col("rows") > FEW)
+    many = met.where(F.col("rows") > FEW)
+    tiled = (
+        _dealt_to_tiles(many)
         .join(features.select("doc", "bits"), "doc")
         .withColumn("band", band)
-        .withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int")),
-        "meeting",
-    )
-    block, other = F.col("block"), F.col("other")
-    tiled = (
-        rows.withColumn("guest", F.explode(F.array(F.lit(False), F.lit(True))))
+        .withColumn("guest", F.explode(F.array(F.lit(False), F.lit(True))))
         .withColumn("band", F.col("band") - F.col("guest").cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .withColumn("side", F.when(block < other, 0).when(block > other, 1).otherwise(2))
-        .withColumn("i", F.least(block, other))
-        .withColumn("j", F.greatest(block, other))
         .select("gram", "band", "i", "j", "doc", "part", "n", "bits", "side", "guest")
         .groupBy("gram", "band", "i", "j")
         .applyInArrow(_tiles(like), "a long, b long")
