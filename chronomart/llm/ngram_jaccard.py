@@ -240,8 +240,8 @@ def _passing(like: Likeness):
 
 
 def _tiles(like: Likeness):
-    """Pairs of different components in one tile: rows of ``side`` 0 against those of side 1. A guest belongs to the
-    next size band and is compared with rows of this one only."""
+    """Pairs of different components in one tile. ``side``: 0 and 1 for its two blocks, 2 where both are one;
+    a guest belongs to the next size band and is compared with rows of this one only."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         doc, part, n, side, guest = (
@@ -250,7 +250,7 @@ def _tiles(like: Likeness):
         bits = _words_of(table.column("bits").to_pylist())
         width = min(map(len, bits))
         bits = np.stack([_fold(x, width) for x in bits])
-        left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
         a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         step = max(1, 2_000_000 // (len(right) * width + 1))
         for at in range(0, len(left), step):
@@ -317,12 +317,11 @@ def _with_features(pairs: DataFrame, features: DataFrame, like: Likeness) -> Dat
 
 
 def _dealt_to_tiles(many: DataFrame) -> DataFrame:
-    """``(gram, doc, part, n, i, j, side)``: the documents under an n-gram outside its largest component, in blocks i on side 0,
-    against all documents under it, in blocks j on side 1.
+    """``(gram, doc, part, n, i, j, side)``: tiles in which every two documents under an n-gram meet, once, but for those
+    that are both of its largest component.
 
-    Documents of the largest component are not compared with one another, so they are not copied: a group of near copies
-    that is one component by now goes out once for each block of the few others. The others are copied
-    to the blocks of all.
+    The documents outside it are dealt to blocks, which meet one another and the blocks of the largest component, numbered
+    after them. So a group of near copies that is one component by now is copied for each block of the few others only.
     """
     largest = (
         many.groupBy("gram", "part")
@@ -332,26 +331,28 @@ def _dealt_to_tiles(many: DataFrame) -> DataFrame:
         .select(
             "gram",
             F.col("top.part").alias("main"),
-            F.ceil((F.col("all") - F.col("top.size")) / TILE).cast("int").alias("outside"),
+            F.ceil((F.col("all") - F.col("top.size")) / TILE).cast("int").alias("others"),
+            F.ceil(F.col("top.size") / TILE).cast("int").alias("mains"),
         )
     )
-    rows = written(many.join(largest, "gram").select("gram", "doc", "part", "n", "main", "blocks", "outside"), "meeting")
+    rows = written(many.join(largest, "gram").select("gram", "doc", "part", "n", "main", "others", "mains"), "meeting")
 
     def block(count: str) -> Column:
         return F.pmod(F.xxhash64("doc"), F.col(count)).cast("int")
 
-    def every(count: str) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
-
-    left = rows.where("part <> main").select("*", block("outside").alias("i"), F.lit(0).alias("side"))
-    right = rows.select("*", block("blocks").alias("j"), F.lit(1).alias("side"))
-    copied = right.where("outside > 1").withColumn("i", every("outside"))
-    return (
-        left.withColumn("j", every("blocks"))
-        .unionByName(right.where("outside = 1").withColumn("i", F.lit(0)))
-        .unionByName(copied)
-        .select("gram", "doc", "part", "n", "i", "j", "side")
+    other = rows.where("part <> main").withColumn("own", block("others"))
+    other = other.withColumn("to", F.explode(F.sequence(F.lit(0), F.col("others") + F.col("mains") - 1)))
+    own, to = F.col("own"), F.col("to")
+    other = (
+        other.withColumn("side", F.when(own < to, 0).when(own > to, 1).otherwise(2))
+        .withColumn("i", F.least(own, to))
+        .withColumn("j", F.greatest(own, to))
     )
+    main = rows.where("part = main").withColumn("j", F.col("others") + block("mains")).withColumn("side", F.lit(1))
+    once = main.where("others = 1").withColumn("i", F.lit(0))
+    copied = main.where("others > 1").withColumn("i", F.explode(F.sequence(F.lit(0), F.col("others") - 1)))
+    names = ["gram", "doc", "part", "n", "i", "j", "side"]
+    return other.select(*names).unionByName(once.select(*names)).unionByName(copied.select(*names))
 
 
 def _meeting_pairs(features: DataFrame, parts: DataFrame, like: Likeness) -> DataFrame:
@@ -365,11 +366,11 @@ def _meeting_pairs(features: DataFrame, parts: DataFrame, like: Likeness) -> Dat
         leads.groupBy("gram")
         .agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("rows"))
         .where("low <> high")
-        .select("gram", "rows", F.ceil(F.col("rows") / TILE).cast("int").alias("blocks")),
+        .select("gram", "rows"),
         "mixed",
     )
     met = written(
-        leads.join(mixed, "gram").join(features.select("doc", "n"), "doc").select("gram", "doc", "part", "n", "rows", "blocks"),
+        leads.join(mixed, "gram").join(features.select("doc", "n"), "doc").select("gram", "doc", "part", "n", "rows"),
         "met",
     )
     few = met.where(F.col("rows") <= FEW)

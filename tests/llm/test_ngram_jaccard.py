@@ -89,22 +89,24 @@ def test_components_of_a_long_chain_and_a_star(spark):
 def test_one_component_is_not_dealt_out_against_itself(spark, monkeypatch):
     """Of many documents under an n-gram only those outside its largest component are copied to the blocks of all."""
     monkeypatch.setattr(ngram_jaccard, "TILE", 10)
-    rows = [(7, i, 1, 50, 400, 40) for i in range(395)] + [(7, 1000 + i, 1000 + i, 50, 400, 40) for i in range(5)]
-    many = spark.createDataFrame(rows, "gram long, doc long, part long, n long, rows long, blocks int")
-    dealt = ngram_jaccard._dealt_to_tiles(many).collect()
-    assert len(dealt) == 400 + 5 * 40
-    left = {(r.i, r.j): set() for r in dealt}
-    for r in dealt:
-        if r.side == 0:
-            left[r.i, r.j].add(r.doc)
-    met = {(a, r.doc) for r in dealt if r.side == 1 for a in left[r.i, r.j]}
-    assert met == {(1000 + i, r[1]) for i in range(5) for r in rows}
-
-    # Without a large component every two still meet, in tiles of bounded sides.
-    rows = [(7, i, i, 50, 60, 6) for i in range(60)]
-    dealt = ngram_jaccard._dealt_to_tiles(spark.createDataFrame(rows, many.schema)).collect()
-    tiles = {}
-    for r in dealt:
-        tiles.setdefault((r.i, r.j), ([], []))[r.side].append(r.doc)
-    met = {frozenset((a, b)) for x, y in tiles.values() for a in x for b in y if a != b}
-    assert len(met) == 60 * 59 // 2 and max(len(x) for t in tiles.values() for x in t) < 30
+
+    def dealt(parts):
+        rows = [(7, doc, part, 50) for doc, part in parts.items()]
+        found = ngram_jaccard._dealt_to_tiles(spark.createDataFrame(rows, "gram long, doc long, part long, n long")).collect()
+        tiles = {}
+        for r in found:
+            tiles.setdefault((r.i, r.j), []).append((r.doc, r.side))
+        met = [tuple(sorted((a, b))) for t in tiles.values() for a, x in t for b, y in t if (x, y) == (0, 1) or x == y == 2 and a < b]
+        assert len(met) == len(set(met)) and max(map(len, tiles.values())) < 60
+        return len(found), set(met)
+
+    # 395 documents of one component and five others: 40 blocks of the former.
+    parts = {i: 1 for i in range(395)} | {1000 + i: 1000 + i for i in range(5)}
+    copies, met = dealt(parts)
+    assert copies == 395 + 5 * 41
+    assert met == {(a, b) for a in parts for b in parts if a < b and b >= 1000}
+
+    # Two large components, and none at all.
+    parts = {i: i % 2 for i in range(60)}
+    assert {(a, b) for a in parts for b in parts if a < b and parts[a] != parts[b]} <= dealt(parts)[1]
+    assert len(dealt({i: i for i in range(60)})[1]) == 60 * 59 // 2
