@@ -99,3 +99,12 @@ def test_terms_are_computed_once_by_all_tasks(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert "ReusedExchange" in text and text.count("Generate explode(palavras_chave") == 1
     assert "REPARTITION_BY_COL" in text.split("Generate explode(palavras_chave")[1]
+
+
+def test_composite_join_removes_copies_of_what_it_keeps_only(spark):
+    """Of the lines, the aggregate stands over the join on both keys, not under it with all lines in a task's memory."""
+    no_broadcast(spark)
+    lines = plan(QUERIES["join_composite"](spark, SF)).splitlines()
+    join = next(i for i, line in enumerate(lines) if "Join [o_custkey" in line)
+    over, under = ([x for x in part if "HashAggregate" in x and "l_linenumber" in x] for part in (lines[:join], lines[join:]))
+    assert over and not under

@@ -227,11 +227,18 @@ def join_composite(spark, sf):
         )
         .distinct()
     )
-    sales = sold.select("o_orderkey", "l_linenumber", "l_suppkey", "o_custkey").distinct()
-    return sales.join(
-        returned,
-        (F.col("o_custkey") == F.col("cliente")) & (F.col("l_suppkey") == F.col("fornecedor")),
-    ).select("o_orderkey", "l_linenumber", "conta")
+    # Distinct last, on what the join leaves of the lines; dealt out first, as a pair may have very many of them.
+    return (
+        sold.select("o_orderkey", "l_linenumber", "l_suppkey", "o_custkey")
+        .join(
+            returned,
+            (F.col("o_custkey") == F.col("cliente")) & (F.col("l_suppkey") == F.col("fornecedor")),
+        )
+        .select("o_orderkey", "l_linenumber", "l_suppkey", "o_custkey", "conta")
+        .repartition("o_orderkey", "l_linenumber")
+        .distinct()
+        .select("o_orderkey", "l_linenumber", "conta")
+    )
 
 
 @query(
