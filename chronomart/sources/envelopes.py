@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,13 +56,14 @@ def whole_records(docs: DataFrame, record: T.StructType, *keep: str) -> DataFram
     typed = {f.name: F.try_variant_get("_r", f"$['{f.name}']", f.dataType.simpleString()) for f in record.fields}
     plain = [f.name for f in record.fields if not _is_nested(f.dataType)]
     rows = rows.select(*keep, "_r", *[c.alias(name) for name, c in typed.items()])
-    misfits = [F.when(F.col(f"`{n}`").isNull(), F.lit(n)) for n in plain]
-    told = F.array_except(F.array(*[F.lit(n) for n in plain]), F.array_compact(F.array(*misfits)))
     fields = F.col("_r").cast("map<string,variant>")
-    rest = F.map_filter(
-        fields, lambda name, value: ~F.array_contains("_told", name) & ~F.is_variant_null(value)
-    )
-    rows = rows.withColumn("_told", told).withColumn("_rest", rest)
+
+    def rest(name: Column, value: Column) -> Column:
+        # Field by field: a list of the told names would be made again for every entry of the map.
+        told = reduce(Column.__or__, [(name == n) & F.col(f"`{n}`").isNotNull() for n in plain], F.lit(False))
+        return ~told & ~F.is_variant_null(value)
+
+    rows = rows.withColumn("_rest", F.map_filter(fields, rest))
     extra = F.when(F.size("_rest") > 0, F.to_json("_rest"))
     return rows.select(*keep, *[F.col(f"`{f.name}`") for f in record.fields], extra.alias(EXTRA))
 

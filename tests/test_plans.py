@@ -4,8 +4,12 @@ import inspect
 
 import pytest
 
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
 import workload
 from chronomart.operators import history, rows
+from chronomart.sources import envelopes
 from workload.registry import table
 
 SF = "/root/testdata/sf0.001"
@@ -108,3 +112,14 @@ def test_composite_join_removes_copies_of_what_it_keeps_only(spark):
     join = next(i for i, line in enumerate(lines) if "Join [o_custkey" in line)
     over, under = ([x for x in part if "HashAggregate" in x and "l_linenumber" in x] for part in (lines[:join], lines[join:]))
     assert over and not under
+
+
+def test_told_fields_of_a_record_are_not_listed_again_for_every_entry(spark):
+    record = T.StructType().add("id", "long").add("valor", "double")
+    docs = spark.createDataFrame([('[{"id": 1, "valor": "x", "mais": null, "outro": {"a": 2}}, {"id": "y"}]',)], "t string")
+    docs = docs.select(F.from_json("t", "array<variant>").alias("dados"))
+    found = envelopes.whole_records(docs, record)
+    assert "array_except" not in plan(found)
+    assert sorted(map(tuple, found.collect()), key=str) == [
+        (1, None, '{"outro":{"a":2},"valor":"x"}'), (None, None, '{"id":"y"}'),
+    ]
