@@ -116,16 +116,20 @@ def event_fact(events: DataFrame, organs: DataFrame, bounds: DataFrame) -> DataF
     first, last = bounds.select("inicio").scalar(), bounds.select("fim").scalar()
     day = F.col("dataHoraInicio").cast("date")
     placed = events.where(day.between(first, last) & F.col("descricaoTipo").isNotNull())
-    exploded = placed.select(
+    # The keys are computed for each event before its organs are listed, not for each of its organs.
+    keyed = placed.select(
         F.datediff(day, first).cast("bigint").alias("data_id"),
-        F.explode(split_ids("id_orgaos")).alias("orgao_id"),
+        split_ids("id_orgaos").alias("_organs"),
         stable_key("descricaoTipo").alias("tipo_evento_id"),
         "descricao",
         "dataHoraInicio",
         "dataHoraFim",
         "situacao",
         F.col("id_evento").alias("evento_id"),
-    ).withColumn("orgao_id", F.col("orgao_id").try_cast("bigint"))
+    )
+    rest = keyed.columns[2:]
+    exploded = keyed.select("data_id", F.explode("_organs").alias("orgao_id"), *rest)
+    exploded = exploded.withColumn("orgao_id", F.col("orgao_id").try_cast("bigint"))
     known = organs.select(F.col("orgao_id").cast("bigint"))
     return exploded.join(known, "orgao_id", "left_semi").select(
         "data_id", *[c for c in exploded.columns if c != "data_id"]

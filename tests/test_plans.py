@@ -123,3 +123,10 @@ def test_told_fields_of_a_record_are_not_listed_again_for_every_entry(spark):
     assert sorted(map(tuple, found.collect()), key=str) == [
         (1, None, '{"outro":{"a":2},"valor":"x"}'), (None, None, '{"id":"y"}'),
     ]
+
+
+def test_fact_keys_are_computed_before_the_organs_are_listed(spark):
+    lines = plan(QUERIES["fact_event"](spark, SF)).splitlines()
+    listed = next(i for i, line in enumerate(lines) if "Generate explode" in line)
+    over, under = "\n".join(lines[:listed]), "\n".join(lines[listed:])
+    assert "md5" in under and "md5" not in over
