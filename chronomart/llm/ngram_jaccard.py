@@ -2,7 +2,8 @@
 
 Equal sets are one class, joined by hash before anything else. Of other sets that reach the threshold any two
 share an n-gram among the first ``size - ceil(t * size) + 1`` of each in a common order. That order puts n-grams
-that many documents share last, so shared passages bring few documents together; any order gives all links.
+that many documents share last, the rarer of them first, so shared passages and frequent words bring few documents
+together; any order gives all links.
 
 Candidates are found in two steps. First each document is held against the least document and the one before it
 under each of its leading n-grams; the links found make most components. Then documents of different components that meet under an
@@ -21,6 +22,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +36,8 @@ from chronomart.llm.scratch import written
 #: An n-gram in more than this share of a task's recent documents is sent as common. Of the n-grams found,
 #: those in this share of all documents come last in the order: at most (mean set size / share) of them.
 COMMON = 0.002
+#: ... but in more than this many of them: with more, short tasks would not see what is common in all.
+OFTEN = 2
 #: Bits for each size band: 64 words at most, about one bit or more for each n-gram of smaller sets.
 BIT_WORDS = 64
 #: Rows of a tile's side, and pairs held against one text.
@@ -101,7 +105,7 @@ def _common(like: Likeness):
 
         def counts() -> pa.RecordBatch:
             grams, n = np.unique(np.concatenate(held), return_counts=True)
-            often = n > max(8, COMMON * docs)
+            often = n > max(OFTEN, COMMON * docs)
             return pa.RecordBatch.from_arrays(
                 [pa.array(grams[often].view(np.int64)), pa.array(n[often])], ["gram", "n"]
             )
@@ -119,24 +123,34 @@ def _common(like: Likeness):
     return run
 
 
+def common_order(grams: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The common n-grams, sorted, and the place of each from 1 on: by the documents that have it, fewest first."""
+    place = np.empty(len(grams), np.int64)
+    place[np.lexsort((grams, n))] = np.arange(1, len(grams) + 1)
+    grams = grams.view(np.uint64)
+    order = np.argsort(grams)
+    return grams[order], place[order]
+
+
 _FEATURES = "doc long, n long, h1 long, h2 long, bits binary, lead array<long>"
 
 
 def _features(like: Likeness, common):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = common.value
+        last, rank = common.value
         for batch in small_batches(batches):
             sets = like.sets(batch.column(1))
             flat = np.concatenate([*sets, np.zeros(0, np.uint64)])
             ends = np.cumsum([len(s) for s in sets])
             begins = ends - [len(s) for s in sets]
-            late = np.zeros(len(flat), bool)
+            place = np.zeros(len(flat), np.int64)
             if len(last):
-                late = last[np.minimum(np.searchsorted(last, flat), len(last) - 1)] == flat
+                at = np.minimum(np.searchsorted(last, flat), len(last) - 1)
+                place = np.where(last[at] == flat, rank[at], 0)
             leads = []
             for begin, end in zip(begins, ends):
-                grams, back = flat[begin:end], late[begin:end]
-                order = np.concatenate([grams[~back], grams[back]])
+                grams = flat[begin:end]
+                order = grams[np.argsort(place[begin:end], kind="stable")]
                 leads.append(order[: like.lead(len(grams)) if len(grams) else 0].view(np.int64))
             offsets = np.concatenate([[0], np.cumsum([len(x) for x in leads])])
             yield pa.RecordBatch.from_arrays(
@@ -240,7 +254,7 @@ def _passing(like: Likeness):
 
 
 def _tiles(like: Likeness):
-    """Pairs of different components in one tile. ``side``: 0 and 1 for its two blocks, 2 where both are one;
+    """Pairs of different components in one tile. ``side``: 0 and 1 for its two blocks, 2 for rows of both;
     a guest belongs to the next size band and is compared with rows of this one only."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
@@ -322,6 +336,8 @@ def _dealt_to_tiles(many: DataFrame) -> DataFrame:
 
     The documents outside it are dealt to blocks, which meet one another and the blocks of the largest component, numbered
     after them. So a group of near copies that is one component by now is copied for each block of the few others only.
+    Where there is one block of each, both are one tile, in which nothing is copied: the others (side 2) meet one
+    another and the largest component (side 1).
     """
     largest = (
         many.groupBy("gram", "part")
@@ -340,6 +356,9 @@ def _dealt_to_tiles(many: DataFrame) -> DataFrame:
     def block(count: str) -> Column:
         return F.pmod(F.xxhash64("doc"), F.col(count)).cast("int")
 
+    one = F.expr("others = 1 and mains = 1")
+    alone = rows.where(one).select("*", F.lit(0).alias("i"), F.lit(0).alias("j"), F.when(F.col("part") == F.col("main"), 1).otherwise(2).alias("side"))
+    rows = rows.where(~one)
     other = rows.where("part <> main").withColumn("own", block("others"))
     other = other.withColumn("to", F.explode(F.sequence(F.lit(0), F.col("others") + F.col("mains") - 1)))
     own, to = F.col("own"), F.col("to")
@@ -352,7 +371,7 @@ def _dealt_to_tiles(many: DataFrame) -> DataFrame:
     once = main.where("others = 1").withColumn("i", F.lit(0))
     copied = main.where("others > 1").withColumn("i", F.explode(F.sequence(F.lit(0), F.col("others") - 1)))
     names = ["gram", "doc", "part", "n", "i", "j", "side"]
-    return other.select(*names).unionByName(once.select(*names)).unionByName(copied.select(*names))
+    return reduce(DataFrame.unionByName, [x.select(*names) for x in (alone, other, once, copied)])
 
 
 def _meeting_pairs(features: DataFrame, parts: DataFrame, like: Likeness) -> DataFrame:
@@ -405,8 +424,8 @@ def linked(docs: DataFrame, n: int, percent: int, key: str = "doc_id", text: str
     docs = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
     counted = written(docs.select("text").mapInArrow(_common(like), "gram long, n long"), "common")
     many = docs.count() * COMMON
-    often = counted.groupBy("gram").agg(F.sum("n").alias("n")).where(F.col("n") > many).select("gram")
-    last = np.array(sorted(r.gram for r in often.collect()), np.int64).view(np.uint64)
+    often = counted.groupBy("gram").agg(F.sum("n").alias("n")).where(F.col("n") > many).collect()
+    last = common_order(np.array([r.gram for r in often], np.int64), np.array([r.n for r in often], np.int64))
     rows = written(docs.mapInArrow(_features(like, spark.sparkContext.broadcast(last)), _FEATURES), "sets")
 
     some = rows.where("n > 0 and doc is not null")

@@ -1,5 +1,8 @@
 import random
 
+import numpy as np
+import pyarrow as pa
+
 from chronomart.llm import ngram_jaccard
 from chronomart.llm.components import components
 from chronomart.llm.queries import QUERIES
@@ -110,3 +113,34 @@ def test_one_component_is_not_dealt_out_against_itself(spark, monkeypatch):
     parts = {i: i % 2 for i in range(60)}
     assert {(a, b) for a in parts for b in parts if a < b and parts[a] != parts[b]} <= dealt(parts)[1]
     assert len(dealt({i: i for i in range(60)})[1]) == 60 * 59 // 2
+
+
+def test_a_group_of_one_block_is_not_copied(spark):
+    """Up to a tile's side of each, the documents outside the largest component meet all in one tile."""
+    parts = {i: 1 for i in range(30)} | {100 + i: 100 + i // 2 for i in range(20)}
+    rows = [(7, doc, part, 50) for doc, part in parts.items()]
+    found = ngram_jaccard._dealt_to_tiles(spark.createDataFrame(rows, "gram long, doc long, part long, n long")).collect()
+    assert sorted(r.doc for r in found) == sorted(parts) and {(r.i, r.j) for r in found} == {(0, 0)}
+    assert all(r.side == (1 if r.part == 1 else 2) for r in found)
+
+
+def test_common_grams_are_led_by_the_rarest(spark):
+    """Texts of frequent words only are looked up under the least frequent of their n-grams."""
+    grams, place = ngram_jaccard.common_order(np.array([5, -3, 9, 2]), np.array([40, 7, 40, 900]))
+    assert dict(zip(grams.view(np.int64).tolist(), place.tolist())) == {-3: 1, 5: 2, 9: 3, 2: 4}
+    like = ngram_jaccard.Likeness(1, 85)
+    sets = like.sets(pa.array(["a b c d e f g"]))[0]
+    common = ngram_jaccard.common_order(sets.view(np.int64), np.array([70, 10, 60, 20, 50, 30, 40]))
+
+    class Sent:
+        value = common
+
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array(["a b c d e f g"])], ["doc", "text"])
+    lead = next(ngram_jaccard._features(like, Sent)(iter([batch]))).column(5).to_pylist()[0]
+    assert lead == [int(sets.view(np.int64)[i]) for i in (1, 3)]
+
+
+def test_short_tasks_see_what_is_common():
+    like = ngram_jaccard.Likeness(1, 85)
+    batch = pa.RecordBatch.from_arrays([pa.array(["often a", "often b", "often c", "often d"])], ["text"])
+    assert [b.column(1).to_pylist() for b in ngram_jaccard._common(like)(iter([batch]))] == [[4]]
