@@ -10,7 +10,8 @@ under each of its leading n-grams; the links found make most components. Then do
 n-gram are compared: where few meet by a join, where many do in tiles by size band and hash, those outside the
 n-gram's largest component against all. Both steps drop
 pairs by size and by a bitmap of hashed n-grams: sets differ in at least as many n-grams as their bitmaps
-differ in bits. What remains is settled by intersecting the sorted sets.
+differ in bits. Of the tiles in which two documents meet, that of the least n-gram they share gives the pair.
+What remains is settled by intersecting the sorted sets.
 
 Rows: a null or empty text, or one without words, has no n-gram and is linked with nothing; a text of fewer words
 than ``n`` is one n-gram as a whole. A row without ``key`` is linked with nothing and has no component. Repeated
@@ -45,6 +46,8 @@ TILE = 2048
 PER_TASK = 64
 #: Up to so many documents under an n-gram are paired by a join, more in tiles.
 FEW = 48
+#: N-grams whose holders are marked at a time in a tile.
+MARKED = 4096
 
 
 class Likeness:
@@ -253,11 +256,33 @@ def _passing(like: Likeness):
     return run
 
 
+def _met_before(gram: int, grams: pa.Array, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether the rows ``a[k]`` and ``b[k]`` of a tile share an n-gram less than its own; ``grams`` lists those of each row."""
+    rows = np.repeat(np.arange(len(grams)), grams.value_lengths().to_numpy())
+    flat = grams.flatten().to_numpy()
+    rows, flat = rows[flat < gram], flat[flat < gram]
+    _, name, times = np.unique(flat, return_inverse=True, return_counts=True)
+    shared = times[name] > 1
+    rows, name = rows[shared], np.unique(name[shared], return_inverse=True)[1]
+    found = np.zeros(len(a), bool)
+    for at in range(0, name.max(initial=-1) + 1, MARKED):
+        now = (name >= at) & (name < at + MARKED)
+        holds = np.zeros((len(grams), MARKED), bool)
+        holds[rows[now], name[now] - at] = True
+        marks = np.packbits(holds, axis=1).view(np.uint64)
+        for some in range(0, len(a), 20_000):
+            k = slice(some, some + 20_000)
+            found[k] |= (marks[a[k]] & marks[b[k]]).any(1)
+    return found
+
+
 def _tiles(like: Likeness):
     """Pairs of different components in one tile. ``side``: 0 and 1 for its two blocks, 2 for rows of both;
-    a guest belongs to the next size band and is compared with rows of this one only."""
+    a guest belongs to the next size band and is compared with rows of this one only. Two documents meet under every n-gram
+    they share; the tile of the least one gives the pair."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
+        gram, grams = key[0].as_py(), table.column("grams").combine_chunks()
         doc, part, n, side, guest = (
             table.column(c).to_numpy() for c in ("doc", "part", "n", "side", "guest")
         )
@@ -273,8 +298,10 @@ def _tiles(like: Likeness):
             ok = like.may(n[i][:, None], n[right][None, :], differ)
             ok &= (part[i][:, None] != part[right][None, :]) & ~(guest[i][:, None] & guest[right][None, :])
             x, y = np.nonzero(ok)
-            a.append(doc[i[x]])
-            b.append(doc[right[y]])
+            x, y = i[x], right[y]
+            new = ~_met_before(gram, grams, x, y)
+            a.append(doc[x[new]])
+            b.append(doc[y[new]])
         a, b = np.concatenate(a), np.concatenate(b)
         a, b = _distinct(np.minimum(a, b), np.maximum(a, b))
         return pa.table({"a": a, "b": b})
@@ -405,13 +432,14 @@ def _meeting_pairs(features: DataFrame, parts: DataFrame, like: Likeness) -> Dat
     # Alike sizes differ by one band at most; a little wider, against rounding.
     band = F.floor(F.log(F.col("n")) / (math.log(100 / like.percent) * 1.0001)).cast("int")
     many = met.where(F.col("rows") > FEW)
+    held = many.groupBy("doc").agg(F.collect_set("gram").alias("grams"))
     tiled = (
         _dealt_to_tiles(many)
-        .join(features.select("doc", "bits"), "doc")
+        .join(features.select("doc", "bits").join(held, "doc"), "doc")
         .withColumn("band", band)
         .withColumn("guest", F.explode(F.array(F.lit(False), F.lit(True))))
         .withColumn("band", F.col("band") - F.col("guest").cast("int"))
-        .select("gram", "band", "i", "j", "doc", "part", "n", "bits", "side", "guest")
+        .select("gram", "band", "i", "j", "doc", "part", "n", "bits", "grams", "side", "guest")
         .groupBy("gram", "band", "i", "j")
         .applyInArrow(_tiles(like), "a long, b long")
     )

@@ -144,3 +144,26 @@ def test_short_tasks_see_what_is_common():
     like = ngram_jaccard.Likeness(1, 85)
     batch = pa.RecordBatch.from_arrays([pa.array(["often a", "often b", "often c", "often d"])], ["text"])
     assert [b.column(1).to_pylist() for b in ngram_jaccard._common(like)(iter([batch]))] == [[4]]
+
+
+def test_documents_that_meet_under_many_ngrams_are_paired_once(monkeypatch):
+    monkeypatch.setattr(ngram_jaccard, "MARKED", 64)
+    like = ngram_jaccard.Likeness(1, 85)
+    rng = np.random.default_rng(3)
+    held = [np.sort(rng.choice(300, 9, replace=False)) - 150 for _ in range(80)]
+    bits = ngram_jaccard._bitmap(np.arange(20, dtype=np.uint64))
+    met = []
+    for gram in range(-150, 150):
+        docs = [d for d in range(80) if gram in held[d]]
+        if not docs:
+            continue
+        n = len(docs)
+        tile = pa.table({
+            "doc": pa.array(docs, pa.int64()), "part": pa.array(docs, pa.int64()), "n": pa.array([20] * n, pa.int64()),
+            "bits": pa.array([bits] * n, pa.binary()), "grams": pa.array([rng.permutation(held[d]) for d in docs], pa.list_(pa.int64())),
+            "side": pa.array([2] * n, pa.int32()), "guest": pa.array([False] * n),
+        })
+        found = ngram_jaccard._tiles(like)((pa.scalar(gram), pa.scalar(0), pa.scalar(0), pa.scalar(0)), tile)
+        met += zip(found.column("a").to_pylist(), found.column("b").to_pylist())
+    every = {(a, b) for b in range(80) for a in range(b) if set(held[a]) & set(held[b])}
+    assert len(met) == len(every) and set(met) == every
