@@ -113,6 +113,58 @@ def test_no_files_with_records(spark, tmp_path):
     assert split_records(spark, str(tmp_path)).count() == 0
 
 
+def staged_rows(monkeypatch):
+    """The rows of each table that is staged, by label; of runs that are cut, those with their records."""
+    rows, stage = {}, splitting.materialise
+
+    def counted(df, label):
+        out = stage(df, label)
+        rows.setdefault(label, []).append(out.count() if label != "cut" else out.where("cut IS NOT NULL").count())
+        return out
+
+    monkeypatch.setattr(splitting, "materialise", counted)
+    return rows
+
+
+def test_runs_of_records_are_not_scanned_piece_by_piece(spark, tmp_path, monkeypatch):
+    rows = [{"id": i, "a": {"b": "}]"}} for i in range(20_000)]
+    (tmp_path / "one.json").write_text(json.dumps({"dados": rows}))
+    staged = staged_rows(monkeypatch)
+    found = split_records(spark, str(tmp_path))
+    assert sum(map(sum, staged.values())) < 3_000  # of 60,001 pieces
+    assert {r.record: json.loads(r.json) for r in found.collect()} == dict(enumerate(rows))
+
+
+def test_cut_and_scanned_runs_give_the_same(spark, tmp_path, small_splits, monkeypatch):
+    monkeypatch.setattr(splitting, "RUN_BITS", 2)
+    rng = random.Random(small_splits)
+    documents = {f"d{i}.json": (document(rng, 40), {"indent": 1} if i % 2 else {}) for i in range(3)}
+    other = [1, [2, {"a": [3]}], "x", None, {"id": 4}]
+    want = written(tmp_path, documents)
+    (tmp_path / "other.json").write_text(json.dumps({"dados": other + [record(rng) for _ in range(20)] + other}))
+    staged = staged_rows(monkeypatch)
+    cut = {(r.file.rsplit("/", 1)[1], r.record): r.json for r in split_records(spark, str(tmp_path)).collect()}
+    assert sum(staged["cut"]) > 20
+    assert all(json.loads(cut[name, i]) == r for name, records in want.items() for i, r in enumerate(records))
+    monkeypatch.setattr(splitting, "_OBJECT", r'["{}\[\]]')
+    scanned = {(r.file.rsplit("/", 1)[1], r.record): r.json for r in split_records(spark, str(tmp_path)).collect()}
+    assert staged["cut"][1:] == [0] and cut == scanned
+
+
+def test_long_and_deep_records(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(splitting, "RUN_BITS", 3)
+    deep = 7
+    for i in range(3 * splitting.DEEP):
+        deep = {"k": deep} if i % 2 else [deep, {}]
+    rows = [{"id": 0}, {"t": '\\"' * 100_000}, {"t": '{"dados": [}' * 100, "l": [{}] * 100}, {"d": deep}, {"t": "}" * 100 + "\\", "d": [deep, 1]}]
+    rows = [*rows, *[{"id": i, "o": {}} for i in range(50)]] * 2
+    (tmp_path / "a.json").write_text(json.dumps({"x": deep, "dados": rows, "y": deep}))
+    (tmp_path / "b.json").write_text('{"dados": [{"id": 1}], "v": \\{"k": 1}}')
+    staged = staged_rows(monkeypatch)
+    assert {r.record: json.loads(r.json) for r in split_records(spark, str(tmp_path)).collect()} == dict(enumerate(rows))
+    assert sum(staged["cut"]) > 20
+
+
 # Types ----------------------------------------------------------------------------------
 
 

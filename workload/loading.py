@@ -45,8 +45,11 @@ def line_document(spark, sf):
             ).alias("detalhe"),
         )
     )
-    # The document is what would be delivered; a single task writes it, line by line.
-    numbered = lines.select(record.alias("json")).coalesce(1).withColumn("at", F.monotonically_increasing_id())
+    # The document is what would be delivered; a single task writes it, the records' text is made by all.
+    some = F.shiftright(F.monotonically_increasing_id(), 10)
+    parts = lines.select(record.alias("json"), some.alias("part")).groupBy("part").agg(F.collect_list("json").alias("json"))
+    parts = parts.select(F.array_join("json", "\n,").alias("json")).repartition(1)
+    numbered = parts.withColumn("at", F.monotonically_increasing_id())
     opening = F.when(F.col("at") == 0, '{"links": [{"rel": "self"}], "dados": [').otherwise(",")
     body = numbered.select(F.concat(opening, "json").alias("value"))
     end = spark.range(1).select(F.lit('], "total": {"paginas": 1}}').alias("value"))
