@@ -53,8 +53,8 @@ def _nested(opening: str, closing: str, plain: str, more: str) -> str:
 
 
 _WITHIN = rf'{_PLAIN}(?:(?:"{_IN_STRING}"|' + _nested(r"[{\[]", r"[}\]]", _PLAIN, f'"{_IN_STRING}"') + rf"){_PLAIN})*+"
-#: An object, or the beginning of one that does not end, or a single character of anything else with structure.
-_OBJECT = rf'(?s)\{{{_WITHIN}\}}|\{{{_WITHIN}(?:[{{\[]{_WITHIN})*+(?:"{_IN_STRING})?+\z|["{{}}\[\]\\]'
+#: An object or the beginning of one that does not end, as group 1; or anything else with structure, and all after it.
+_OBJECT = rf'(?s)(\{{{_WITHIN}\}}|\{{{_WITHIN}(?:[{{\[]{_WITHIN})*+(?:"{_IN_STRING})?+\z)|["{{}}\[\]\\].*+'
 _BALANCED = _nested(rf"[{{{RECORDS}]", r"\}", "", "(?!)")
 
 
@@ -174,8 +174,8 @@ def _cut(runs: DataFrame, starts: DataFrame, files: DataFrame) -> DataFrame:
     # What is open where the run begins is opened before it, so that the rest of a record is matched as a whole one.
     lead = F.concat(F.repeat(F.lit("{"), F.col("depth0").cast("int") - 2), F.when(F.col("inside0"), '"}').otherwise(""))
     rows = rows.withColumn("lead", F.when(within, lead))
-    rows = rows.withColumn("cut", F.regexp_extract_all(F.concat("lead", "text"), F.lit(_OBJECT), F.lit(0)))
-    cut = F.when(~F.exists("cut", lambda o: F.octet_length(o) == 1), F.col("cut"))
+    rows = rows.withColumn("cut", F.regexp_extract_all(F.concat("lead", "text"), F.lit(_OBJECT), F.lit(1)))
+    cut = F.when(~F.array_contains("cut", ""), F.col("cut"))
     rows = rows.withColumn("cut", cut).withColumn("text", F.when(F.col("cut").isNull(), F.col("text")))
     return materialise(rows.withColumns({"head": head, "tail": tail, "lead": F.length("lead")}), "cut")
 

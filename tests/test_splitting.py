@@ -146,7 +146,7 @@ def test_cut_and_scanned_runs_give_the_same(spark, tmp_path, small_splits, monke
     cut = {(r.file.rsplit("/", 1)[1], r.record): r.json for r in split_records(spark, str(tmp_path)).collect()}
     assert sum(staged["cut"]) > 20
     assert all(json.loads(cut[name, i]) == r for name, records in want.items() for i, r in enumerate(records))
-    monkeypatch.setattr(splitting, "_OBJECT", r'["{}\[\]]')
+    monkeypatch.setattr(splitting, "_OBJECT", r'(?s)()["{}\[\]].*+')
     scanned = {(r.file.rsplit("/", 1)[1], r.record): r.json for r in split_records(spark, str(tmp_path)).collect()}
     assert staged["cut"][1:] == [0] and cut == scanned
 
@@ -165,6 +165,16 @@ def test_long_and_deep_records(spark, tmp_path, monkeypatch):
     assert sum(staged["cut"]) > 20
 
 
+def test_records_deeper_than_the_pattern(spark, tmp_path):
+    deep = 7
+    for i in range(2 * splitting.DEEP):
+        deep = [deep, "x" * 50]
+    rows = [{"id": i, "d": [deep, {}, [{"k": deep}]]} for i in range(3_000)]
+    (tmp_path / "a.json").write_text(json.dumps({"dados": rows}))
+    found = split_records(spark, str(tmp_path))
+    assert {r.record: json.loads(r.json) for r in found.collect()} == dict(enumerate(rows))
+
+
 # Types ----------------------------------------------------------------------------------
 
 
